@@ -41,7 +41,7 @@ def to_decimal(text: Column, kind: str) -> Column:
 
 def to_date(text: Column) -> Column:
     """`yyyyMMdd`; the day may have one digit and blanks may stand between the parts."""
-    plain = F.when(text.rlike(r"^[0-9]{8}$"), F.try_to_date(text, F.lit("yyyyMMdd")))
+    plain = F.when(text.rlike(r"^[0-9]{8}$"), F.try_to_date(text, "yyyyMMdd"))
     loose = r"^([0-9]{1,4}+)\s*+([0-9]{1,2}+)\s*+([0-9]{1,2})$"
     padded = F.concat(
         F.lpad(F.regexp_extract(text, loose, 1), 4, "0"),
@@ -49,7 +49,7 @@ def to_date(text: Column) -> Column:
         F.lpad(F.regexp_extract(text, loose, 3), 2, "0"),
     )
     return F.coalesce(
-        plain, F.when(text.rlike(loose), F.try_to_date(padded, F.lit("yyyyMMdd")))
+        plain, F.when(text.rlike(loose), F.try_to_date(padded, "yyyyMMdd"))
     )
 
 
@@ -114,23 +114,26 @@ def is_banner(text: Column, column_title: str) -> Column:
 # --- coordinates -------------------------------------------------------------------------------
 
 
-def dms_to_degrees(text: Column) -> Column:
-    """`D:M:S` to decimal degrees, minus sign in front; NULL when it is not well formed."""
-    parts = F.split(text, ":")
-    deg, minutes, seconds = (to_decimal(F.get(parts, F.lit(i)), "double") for i in range(3))
+def coordinate_parts(text: Column) -> Column:
+    """The numbers of a coordinate, one for decimal text, three for `D:M:S`; NULL where not a number."""
+    return F.transform(F.split(strip(text), ":"), lambda t: to_decimal(t, "double"))
+
+
+def degrees_from_parts(text: Column, parts: Column) -> Column:
+    """Decimal degrees from `coordinate_parts`; NULL when the text is not well formed.
+
+    Minutes and seconds lie in [0, 60); a minus sign in front turns the whole value.
+    """
+    deg, minutes, seconds = (F.get(parts, F.lit(i)) for i in range(3))
     size = F.abs(deg) + minutes / F.lit(60.0) + seconds / F.lit(3600.0)
-    ok = (
-        (F.size(parts) == 3)
-        & (minutes >= 0) & (minutes < 60)
-        & (seconds >= 0) & (seconds < 60)
-    )
-    return F.when(ok, F.when(text.startswith("-"), -size).otherwise(size))
+    ok = (minutes >= 0) & (minutes < 60) & (seconds >= 0) & (seconds < 60)
+    dms = F.when(ok, F.when(strip(text).startswith("-"), -size).otherwise(size))
+    return F.when(F.size(parts) == 1, deg).when(F.size(parts) == 3, dms)
 
 
 def to_degrees(text: Column) -> Column:
     """A coordinate in `D:M:S` or in decimal form."""
-    bare = strip(text)
-    return F.when(bare.contains(":"), dms_to_degrees(bare)).otherwise(to_decimal(bare, "double"))
+    return degrees_from_parts(text, coordinate_parts(text))
 
 
 def degrees_to_dms(degrees: Column) -> Column:

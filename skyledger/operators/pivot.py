@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import schemas as S
 from ..functions import quality as Q
 from ..schemas import f32
-from ..tuning import small_side
+from ..tuning import join_hint
 
 QUALITY_MODES = ("compact", "positional")
 
@@ -92,10 +92,11 @@ def pivot_observations(
     )
 
 
-def keep_known_stations(obs: DataFrame, stations: DataFrame, *archive_key: str) -> DataFrame:
+def keep_known_stations(obs: DataFrame, stations: DataFrame, *archive_key: str, hint=None) -> DataFrame:
     """Observations whose station is in the station list (of the same archive, if so keyed)."""
     keys = [*archive_key, "station_id"]
-    return obs.join(small_side(stations.select(*keys).distinct()), keys, "left_semi")
+    hint = hint or join_hint(stations)
+    return obs.join(hint(stations.select(*keys)), keys, "left_semi")
 
 
 def unknown_stations(obs: DataFrame, stations: DataFrame, *archive_key: str) -> DataFrame:
@@ -107,13 +108,16 @@ def unknown_stations(obs: DataFrame, stations: DataFrame, *archive_key: str) ->
     return counts.join(stations.select(*keys), keys, "left_anti")
 
 
-def attach_station(records: DataFrame, stations: DataFrame, archive_column: str | None = None) -> DataFrame:
+def attach_station(
+    records: DataFrame, stations: DataFrame, archive_column: str | None = None, hint=None
+) -> DataFrame:
     """Name and coordinates; joined after the pivot, so no text goes through its shuffle."""
     attributes = ["station_name", "latitude", "longitude"]
+    hint = hint or join_hint(stations)
     if archive_column:
         place = stations.select(F.col("archive_ord").alias(archive_column), "station_id", *attributes)
-        return records.join(small_side(place), [archive_column, "station_id"])
-    return records.join(small_side(stations.select("station_id", *attributes)), "station_id")
+        return records.join(hint(place), [archive_column, "station_id"])
+    return records.join(hint(stations.select("station_id", *attributes)), "station_id")
 
 
 def to_weather(records: DataFrame, *extra: str) -> DataFrame:
@@ -125,27 +129,30 @@ def archive_records(
     obs: DataFrame, stations: DataFrame, quality_mode: str = "compact", seq_bits: int = S.SEQ_BITS
 ) -> DataFrame:
     """Records of each archive on its own, with `archive_ord` in front."""
-    known = keep_known_stations(obs, stations, "archive_ord")
+    hint = join_hint(stations)
+    known = keep_known_stations(obs, stations, "archive_ord", hint=hint)
     wide = pivot_observations(known, True, quality_mode, seq_bits)
-    return to_weather(attach_station(wide, stations, "archive_ord"), "archive_ord")
+    return to_weather(attach_station(wide, stations, "archive_ord", hint), "archive_ord")
 
 
 def unified_records(
     obs: DataFrame, stations: DataFrame, quality_mode: str = "compact", seq_bits: int = S.SEQ_BITS
 ) -> DataFrame:
     """Records over all archives: the last archive's value wins, the first one names the station."""
-    known = keep_known_stations(obs, stations, "archive_ord")
+    hint = join_hint(stations)
+    known = keep_known_stations(obs, stations, "archive_ord", hint=hint)
     wide = pivot_observations(known, False, quality_mode, seq_bits)
-    return to_weather(attach_station(wide, stations, "first_archive"))
+    return to_weather(attach_station(wide, stations, "first_archive", hint))
 
 
 def single_source_records(
     obs: DataFrame, stations: DataFrame, quality_mode: str = "compact", seq_bits: int = S.SEQ_BITS
 ) -> DataFrame:
     """Records of one source whose station list has no archive column."""
-    known = keep_known_stations(obs.withColumn("archive_ord", F.lit(0)), stations)
+    hint = join_hint(stations)
+    known = keep_known_stations(obs.withColumn("archive_ord", F.lit(0)), stations, hint=hint)
     wide = pivot_observations(known, False, quality_mode, seq_bits)
-    return to_weather(attach_station(wide, stations))
+    return to_weather(attach_station(wide, stations, hint=hint))
 
 
 def merge_records(records: DataFrame, quality_mode: str = "compact") -> DataFrame:
@@ -201,12 +208,13 @@ def consolidated_records(
 ) -> DataFrame:
     """The nine-column layout: complete temperature triples, or -9999 and flag 9 for what is absent."""
     temps = obs.filter(F.col("element").isin(S.TEMPERATURE_PREFIXES))
-    known = keep_known_stations(temps.withColumn("archive_ord", F.lit(0)), stations)
+    hint = join_hint(stations)
+    known = keep_known_stations(temps.withColumn("archive_ord", F.lit(0)), stations, hint=hint)
     wide = pivot_observations(known, False, "positional", seq_bits)
     wide = wide.filter(Q.has_temperature() if allow_incomplete else Q.has_complete_temperature())
     absent = f32(S.MISSING_V1)
     return (
-        attach_station(wide, stations)
+        attach_station(wide, stations, hint=hint)
         .select(
             "station_id",
             "station_name",

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .. import schemas as S
 from ..functions import text as X
+from ..tuning import computed_once
 
 TOP_U32 = 2**32 - 1
 
@@ -17,17 +18,16 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
     what is wrong with a line. Temperature lines need a source id, a whole number and a flag of
     0, 1 or 9; other elements need a number and a flag from 0 to 255.
     """
-    parts = F.split("line", ",", 5)
+    keep = [c for c in lines.columns if c != "line"]
+    parts = F.col("_parts")
+    split = lines.select(*keep, F.split("line", ",", 5).alias("_parts")).filter(F.size(parts) >= 4)
+    names = ("_source", "_date", "_value", "_flag")
+    raw = computed_once(split, keep, {n: X.field(parts, i) for i, n in enumerate(names)})
     is_temp = F.col("element").isin(S.TEMPERATURE_PREFIXES)
-    raw = lines.filter(F.size(parts) >= 4).select(
-        *[c for c in lines.columns if c != "line"],
-        X.field(parts, 0).alias("_source"),
-        X.field(parts, 1).alias("_date"),
-        X.field(parts, 2).alias("_value"),
-        X.field(parts, 3).alias("_flag"),
-    )
     flag = X.to_unsigned(F.col("_flag"), 255).cast("int")
-    typed = raw.withColumns(
+    typed = computed_once(
+        raw,
+        [*keep, *names],
         {
             "source_id": X.to_unsigned(F.col("_source"), TOP_U32),
             "obs_date": X.to_date(F.col("_date")),
@@ -35,7 +35,7 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
                 X.scale_tenths(X.to_decimal(F.col("_value"), "float"))
             ),
             "qflag": F.when(~is_temp | flag.isin(S.FLAGS), flag),
-        }
+        },
     )
     missing = F.col("_value") == S.MISSING_TEXT
     defect = (
@@ -48,7 +48,7 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
     return (
         typed.withColumn("defect", defect)
         .filter(F.col("defect").isNotNull() | ~missing)
-        .drop("_source", "_date", "_value", "_flag")
+        .drop(*names)
     )
 
 
@@ -84,31 +84,36 @@ def defective_lines(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("defect").isNotNull())
 
 
-def _station_fields(lines: DataFrame) -> tuple[Column, DataFrame]:
-    parts = F.split("line", ",", 7)
-    rows = lines.filter(X.strip(F.col("line")).rlike("^[0-9]") & (F.size(parts) >= 6))
-    return parts, rows
-
-
 def parse_station_lines(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
     """Station rows of `stations.txt` lines; keeps every other column of `lines`.
 
     A line whose first sign is a digit and that has six fields must parse; `on_bad='drop'` leaves
     such lines out instead of failing.
     """
-    parts, rows = _station_fields(lines)
-    height = X.field(parts, 5)
+    keep = [c for c in lines.columns if c != "line"]
+    parts = F.col("_parts")
+    rows = (
+        lines.filter(X.strip(F.col("line")).rlike("^[0-9]"))
+        .select(*keep, "line", F.split("line", ",", 7).alias("_parts"))
+        .filter(F.size(parts) >= 6)
+    )
+    names = ("_id", "station_name", "country", "_lat", "_lon", "_height")
+    fields = computed_once(rows, [*keep, "line"], {n: X.field(parts, i) for i, n in enumerate(names)})
+    # the three numbers of a coordinate, as arrays, before the rules look at them
+    kept = [*keep, "line", *names]
+    pieces = computed_once(fields, kept, {n: X.coordinate_parts(F.col(n[1:])) for n in ("__lat", "__lon")})
+    height = F.col("_height")
     no_height = (height == "") | (height == S.MISSING_ELEVATION_TEXT)
-    typed = rows.select(
-        *[c for c in lines.columns if c != "line"],
-        X.to_unsigned(X.field(parts, 0), 2**31 - 1).cast("int").alias("station_id"),
-        X.field(parts, 1).alias("station_name"),
-        X.field(parts, 2).alias("country"),
-        X.to_degrees(X.field(parts, 3)).alias("latitude"),
-        X.to_degrees(X.field(parts, 4)).alias("longitude"),
-        F.when(~no_height, X.to_int(height)).alias("elevation"),
-        no_height.alias("_no_height"),
-        "line",
+    typed = computed_once(
+        pieces,
+        [*keep, "line", "station_name", "country"],
+        {
+            "station_id": X.to_unsigned(F.col("_id"), 2**31 - 1).cast("int"),
+            "latitude": X.degrees_from_parts(F.col("_lat"), F.col("__lat")),
+            "longitude": X.degrees_from_parts(F.col("_lon"), F.col("__lon")),
+            "elevation": F.when(~no_height, X.to_int(height)),
+            "_no_height": no_height,
+        },
     )
     bad = (
         F.col("station_id").isNull()
@@ -123,7 +128,9 @@ def parse_station_lines(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
         typed = typed.filter(~bad)
     else:
         raise ValueError(f"unknown choice for bad lines: {on_bad}")
-    return typed.drop("_no_height", "line")
+    return typed.select(
+        *keep, "station_id", "station_name", "country", "latitude", "longitude", "elevation"
+    )
 
 
 def last_station_wins(stations: DataFrame, *keys: str) -> DataFrame:

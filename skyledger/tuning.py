@@ -4,21 +4,38 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 BROADCAST_ROWS = 200_000
 
 
+def join_hint(measured: DataFrame, max_rows: int = BROADCAST_ROWS) -> Callable[[DataFrame], DataFrame]:
+    """A hint for joins against `measured` or against what a projection or filter leaves of it.
+
+    Rows are counted up to `max_rows + 1`. Within the bound the hint is a broadcast; a larger side
+    gets none, and the join runs as a shuffle join whose hot keys adaptive execution splits.
+    """
+    if measured.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast
+    return lambda df: df
+
+
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting that `df` has at most `max_rows` rows.
+    """`df`, hinted for broadcast if it is small."""
+    return join_hint(df, max_rows)(df)
+
+
+def computed_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) -> DataFrame:
+    """`keep` and the new columns, each computed once per row.
 
-    The count stops at `max_rows + 1`. A larger side is returned without a hint, and the join runs
-    as a shuffle join whose hot keys adaptive execution splits.
+    A filter on a plain projected column is moved below the projection with the whole expression
+    copied into it; costly text rules would then run several times. Columns that come out of a
+    generator stay where they are.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    row = F.struct(*[c.alias(n) for n, c in columns.items()])
+    return df.select(*keep, F.inline(F.array(row)))
 
 
 def scratch_folder(spark: SparkSession) -> str:

@@ -65,8 +65,8 @@ def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "cast(s_suppkey as int) as station_id",
         "s_name as station_name",
         "case s_nationkey % 4 when 0 then 'GB' when 1 then 'uk' when 2 then 'United Kingdom' else 'IE' end as country",
-        "cast(48.0 + (s_suppkey * 37 % 1400) / 100.0 as double) as latitude",
-        "cast(-9.0 + (s_suppkey * 61 % 1200) / 100.0 as double) as longitude",
+        "48.0D + cast(s_suppkey * 37 % 1400 as double) / 100.0D as latitude",
+        "-9.0D + cast(s_suppkey * 61 % 1200 as double) / 100.0D as longitude",
     )
 
 
