@@ -20,9 +20,12 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
     """
     keep = [c for c in lines.columns if c != "line"]
     parts = F.col("_parts")
-    split = lines.select(*keep, F.split("line", ",", 5).alias("_parts")).filter(F.size(parts) >= 4)
+    split = computed_once(
+        lines, keep, {"_parts": F.split("line", ",", 5), "_plain": X.is_plain(F.col("line"))}
+    ).filter(F.size(parts) >= 4)
     names = ("_source", "_date", "_value", "_flag")
-    raw = computed_once(split, keep, {n: X.field(parts, i) for i, n in enumerate(names)})
+    fields = {n: X.field(parts, i, F.col("_plain")) for i, n in enumerate(names)}
+    raw = computed_once(split, keep, fields)
     is_temp = F.col("element").isin(S.TEMPERATURE_PREFIXES)
     flag = X.to_unsigned(F.col("_flag"), 255).cast("int")
     typed = computed_once(

@@ -1,8 +1,8 @@
 """Task-side reading of text by byte range. Only the standard library, numpy and pyarrow.
 
 A range owns the lines whose first byte lies in it, so any cut of a file into ranges yields every
-line exactly once. Lines leave as Arrow strings that point into the block just read; no Python
-object is made per line.
+line exactly once. Lines are cut as Arrow strings inside the block just read; no Python object is
+made per line.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 4 << 20
 
@@ -74,7 +75,7 @@ def lines_in_range(stream, lo: int, hi: int, header_lines: int) -> Iterator[tupl
 
 
 def _as_strings(text: bytes, count: int) -> pa.Array:
-    """The `count` lines of `text`, each with its line end."""
+    """The `count` lines of `text` without their line ends."""
     try:
         text.decode("utf-8")
     except UnicodeDecodeError:
@@ -83,7 +84,8 @@ def _as_strings(text: bytes, count: int) -> pa.Array:
     bounds = np.concatenate(([0], ends)).astype(np.int32)
     if len(bounds) == count:
         bounds = np.append(bounds, np.int32(len(text)))
-    return pa.StringArray.from_buffers(count, pa.py_buffer(bounds), pa.py_buffer(text))
+    lines = pa.StringArray.from_buffers(count, pa.py_buffer(bounds), pa.py_buffer(text))
+    return pc.utf8_rtrim(lines, "\r\n")
 
 
 # --- archives ----------------------------------------------------------------------------------

@@ -149,7 +149,7 @@ def observation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_format("obs_date", "yyyyMMdd")
     good = F.concat(
         F.lit("  "), F.col("l_orderkey").cast("string"), F.lit(", "), day, F.lit(", "),
-        F.col("tenths").cast("string"), F.lit(",   "), F.col("qflag").cast("string"), F.lit("\r\n"),
+        F.col("tenths").cast("string"), F.lit(",   "), F.col("qflag").cast("string"), F.when(p % 13 == 0, "\t\r\n").otherwise(""),
     )
     line = (
         F.when(p % 211 == 0, F.concat(F.lit("x1,"), day, F.lit(",12,0")))
