@@ -113,7 +113,7 @@ class CatalogJob:
 
 def describe_archives(spark: SparkSession, folder: str, pattern: str | None = None) -> CatalogJob:
     """What the archives of a folder contain. Only `dates` reads observation lines."""
-    src = open_archives(spark, folder, pattern, temperature_defects="drop")
+    src = open_archives(spark, folder, pattern)
     good = src.entries.filter(F.col("error").isNull())
     files = C.element_files(good)
     codes = P.station_country_codes(A.archive_metadata_lines(src.archives, "stations.txt"))
@@ -123,7 +123,7 @@ def describe_archives(spark: SparkSession, folder: str, pattern: str | None = No
     return CatalogJob(
         catalog,
         C.archive_country(codes),
-        C.archive_dates(src.parsed, "archive_ord").join(names, "archive_ord").drop("archive_ord"),
+        C.archive_dates(P.line_dates(src.lines), "archive_ord").join(names, "archive_ord").drop("archive_ord"),
         C.archive_summary(catalog),
         C.archives_per_element(files),
         C.unlisted_elements(files, listed),

@@ -109,10 +109,16 @@ def usable_archives(entries: DataFrame) -> DataFrame:
     )
 
 
-def _spread(splits: DataFrame, split_bytes: int) -> DataFrame:
+def tasks_for(total_bytes: int, split_bytes: int) -> int:
+    return max(1, -(-total_bytes // split_bytes))
+
+
+def _spread(splits: DataFrame, split_bytes: int, tasks: int | None) -> DataFrame:
     """Give each task about one split's worth of text. The rows moved are names and offsets."""
-    total = splits.agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0
-    return splits.repartition(max(1, -(-total // split_bytes)))
+    if tasks is None:
+        total = splits.agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0
+        tasks = tasks_for(total, split_bytes)
+    return splits.repartition(tasks)
 
 
 def _cut(files: DataFrame, size: str, split_bytes: int) -> DataFrame:
@@ -131,8 +137,12 @@ def archive_lines(
     header_lines: int = S.HEADER_LINES,
     split_bytes: int = SPLIT_BYTES,
     lineage: bool = False,
+    tasks: int | None = None,
 ) -> DataFrame:
-    """Data lines of the archives. `elements` and `stations` skip entries by name, unread."""
+    """Data lines of the archives. `elements` and `stations` skip entries by name, unread.
+
+    `tasks` saves the pass over the archive list that sizes the tasks.
+    """
     prefixes = S.PREFIXES
     wanted = (set(elements) if elements else None, set(stations) if stations else None)
 
@@ -167,7 +177,8 @@ def archive_lines(
                         yield pa.RecordBatch.from_pydict(columns)
 
     splits = _cut(archives, "text_bytes", split_bytes)
-    return _spread(splits, split_bytes).mapInArrow(run, LINEAGE_SCHEMA if lineage else LINE_SCHEMA)
+    schema = LINEAGE_SCHEMA if lineage else LINE_SCHEMA
+    return _spread(splits, split_bytes, tasks).mapInArrow(run, schema)
 
 
 def archive_metadata_lines(archives: DataFrame, entry: str) -> DataFrame:
@@ -226,12 +237,12 @@ def folder_lines(
     files: DataFrame,
     header_lines: int = S.HEADER_LINES,
     split_bytes: int = SPLIT_BYTES,
-    partitions: int | None = None,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Data lines of plain station files, with the file they come from.
 
     `files` has path, length, archive, entry, element and station_id. `line_pos` is the byte offset
-    of the line in its file. `partitions` saves the pass over the listing that sizes the tasks.
+    of the line in its file. `tasks` saves the pass over the listing that sizes the tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,8 +263,7 @@ def folder_lines(
                         )
 
     splits = _cut(files, "length", split_bytes)
-    spread = splits.repartition(partitions) if partitions else _spread(splits, split_bytes)
-    return spread.mapInArrow(
+    return _spread(splits, split_bytes, tasks).mapInArrow(
         run,
         "archive string, entry string, station_id int, element string, line_pos long, line string",
     )

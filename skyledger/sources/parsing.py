@@ -55,6 +55,16 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def line_dates(lines: DataFrame) -> DataFrame:
+    """obs_date of every data line that has one, whether or not its value is usable."""
+    keep = [c for c in lines.columns if c != "line"]
+    second = X.strip(F.get(F.split("line", ",", 3), F.lit(1)))
+    dated = computed_once(lines, keep, {"_date": second})
+    return computed_once(dated, keep, {"obs_date": X.to_date(F.col("_date"))}).filter(
+        F.col("obs_date").isNotNull()
+    )
+
+
 def good_observations(
     parsed: DataFrame,
     temperature_defects: str = "fail",
@@ -125,8 +135,8 @@ def parse_station_lines(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
         | (F.col("elevation").isNull() & ~F.col("_no_height"))
     )
     if on_bad == "fail":
-        keep = F.when(bad, F.raise_error(F.concat(F.lit("bad station line: "), "line")).cast("boolean"))
-        typed = typed.filter(keep.otherwise(F.lit(True)))
+        fail = F.raise_error(F.concat(F.lit("bad station line: "), "line")).cast("boolean")
+        typed = typed.filter(F.when(bad, fail).otherwise(F.lit(True)))
     elif on_bad == "drop":
         typed = typed.filter(~bad)
     else:

@@ -21,6 +21,7 @@ class ArchiveSet:
     archives: DataFrame
     errors: DataFrame
     stations: DataFrame
+    lines: DataFrame
     parsed: DataFrame
     observations: DataFrame
 
@@ -52,16 +53,18 @@ def open_archives(
     """
     entries = A.archive_entries(A.list_archives(spark, folder, pattern))
     usable = A.usable_archives(entries)
-    if usable.isEmpty():
+    total = usable.agg(F.sum("text_bytes")).first()[0]
+    if total is None:
         raise ValueError(f"no valid zip files found in {folder}")
     lines = A.archive_metadata_lines(usable, S.STATIONS_FILE)
     found = P.last_station_wins(P.parse_station_lines(lines), "archive_ord")
-    data = A.archive_lines(usable, elements, stations, header_lines, split_bytes)
+    tasks = A.tasks_for(total, split_bytes)
+    data = A.archive_lines(usable, elements, stations, header_lines, split_bytes, tasks=tasks)
     marked = _mark_known(data, found, "archive_ord")
     parsed = P.parse_observation_lines(marked)
     good = P.good_observations(parsed, temperature_defects, other_defects, F.col("known"))
     return ArchiveSet(
-        entries, usable, A.catalog_errors(entries), found, parsed.drop("known"), good.drop("known")
+        entries, usable, A.catalog_errors(entries), found, data, parsed.drop("known"), good.drop("known")
     )
 
 
@@ -110,7 +113,7 @@ def read_station_list(spark: SparkSession, path: str, on_bad: str = "fail") -> D
             F.lit(0).alias("station_id"),
         )
     )
-    lines = A.folder_lines(files, header_lines=0, partitions=1).select("line_pos", "line")
+    lines = A.folder_lines(files, header_lines=0, tasks=1).select("line_pos", "line")
     return P.last_station_wins(P.parse_station_lines(lines, on_bad))
 
 
