@@ -6,11 +6,13 @@ archive, or one large file in it, is therefore read by many tasks.
 
 from __future__ import annotations
 
+import re
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from .. import schemas as S
@@ -31,13 +33,20 @@ LINEAGE_SCHEMA = "archive string, entry string, " + LINE_SCHEMA
 
 
 def list_archives(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
-    """The `.zip` files right below `folder`, optionally those whose name contains `pattern`."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.zip")
-        .load(folder)
-        .select("path", F.element_at(F.split("path", "/"), -1).alias("archive"), "length")
-    )
+    """The `.zip` files right below `folder`, optionally those whose name contains `pattern`.
+
+    `folder` may also be one archive.
+    """
+    plain = re.sub(r"([\\*?{}\[\]])", r"\\\1", folder.rstrip("/"))
+    try:
+        found = spark.read.format("binaryFile").load(
+            plain if folder.endswith(".zip") else f"{plain}/*.zip"
+        )
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raise ValueError(f"no valid zip files found in {folder}") from e
+    files = found.select("path", F.element_at(F.split("path", "/"), -1).alias("archive"), "length")
     return files.filter(F.col("archive").contains(pattern)) if pattern else files
 
 
@@ -209,10 +218,11 @@ def archive_metadata_lines(archives: DataFrame, entry: str) -> DataFrame:
 
 
 def list_station_files(spark: SparkSession, folders: str | list[str]) -> DataFrame:
-    """Station files of the folders, by name; other files are left out."""
+    """Station files in or below the folders, by name; other files are left out."""
     found = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*_STAID*.txt")
+        .option("recursiveFileLookup", "true")
         .load(folders)
         .select("path", "length")
     )

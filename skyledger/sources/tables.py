@@ -15,10 +15,13 @@ cloudpickle.register_pickle_by_value(ranges)
 
 
 def check_codec(name: str) -> str:
-    """The codec name Spark uses; unknown names are refused before any work is done."""
+    """The codec name Spark uses; unknown names are refused before any work is done.
+
+    For lz4 that is the frame all Parquet readers share.
+    """
     if name not in S.CODECS:
         raise ValueError(f"unsupported compression: {name}")
-    return "lz4raw" if name == "lz4" else name
+    return "lz4_raw" if name == "lz4" else name
 
 
 def _write(df: DataFrame, path: str, codec: str, row_group_rows: int, probe, mode: str) -> bool:

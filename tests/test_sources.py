@@ -232,3 +232,15 @@ def test_invalid_utf8_and_crlf(spark, tmp_path):
     p.write_bytes(HEADER.encode() + b"1,19500101,10,0\r\n1,19500102,\xff,0\r\n1,19500103,30,0")
     got = ST.read_station_files(spark, str(p), temperature_defects="drop")
     assert rows(got, "value") == [(1.0,), (3.0,)]
+
+
+def test_folder_names_with_pattern_signs(spark, tmp_path, make_zip):
+    odd = tmp_path / "a [b] {c}"
+    (odd / "day=1").mkdir(parents=True)
+    make_zip(odd / "x y.zip", archive_files())
+    make_zip(odd / "day=1" / "z.zip", archive_files())
+    src = ST.open_archives(spark, str(odd))
+    assert rows(src.archives, "archive") == [("x y.zip",)]
+    assert src.observations.count() == 8
+    with pytest.raises(ValueError, match="no valid zip"):
+        ST.open_archives(spark, str(tmp_path / "absent"))
