@@ -230,35 +230,27 @@ def extreme_records(records: DataFrame) -> DataFrame:
 def _numbered_buckets(records: DataFrame) -> DataFrame:
     """(station, year) with its row count and the number of rows before it in (station, day) order.
 
-    Running totals are taken in three steps over domains of known size: groups of 65,536 station
-    numbers, stations in a group, years of a station. No window sees the dataset.
+    Running totals are taken in two steps over domains of known size: within groups of 4,096
+    station numbers, one row per station and year, and over the at most 524,288 groups. No window
+    sees the records.
     """
     years = records.groupBy("station_id", F.year("date").alias("_year")).agg(F.count(F.lit(1)).alias("_n"))
-    years = years.withColumn("_group", F.shiftright("station_id", 16))
-    stations = years.groupBy("_group", "station_id").agg(F.sum("_n").alias("_station_n"))
-    groups = stations.groupBy("_group").agg(F.sum("_station_n").alias("_group_n"))
+    years = years.withColumn("_group", F.shiftright("station_id", 12))
 
-    def before(n: str, *partition: str, order: str) -> Column:
-        w = W.partitionBy(*partition).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-        return F.coalesce(F.sum(n).over(w), F.lit(0))
+    def before(n: str, window) -> Column:
+        return F.coalesce(F.sum(n).over(window.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
 
+    groups = years.groupBy("_group").agg(F.sum("_n").alias("_group_n"))
     groups = groups.select(
         "_group",
-        before("_group_n", order="_group").alias("_g0"),
+        before("_group_n", W.orderBy("_group")).alias("_g0"),
         F.sum("_group_n").over(W.partitionBy()).alias("_total"),
     )
-    stations = stations.select(
-        "_group", "station_id", before("_station_n", "_group", order="station_id").alias("_s0")
-    )
+    in_group = before("_n", W.partitionBy("_group").orderBy("station_id", "_year"))
     return (
-        years.select(
-            "_group", "station_id", "_year", "_n", before("_n", "station_id", order="_year").alias("_y0")
-        )
-        .join(stations, ["_group", "station_id"])
-        .join(groups, "_group")
-        .select(
-            "station_id", "_year", "_n", "_total", (F.col("_g0") + F.col("_s0") + F.col("_y0")).alias("_start")
-        )
+        years.select("_group", "station_id", "_year", "_n", in_group.alias("_y0"))
+        .join(F.broadcast(groups), "_group")
+        .select("station_id", "_year", "_n", "_total", (F.col("_g0") + F.col("_y0")).alias("_start"))
     )
 
 
