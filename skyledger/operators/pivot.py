@@ -126,11 +126,18 @@ def to_weather(records: DataFrame, *extra: str) -> DataFrame:
 
 
 def archive_records(
-    obs: DataFrame, stations: DataFrame, quality_mode: str = "compact", seq_bits: int = S.SEQ_BITS
+    obs: DataFrame,
+    stations: DataFrame,
+    quality_mode: str = "compact",
+    seq_bits: int = S.SEQ_BITS,
+    all_known: bool = False,
 ) -> DataFrame:
-    """Records of each archive on its own, with `archive_ord` in front."""
+    """Records of each archive on its own, with `archive_ord` in front.
+
+    `all_known` says that `obs` holds stations of the list only, as the readers leave it.
+    """
     hint = join_hint(stations)
-    known = keep_known_stations(obs, stations, "archive_ord", hint=hint)
+    known = obs if all_known else keep_known_stations(obs, stations, "archive_ord", hint=hint)
     wide = pivot_observations(known, True, quality_mode, seq_bits)
     return to_weather(attach_station(wide, stations, "archive_ord", hint), "archive_ord")
 

@@ -55,26 +55,27 @@ def process_directory(
 ) -> ArchiveJob:
     """Read, merge, grade and report all archives of a folder; write when `output` is given.
 
-    The parsed observations are stored once as a table in the shared folder, as both the merge and
-    the per-archive reports start from them. `station` limits the records; the reports keep all
-    stations unless `filter_report` is set, in which case other stations' entries stay unread.
+    The long rows are shuffled once, into the records of each archive. These are stored as a table
+    in the shared folder, as both the merge and the per-archive reports start from them. `station`
+    limits the records; the reports keep all stations unless `filter_report` is set, in which case
+    other stations' entries stay unread.
     """
     T.check_codec(codec)
     if station is not None and filter_report:
         source_options["stations"] = [station]
     src = open_archives(spark, folder, pattern, **source_options)
-    obs = materialize(src.observations)
-    per_archive = V.archive_records(obs, src.stations, quality_mode)
-    everything = V.unified_records(obs, src.stations, quality_mode)
-    wanted = obs if station is None else obs.filter(F.col("station_id") == station)
-    records = everything if station is None else V.unified_records(wanted, src.stations, quality_mode)
+    per_archive = materialize(
+        V.archive_records(src.observations, src.stations, quality_mode, all_known=True)
+    )
+    wanted = per_archive if station is None else per_archive.filter(F.col("station_id") == station)
+    records = V.merge_records(wanted, quality_mode)
     written = None
-    if output is not None:
-        # the observations hold known stations only: no observation, no record
+    if output is None:
+        records = materialize(records)
+    else:
         written = T.write_weather(records, output, codec, probe=wanted)
-        if written:
-            records = T.read_weather(spark, output)
-            everything = records if station is None else everything
+        records = T.read_weather(spark, output) if written else records
+    everything = records if station is None else V.merge_records(per_archive, quality_mode)
     each = _report(per_archive, "archive_ord")
     return ArchiveJob(
         src,

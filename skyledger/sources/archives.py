@@ -118,15 +118,16 @@ def usable_archives(entries: DataFrame) -> DataFrame:
     )
 
 
-def tasks_for(total_bytes: int, split_bytes: int) -> int:
-    return max(1, -(-total_bytes // split_bytes))
+def tasks_for(spark: SparkSession, total_bytes: int, files: int, split_bytes: int) -> int:
+    """One task per split's worth of text; small inputs still use the cores there are files for."""
+    return max(1, -(-total_bytes // split_bytes), min(files, spark.sparkContext.defaultParallelism))
 
 
 def _spread(splits: DataFrame, split_bytes: int, tasks: int | None) -> DataFrame:
     """Give each task about one split's worth of text. The rows moved are names and offsets."""
     if tasks is None:
-        total = splits.agg(F.sum(F.col("hi") - F.col("lo"))).first()[0] or 0
-        tasks = tasks_for(total, split_bytes)
+        total = splits.agg(F.sum(F.col("hi") - F.col("lo")), F.count(F.lit(1))).first()
+        tasks = tasks_for(splits.sparkSession, total[0] or 0, total[1], split_bytes)
     return splits.repartition(tasks)
 
 
@@ -156,9 +157,9 @@ def archive_lines(
     wanted = (set(elements) if elements else None, set(stations) if stations else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield from read_split(row)
+        yield from ranges.in_large_batches(
+            piece for batch in batches for row in batch.to_pylist() for piece in read_split(row)
+        )
 
     def read_split(row: dict) -> Iterator[pa.RecordBatch]:
         with ranges.open_input(row["path"]) as raw, zipfile.ZipFile(raw) as z:
@@ -256,21 +257,24 @@ def folder_lines(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                with ranges.open_input(row["path"]) as stream:
-                    for offsets, lines in ranges.lines_in_range(stream, row["lo"], row["hi"], header_lines):
-                        n = len(lines)
-                        yield pa.RecordBatch.from_pydict(
-                            {
-                                "archive": pa.repeat(row["archive"], n),
-                                "entry": pa.repeat(row["entry"], n),
-                                "station_id": pa.repeat(pa.scalar(row["station_id"], pa.int32()), n),
-                                "element": pa.repeat(row["element"], n),
-                                "line_pos": pa.array(offsets, pa.int64()),
-                                "line": lines,
-                            }
-                        )
+        yield from ranges.in_large_batches(
+            piece for batch in batches for row in batch.to_pylist() for piece in read_split(row)
+        )
+
+    def read_split(row: dict) -> Iterator[pa.RecordBatch]:
+        with ranges.open_input(row["path"]) as stream:
+            for offsets, lines in ranges.lines_in_range(stream, row["lo"], row["hi"], header_lines):
+                n = len(lines)
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "archive": pa.repeat(row["archive"], n),
+                        "entry": pa.repeat(row["entry"], n),
+                        "station_id": pa.repeat(pa.scalar(row["station_id"], pa.int32()), n),
+                        "element": pa.repeat(row["element"], n),
+                        "line_pos": pa.array(offsets, pa.int64()),
+                        "line": lines,
+                    }
+                )
 
     splits = _cut(files, "length", split_bytes)
     return _spread(splits, split_bytes, tasks).mapInArrow(

@@ -20,12 +20,11 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
     """
     keep = [c for c in lines.columns if c != "line"]
     parts = F.col("_parts")
-    split = computed_once(
-        lines, keep, {"_parts": F.split("line", ",", 5), "_plain": X.is_plain(F.col("line"))}
-    ).filter(F.size(parts) >= 4)
     names = ("_source", "_date", "_value", "_flag")
-    fields = {n: X.field(parts, i, F.col("_plain")) for i, n in enumerate(names)}
-    raw = computed_once(split, keep, fields)
+    fields = [X.field(parts, i, F.col("_plain")).alias(n) for i, n in enumerate(names)]
+    raw = lines.select(
+        *keep, F.split("line", ",", 5).alias("_parts"), X.is_plain(F.col("line")).alias("_plain")
+    ).select(*keep, *fields)
     is_temp = F.col("element").isin(S.TEMPERATURE_PREFIXES)
     flag = X.to_unsigned(F.col("_flag"), 255).cast("int")
     typed = computed_once(
@@ -48,11 +47,10 @@ def parse_observation_lines(lines: DataFrame) -> DataFrame:
         .when(F.col("value").isNull(), F.concat(F.lit("value: "), "_value"))
         .when(F.col("qflag").isNull(), F.concat(F.lit("flag: "), "_flag"))
     )
-    return (
-        typed.withColumn("defect", defect)
-        .filter(F.col("defect").isNotNull() | ~missing)
-        .drop(*names)
-    )
+    # One condition, so that no part of it is moved below the typing and repeats the splitting.
+    short = F.col("_flag").isNull()
+    keep_line = F.when(short, F.lit(False)).otherwise(F.col("defect").isNotNull() | ~missing)
+    return typed.withColumn("defect", defect).filter(keep_line).drop(*names)
 
 
 def line_dates(lines: DataFrame) -> DataFrame:

@@ -88,6 +88,20 @@ def _as_strings(text: bytes, count: int) -> pa.Array:
     return pc.utf8_rtrim(lines, "\r\n")
 
 
+def in_large_batches(batches: Iterator[pa.RecordBatch], rows: int = 1 << 15) -> Iterator[pa.RecordBatch]:
+    """Joins the batches of many small files; each batch handed to Spark has a fixed cost."""
+    held: list[pa.RecordBatch] = []
+    count = 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, count = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 # --- archives ----------------------------------------------------------------------------------
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
 from ..functions import geo as G
-from ..tuning import small_side
+from ..tuning import materialize, small_side
 from . import archives as A
 from . import parsing as P
 
@@ -53,12 +53,13 @@ def open_archives(
     """
     entries = A.archive_entries(A.list_archives(spark, folder, pattern))
     usable = A.usable_archives(entries)
-    total = usable.agg(F.sum("text_bytes")).first()[0]
-    if total is None:
+    total, files = usable.agg(F.sum("text_bytes"), F.count(F.lit(1))).first()
+    if not files:
         raise ValueError(f"no valid zip files found in {folder}")
     lines = A.archive_metadata_lines(usable, S.STATIONS_FILE)
-    found = P.last_station_wins(P.parse_station_lines(lines), "archive_ord")
-    tasks = A.tasks_for(total, split_bytes)
+    # small, and looked at several times: unpacked once
+    found = materialize(P.last_station_wins(P.parse_station_lines(lines), "archive_ord"))
+    tasks = A.tasks_for(spark, total, files, split_bytes)
     data = A.archive_lines(usable, elements, stations, header_lines, split_bytes, tasks=tasks)
     marked = _mark_known(data, found, "archive_ord")
     parsed = P.parse_observation_lines(marked)
