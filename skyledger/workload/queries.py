@@ -19,7 +19,7 @@ from ..operators.batches import process_in_batches
 from ..plans import documented as D
 from ..sources import parsing as P
 from ..sources import tables as T
-from ..tuning import scratch_folder
+from ..tuning import materialize, scratch_folder
 from . import inputs as N
 from . import twins as W
 from .twins import sql
@@ -299,13 +299,13 @@ def unified_records_positional(spark, d):
 
 @query("merge_stored_archives", sql("select * from uni", "uni"))
 def merge_stored_archives(spark, d):
-    """The two-step way: per-archive records merged by key."""
-    return V.merge_records(archive_records(spark, d))
+    """The two-step way: stored per-archive records merged by key."""
+    return V.merge_records(materialize(archive_records(spark, d)))
 
 
 @query("merge_stored_archives_positional", sql("select * from uni_pos", "uni_pos"))
 def merge_stored_archives_positional(spark, d):
-    return V.merge_records(archive_records(spark, d, "positional"), "positional")
+    return V.merge_records(materialize(archive_records(spark, d, "positional")), "positional")
 
 
 @query("unified_station_filter", sql("select * from uni where station_id = 7", "uni"))
