@@ -336,10 +336,9 @@ def v1_statistics(records: DataFrame) -> DataFrame:
         *[F.max(k).alias(k) for k in ("max_lat", "max_lon")],
     ).filter(F.col("total_records") > 0)
     places = records.agg(
-        F.min(key("min_temp", 1)).alias("lo"), F.max(key("max_temp", -1)).alias("hi")
+        F.struct(F.min(key("min_temp", 1)).alias("lo"), F.max(key("max_temp", -1)).alias("hi")).alias("p")
     )
-    one_row = F.lit(1).alias("_row")
-    total = total.select(one_row, "*").join(places.select(one_row, "*"), "_row")
+    total = total.select("*", places.scalar().alias("p")).select("*", "p.*")
     nothing = F.lit("No valid measurements")
     return total.select(
         "total_records",
