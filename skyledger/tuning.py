@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -41,16 +43,23 @@ def computed_once(df: DataFrame, keep: list[str], columns: dict[str, Column]) ->
 def scratch_folder(spark: SparkSession) -> str:
     """A new folder below the shared checkpoint folder of the cluster.
 
-    The cluster names it in `spark.checkpoint.dir`. Only where that is unset, as in local tests, a
-    folder of this machine is chosen and stored in the session.
+    The cluster names it in `spark.checkpoint.dir`; the setting is read and never changed. Only a
+    local master may leave it unset, as in tests: then a folder of this machine is taken. Anywhere
+    else executors would write to disks of their own, so an unset folder is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="skyledger-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _local_folder()
     return f"{base.rstrip('/')}/skyledger-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="skyledger-")
+
+
 def materialize(df: DataFrame, *partition_by: str) -> DataFrame:
     """Write `df` once as Parquet in the shared folder and read it back.
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from skyledger.workload import queries as registered
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -26,7 +27,7 @@ def plain(v):
     return None if v is None else str(v)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registered.TWINS))
 def test_query_equals_its_twin(spark, duck, name):
     df = entry.queries()[name](spark, SF)
     columns = sorted(df.columns)
@@ -46,8 +47,6 @@ def test_entry(spark):
 
 def test_merge_plan(spark):
     """Pruned columns, one hash aggregate pair and one exchange of the data on (station, day)."""
-    from skyledger.workload import queries as registered
-
     df = registered.unified(spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(station_id") == 1

@@ -141,3 +141,22 @@ def test_nothing_to_write(spark, tmp_path, make_zip):
     archive(make_zip, folder / "a.zip", {"TN": [(20200101, 100, 0)]})
     job = J.process_directory(spark, str(folder), str(tmp_path / "out"), station=1)
     assert job.written is False and not (tmp_path / "out").exists()
+
+
+def test_scratch_folder_without_a_shared_folder():
+    from types import SimpleNamespace
+
+    from skyledger.tuning import scratch_folder
+
+    def session(master):
+        settings = {}
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=settings.get, set=settings.__setitem__),
+            sparkContext=SimpleNamespace(master=master),
+            settings=settings,
+        )
+
+    assert scratch_folder(local := session("local[4]")) and not local.settings
+    for master in ("local-cluster[3,2,3000]", "spark://host:7077", "yarn"):
+        with pytest.raises(ValueError):
+            scratch_folder(session(master))
