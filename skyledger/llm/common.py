@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SLICE_CHARS = 2 << 20
 
@@ -29,20 +30,33 @@ def open_output(path: str):
     return system.open_output_stream(inner)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", binary: bool = False) -> Iterator[tuple[pa.RecordBatch, list]]:
     """(rows, their texts) in slices of about SLICE_CHARS bytes of text; null texts come as empty.
 
-    A slice holds one text at least, so memory follows the longest text and not the batch.
+    A slice holds one text at least, so memory follows the longest text and not the batch. `binary`
+    gives UTF-8 bytes.
     """
+    none = b"" if binary else ""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
-        at = 0
         sizes = [x or 0 for x in pa.compute.binary_length(column).to_pylist()]
+        if binary:
+            column = column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary())
+        at = 0
         while at < len(sizes):
             end, total = at + 1, sizes[at]
             while end < len(sizes) and total + sizes[end] <= SLICE_CHARS:
                 total += sizes[end]
                 end += 1
-            part = batch.slice(at, end - at)
-            yield part, [x or "" for x in column.slice(at, end - at).to_pylist()]
+            yield batch.slice(at, end - at), [x or none for x in column.slice(at, end - at).to_pylist()]
             at = end
+
+
+def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
+    """`batch` and the new columns behind its own."""
+    return pa.RecordBatch.from_arrays([*batch.columns, *columns.values()], [*batch.schema.names, *columns])
+
+
+def extended(documents: DataFrame, columns: str) -> StructType:
+    """The schema of `documents` and of the columns in DDL behind it."""
+    return StructType([*documents.schema.fields, *StructType.fromDDL(columns).fields])

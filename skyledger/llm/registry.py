@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from skyledger.llm import idfiles, packing
+from skyledger.llm import contamination, idfiles, langid, packing, sharding
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op5_language_filters": langid.op5_language_filters,
+    "op6_wu_manber_contamination": contamination.op6_wu_manber_contamination,
+    "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_token_id_files": idfiles.op10_token_id_files,
 }
 
