@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from skyledger.llm import contamination, idfiles, langid, packing, sharding
+from skyledger.llm import contamination, idfiles, jaccard, langid, packing, sharding
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op5_language_filters": langid.op5_language_filters,
     "op6_wu_manber_contamination": contamination.op6_wu_manber_contamination,
+    "op8_jaccard_components": jaccard.op8_jaccard_components,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_token_id_files": idfiles.op10_token_id_files,
 }
