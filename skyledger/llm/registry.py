@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from skyledger.llm import contamination, idfiles, jaccard, langid, packing, sharding
+from skyledger.llm import contamination, idfiles, jaccard, langid, packing, secretscan, sharding, warc
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_warc_boundary_chain": warc.op2_warc_boundary_chain,
+    "op4_assignment_secrets": secretscan.op4_assignment_secrets,
     "op5_language_filters": langid.op5_language_filters,
     "op6_wu_manber_contamination": contamination.op6_wu_manber_contamination,
     "op8_jaccard_components": jaccard.op8_jaccard_components,
@@ -13,4 +15,4 @@ QUERIES = {
     "op10_token_id_files": idfiles.op10_token_id_files,
 }
 
-TWINS: dict[str, str] = {}
+TWINS: dict[str, str] = {"op2_warc_boundary_chain": warc.TWIN}
