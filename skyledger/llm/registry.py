@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from skyledger.llm import contamination, idfiles, jaccard, langid, packing, secretscan, sharding, warc
+import corpus_pipeline
+from skyledger.llm import contamination, idfiles, jaccard, langid, lmscore, packing, secretscan, sharding, topk, warc
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_warc_boundary_chain": warc.op2_warc_boundary_chain,
+    "op3_cross_entropy_difference": lmscore.op3_cross_entropy_difference,
     "op4_assignment_secrets": secretscan.op4_assignment_secrets,
     "op5_language_filters": langid.op5_language_filters,
     "op6_wu_manber_contamination": contamination.op6_wu_manber_contamination,
+    "op7_ball_tree_top_products": topk.op7_ball_tree_top_products,
     "op8_jaccard_components": jaccard.op8_jaccard_components,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_token_id_files": idfiles.op10_token_id_files,
+    "pipeline": corpus_pipeline.run,
 }
 
-TWINS: dict[str, str] = {"op2_warc_boundary_chain": warc.TWIN}
+TWINS: dict[str, str] = {"op2_warc_boundary_chain": warc.TWIN, "op7_ball_tree_top_products": topk.TWIN}
