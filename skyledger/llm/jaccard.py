@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from skyledger.llm.common import slices, table
 from skyledger.llm.components import components
-from skyledger.tuning import materialize
+from skyledger.tuning import materialize, small_side
 
 WORDS = 4
 PERCENT = 85
@@ -217,12 +217,14 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     shared = once.withColumn("holders", F.count("*").over(Window.partitionBy("token"))).where("holders > 1").drop("holders")
     entries = materialize(shared.join(sets.select("set_key", "n", "g0", "g1", "g2", "g3"), "set_key"))
 
-    wanted = entries.select("set_key").distinct().join(sets.select("set_key", "first.*"), "set_key")
-    same = [F.coalesce(F.col("doc_id"), F.lit(-1)).alias("d"), "text_hash"]
-    chosen = texts.select(*same, "text").join(wanted.select("set_key", *same), ["d", "text_hash"]).select("set_key", "text")
-    hashes = materialize(chosen.mapInArrow(_sets(words), "set_key long, hashes binary").dropDuplicates(["set_key"]))
-
     def links(pairs: DataFrame) -> DataFrame:
+        """Compares the sets of each pair; only texts that stand in a pair are read for it."""
+        pairs = materialize(pairs)
+        wanted = pairs.select("a").union(pairs.select("b")).distinct().join(sets.select(F.col("set_key").alias("a"), "first.*"), "a")
+        same = [F.coalesce(F.col("doc_id"), F.lit(-1)).alias("d"), "text_hash"]
+        wanted = small_side(materialize(wanted.select(F.col("a").alias("set_key"), *same)))
+        chosen = texts.select(*same, "text").join(wanted, ["d", "text_hash"]).select("set_key", "text")
+        hashes = materialize(chosen.mapInArrow(_sets(words), "set_key long, hashes binary").dropDuplicates(["set_key"]))
         x = hashes.select(F.col("set_key").alias("a"), F.col("hashes").alias("x"))
         y = hashes.select(F.col("set_key").alias("b"), F.col("hashes").alias("y"))
         both = pairs.join(x, "a").join(y, "b").withColumn("common", F.pandas_udf(_common, "int")("x", "y"))

@@ -65,7 +65,8 @@ class PairModel:
         return cls(counts.astype(np.float32), counts.sum(axis=1).astype(np.float64), single / single.sum())
 
     def losses(self, before: np.ndarray, symbol: np.ndarray) -> np.ndarray:
-        return -np.log((self.pairs[before, symbol] + PSEUDO * self.single[symbol]) / (self.before[before] + PSEUDO))
+        with np.errstate(divide="ignore"):  # of a beginning, which nothing precedes
+            return -np.log((self.pairs[before, symbol] + PSEUDO * self.single[symbol]) / (self.before[before] + PSEUDO))
 
 
 @dataclass

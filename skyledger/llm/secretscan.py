@@ -91,15 +91,15 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
     return [("literal", a, b) for a, b in sorted(spans)]
 
 
-def scan(documents: DataFrame) -> DataFrame:
-    """`documents` with `secrets`: array of (kind, start, end) by start and then kind.
+def scan(documents: DataFrame, name: str = "secrets") -> DataFrame:
+    """`documents` with a column of the name: array of (kind, start, end) by start and then kind.
 
     Places are code points of the whole text, ends exclusive. A null or empty text has none. Texts of
     any length are read whole; names and literals beyond LONGEST_NAME and LONGEST_LITERAL characters
     are no name-literal pairs. An earlier column of the name is replaced; other columns and repeated
     rows stay.
     """
-    documents = documents.drop("secrets")
+    documents = documents.drop(name)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def find(batches):
@@ -109,14 +109,14 @@ def scan(documents: DataFrame) -> DataFrame:
                 spans = base_spans(text) + literal_spans(text)
                 spans.sort(key=lambda s: (s[1], KINDS.index(s[0])))
                 rows.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-            yield with_columns(part, {"secrets": pa.array(rows, kind)})
+            yield with_columns(part, {name: pa.array(rows, kind)})
 
-    return documents.mapInArrow(find, extended(documents, "secrets array<struct<kind: string, start: int, end: int>>"))
+    return documents.mapInArrow(find, extended(documents, f"{name} array<struct<kind: string, start: int, end: int>>"))
 
 
 def redact(documents: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
     """`documents` with every secret in `text` replaced by the mark; a null text stays null."""
-    found = scan(documents)
+    found = scan(documents, "_secrets_found")
 
     def replace(batches):
         for batch in batches:
