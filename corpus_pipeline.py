@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.llm import contamination, jaccard, langid, packing, secretscan
 from skyledger.llm.common import table
-from skyledger.tuning import materialize
+from skyledger.tuning import materialize, small_side
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,6 +31,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     linked = materialize(jaccard.link_components(docs))
     gone = linked.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    gone = small_side(materialize(gone))
     kept = docs.join(gone, "doc_id", "left_anti")
     again = materialize(linked.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"))
     if not again.isEmpty():

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import re
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 import pyarrow.compute
@@ -13,6 +16,20 @@ from pyspark.sql.types import StructType
 SLICE_CHARS = 2 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Makes this package importable in the tasks of the session, wherever the driver was started."""
+    context = spark.sparkContext
+    if getattr(context, "_skyledger_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[2]
+    archive = Path(tempfile.mkdtemp(prefix="skyledger-")) / "skyledger.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted((root / "skyledger").rglob("*.py")):
+            z.write(file, str(file.relative_to(root)))
+    context.addPyFile(str(archive))
+    context._skyledger_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

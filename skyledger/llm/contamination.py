@@ -13,7 +13,7 @@ import math
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm.common import extended, slices, table, with_columns
+from skyledger.llm.common import extended, ship, slices, table, with_columns
 from skyledger.tuning import materialize
 
 WINDOW = 13
@@ -89,6 +89,7 @@ def find_passages(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     replaced, other columns stay. The benchmark is searched for in blocks of ITEM_BYTES of text, one
     broadcast each; with more than one block the documents are stored between them.
     """
+    ship(documents.sparkSession)
     documents = documents.drop("n_words", "hit_spans", "hit_items")
     items = benchmark.where("text is not null").select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("binary").alias("text"))
     blocks = math.ceil((items.agg(F.sum(F.length("text"))).first()[0] or 0) / ITEM_BYTES) or 1

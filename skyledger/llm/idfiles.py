@@ -18,7 +18,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from skyledger.llm.common import open_output, slices, table
+from skyledger.llm.common import open_output, ship, slices, table
 from skyledger.llm.tokens import encoder, vocabulary
 from skyledger.sources.ranges import open_input
 from skyledger.tuning import materialize, scratch_folder
@@ -162,6 +162,7 @@ def write_ids(documents: DataFrame, folder: str, path: str | None = None, end_id
     doc_id follow in the order of the input; other columns are left out; an empty table gives an
     empty manifest. `path`: a vocabulary file that drops white space and case.
     """
+    ship(documents.sparkSession)
     path = path or vocabulary(VOCABULARY)
     end = int(end_id).to_bytes(4, "little")
 
@@ -195,6 +196,7 @@ def read_ids(manifest: DataFrame) -> DataFrame:
     One task reads a file as a stream. The window runs over the manifest, a row per file.
     """
 
+    ship(manifest.sparkSession)
     def read(batches):
         for batch in batches:
             for path, base in zip(*(batch.column(k).to_pylist() for k in (0, 1))):

@@ -19,7 +19,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from skyledger.llm.common import slices, table
+from skyledger.llm.common import ship, slices, table
 from skyledger.llm.components import components
 from skyledger.tuning import materialize, small_side
 
@@ -197,6 +197,7 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     gives its component no name of its own (null if it has no other). Other columns are left out; an
     empty table gives no rows. Shingles and sets are told apart by 64-bit hashes.
     """
+    ship(documents.sparkSession)
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
     profile = materialize(texts.mapInArrow(_profile(words), PROFILE))

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from skyledger.llm.common import extended, slices, table, with_columns
+from skyledger.llm.common import extended, ship, slices, table, with_columns
 
 CODE_BITS = 20
 SLOT_BITS = 16
@@ -94,6 +94,7 @@ def fit(documents: DataFrame) -> LanguageFilter | None:
     and the filter get. A null text has no n-grams.
     """
 
+    ship(documents.sparkSession)
     def count(batches):
         held: dict[str, np.ndarray] = {}
         for part, texts in slices(batches, binary=True):
@@ -143,6 +144,7 @@ def identify(documents: DataFrame, model: LanguageFilter | None) -> DataFrame:
     with no known n-gram gets the language with the most training text and score 0. Earlier columns
     of the two names are replaced; all other columns and repeated rows stay.
     """
+    ship(documents.sparkSession)
     documents = documents.drop("lang_pred", "score")
     sent = documents.sparkSession.sparkContext.broadcast(model)
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm.common import extended, slices, table, with_columns
+from skyledger.llm.common import extended, ship, slices, table, with_columns
 from skyledger.tuning import materialize, small_side
 
 WORDS = 1536
@@ -79,6 +79,7 @@ class Models:
 def count_words(documents: DataFrame, words: int = WORDS) -> Vocabulary:
     """The most frequent words of all texts, ties in byte order. Only they come to the driver."""
 
+    ship(documents.sparkSession)
     def count(batches):
         counts = Counter()
         for _, texts in slices(batches, binary=True):
@@ -103,6 +104,7 @@ def pair_counts(documents: DataFrame, vocabulary: Vocabulary) -> tuple[np.ndarra
     Tasks send their tables in compressed blocks; a block's parts are added as they stream by. The
     size of the result follows the vocabulary alone.
     """
+    ship(documents.sparkSession)
     size = len(vocabulary)
     sent = documents.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -169,6 +171,7 @@ def score(documents: DataFrame, models: Models) -> DataFrame:
     A low difference is like the target. A text that is null or without words has 0 tokens and nulls.
     Earlier columns of these names are replaced; other columns and repeated rows stay.
     """
+    ship(documents.sparkSession)
     documents = documents.drop("n_tokens", "target_loss", "background_loss", "difference")
     sent = documents.sparkSession.sparkContext.broadcast(models)
 

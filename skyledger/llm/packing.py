@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from skyledger.llm.common import slices, table
+from skyledger.llm.common import ship, slices, table
 from skyledger.llm.tokens import encoder, vocabulary
 from skyledger.tuning import materialize
 
@@ -104,6 +104,7 @@ def cut_documents(documents: DataFrame, capacity: int = CAPACITY, path: str | No
     end id alone; a null doc_id is kept; repeated rows give repeated pieces; other columns are left
     out; no rows give no pieces. `path` is a byte-level vocabulary file of the tokenizers library.
     """
+    ship(documents.sparkSession)
     path = path or vocabulary(VOCABULARY)
     end = int(end_id).to_bytes(4, "little")
 
@@ -137,6 +138,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     is an error. Pieces of one length and repeated rows are told apart by their place in the input.
     The input is computed once and kept in the shared folder, so ranks hold when tasks run again.
     """
+    ship(pieces.sparkSession)
     if not 0 < capacity < 1 << 22:
         raise ValueError("capacity must be from 1 to 4194303")
     part, at, rank = "_pack_part", "_pack_at", "_pack_rank"

@@ -15,7 +15,7 @@ from collections import Counter
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm.common import extended, slices, table, with_columns
+from skyledger.llm.common import extended, ship, slices, table, with_columns
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -99,6 +99,7 @@ def scan(documents: DataFrame, name: str = "secrets") -> DataFrame:
     are no name-literal pairs. An earlier column of the name is replaced; other columns and repeated
     rows stay.
     """
+    ship(documents.sparkSession)
     documents = documents.drop(name)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

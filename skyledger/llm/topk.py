@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from skyledger.llm.common import table
+from skyledger.llm.common import ship, table
 from skyledger.tuning import materialize
 
 K = 10
@@ -161,6 +161,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = K, query_rows:
     Products must stay below 2 ** 53, so that they are exact; larger ones are an error. Queries are
     searched for in blocks of `query_rows`, each against all shards.
     """
+    ship(vectors.sparkSession)
     clean = [f.select(F.col("vec_id").cast("long"), "embedding").where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))) for f in (vectors, queries)]
     shards = materialize(packed(clean[0], SHARD_ROWS).withColumn("shard", F.monotonically_increasing_id()))
     blocks = materialize(packed(clean[1], query_rows).withColumn("block", F.monotonically_increasing_id()))

@@ -18,7 +18,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from skyledger.llm.common import open_output, slices, table
+from skyledger.llm.common import open_output, ship, slices, table
 from skyledger.sources.ranges import open_input
 from skyledger.tuning import materialize, scratch_folder
 
@@ -63,6 +63,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     left out of the record; other columns are left out; repeated rows are repeated records. Payloads
     travel compressed to the writers. Only files of finished tasks come into the result.
     """
+    ship(pages.sparkSession)
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     first = pages.select("page_id", F.sha1(payload).alias("sha1"), F.length(payload).alias("size")).where(F.col("size") >= least_bytes)
     first = first.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
@@ -143,6 +144,7 @@ def candidates(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
     `next` is where the record after it would begin; `leaves` is where the chain of candidates from
     here leaves the range. A place whose record would end behind the file is no candidate.
     """
+    ship(archives.sparkSession)
     ranges = archives.where("bytes > 0").select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("lo"))
     count = archives.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
 
