@@ -12,23 +12,28 @@ def components(edges: DataFrame) -> DataFrame:
 
     Edges with a null end are left out; loops, repeated and reversed edges do no harm. Every round
     joins each node's edges to its least neighbour, so trees flatten in a number of rounds that
-    grows with the logarithm of the nodes. Rounds are written to the shared folder.
+    grows with the logarithm of the nodes; it ends when all edges are stars around least nodes. Rounds
+    are written to the shared folder.
     """
     edges = edges.where("a is not null and b is not null and a != b")
-    edges = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    edges = materialize(edges.distinct())
-    seen = None
-    while (now := edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % (1 << 31))).first()) != seen:
-        seen = now
+    edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    while not _stars(edges):
         edges = materialize(_small_star(_large_star(edges)))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v")).distinct()
 
 
+def _stars(edges: DataFrame) -> bool:
+    """Whether every node has one edge down, or only edges up."""
+    ends = edges.select("u", "v").union(edges.select("v", F.lit(None)))
+    ends = ends.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most"), F.count("*").alias("n"), F.count("v").alias("down"))
+    return ends.where("least != most or (down > 0 and n > down)").isEmpty()
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Larger neighbours of a node are joined to the least node beside or at it."""
     both = edges.union(edges.select("v", "u"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.where("v > u").join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

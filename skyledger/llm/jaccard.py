@@ -5,8 +5,9 @@ meet on prefix shingles; the lengths, the shingle's places and a bound on the re
 discard pairs; what is left is compared once. Documents of equal sets count as one throughout.
 
 Groups of near copies would meet in all pairs. So each prefix shingle first pairs its documents with
-one of them only; the links found make components, and only documents that are still in different
-components meet in full. A pair within a component can't change it, so no component is missed.
+one of them only. A document takes the label of the least one it is linked with, or of that one's, and
+only documents of different labels meet in full. Equal labels mean one component, and a pair within a
+component can't change it, so no component is missed.
 """
 
 from __future__ import annotations
@@ -237,10 +238,10 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     met = entries.select(F.struct(*fields).alias("x"), pivot.alias("y")).where("x.set_key > y.set_key")
     pairs = met.where(_may_link("x", "y", percent)).select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")).distinct()
     tried = links(pairs)
-    labels = components(tried.where("linked"))
-
-    now = entries.join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
-    now = materialize(now)
+    below = tried.where("linked").groupBy("a").agg(F.min("b").alias("b"))  # a is above b
+    further = below.select(F.col("a").alias("b"), F.col("b").alias("c"))
+    labels = below.join(further, "b", "left").select(F.col("a").alias("set_key"), F.coalesce("c", "b").alias("label"))
+    now = materialize(entries.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key")))
     sizes = now.groupBy("token", "label").count().groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("mode"), F.count("*").alias("labels"))
     open_ = now.join(sizes.where("labels > 1"), "token")
     x, y = open_.where("label != mode").alias("x"), open_.alias("y")
