@@ -67,6 +67,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", binary: bool =
                 end += 1
             yield batch.slice(at, end - at), [x or none for x in column.slice(at, end - at).to_pylist()]
             at = end
+    pa.default_memory_pool().release_unused()  # the worker lives on
 
 
 def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:

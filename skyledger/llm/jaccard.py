@@ -41,7 +41,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-@functools.lru_cache(2)
+@functools.lru_cache(1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The base's powers and their inverses modulo 2 ** 64."""
     inverse = np.array([pow(int(_BASE), -1, 1 << 64)], np.uint64)
@@ -57,7 +57,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     is one shingle, a text without words has none.
     """
     raw = np.frombuffer(b"".join(t.lower() + b" " for t in texts), np.uint8)
-    up, down = _powers(1 << max(22, int(len(raw)).bit_length()))
+    up, down = _powers(1 << max(21, int(len(raw)).bit_length()))
     space = _SPACE[raw]
     edge = np.diff(space.view(np.int8), prepend=np.int8(1))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)

@@ -91,8 +91,13 @@ def literal_spans(text: str) -> list[tuple[str, int, int]]:
     return [("literal", a, b) for a, b in sorted(spans)]
 
 
-def scan(documents: DataFrame, name: str = "secrets") -> DataFrame:
-    """`documents` with a column of the name: array of (kind, start, end) by start and then kind.
+def all_spans(text: str) -> list[tuple[str, int, int]]:
+    """Spans of all kinds by start and then kind."""
+    return sorted(base_spans(text) + literal_spans(text), key=lambda s: (s[1], KINDS.index(s[0])))
+
+
+def scan(documents: DataFrame) -> DataFrame:
+    """`documents` with `secrets`: array of (kind, start, end) by start and then kind.
 
     Places are code points of the whole text, ends exclusive. A null or empty text has none. Texts of
     any length are read whole; names and literals beyond LONGEST_NAME and LONGEST_LITERAL characters
@@ -100,51 +105,43 @@ def scan(documents: DataFrame, name: str = "secrets") -> DataFrame:
     rows stay.
     """
     ship(documents.sparkSession)
-    documents = documents.drop(name)
+    documents = documents.drop("secrets")
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def find(batches):
         for part, texts in slices(batches):
-            rows = []
-            for text in texts:
-                spans = base_spans(text) + literal_spans(text)
-                spans.sort(key=lambda s: (s[1], KINDS.index(s[0])))
-                rows.append([{"kind": k, "start": a, "end": b} for k, a, b in spans])
-            yield with_columns(part, {name: pa.array(rows, kind)})
+            rows = [[{"kind": k, "start": a, "end": b} for k, a, b in all_spans(text)] for text in texts]
+            yield with_columns(part, {"secrets": pa.array(rows, kind)})
+
+    return documents.mapInArrow(find, extended(documents, "secrets array<struct<kind: string, start: int, end: int>>"))
 
-    return documents.mapInArrow(find, extended(documents, f"{name} array<struct<kind: string, start: int, end: int>>"))
+
+def redacted(text: str, mark: str) -> str:
+    parts, done = [], 0
+    for _, a, b in all_spans(text):
+        if a >= done:
+            parts += [text[done:a], mark]
+        done = max(done, b)
+    return "".join(parts) + text[done:]
 
 
 def redact(documents: DataFrame, mark: str = "[REDACTED]") -> DataFrame:
-    """`documents` with every secret in `text` replaced by the mark; a null text stays null."""
-    found = scan(documents, "_secrets_found")
+    """`documents` with every secret in `text` replaced by the mark, overlapping ones by one mark.
+
+    A null text stays null; all rows and other columns stay.
+    """
+    ship(documents.sparkSession)
 
     def replace(batches):
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            texts = batch.column(at).to_pylist()
-            for k, spans in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
-                if spans:
-                    parts, done = [], 0
-                    for a, b in _united([(s["start"], s["end"]) for s in spans]):
-                        parts += [texts[k][done:a], mark]
-                        done = b
-                    texts[k] = "".join(parts) + texts[k][done:]
-            columns = list(batch.columns[:-1])
-            columns[at] = pa.array(texts, batch.schema.types[at])
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
-
-    return found.mapInArrow(replace, documents.schema)
-
-
-def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for a, b in spans:
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(b, out[-1][1]))
-        else:
-            out.append((a, b))
-    return out
+        for part, texts in slices(batches):
+            at = part.schema.get_field_index("text")
+            nulls = part.column(at).is_null().to_pylist()
+            new = [None if null else redacted(text, mark) for null, text in zip(nulls, texts)]
+            columns = list(part.columns)
+            columns[at] = pa.array(new, part.schema.types[at])
+            yield pa.RecordBatch.from_arrays(columns, part.schema.names)
+
+    return documents.mapInArrow(replace, documents.schema)
 
 
 def op4_assignment_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

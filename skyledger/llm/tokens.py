@@ -14,7 +14,7 @@ import re
 
 import numpy as np
 
-CACHE_CHUNKS, CACHE_WORDS = 600_000, 600_000
+CACHE_CHUNKS, CACHE_WORDS = 400_000, 600_000
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įĲ-ſ"
 _ODD_SPACE = re.compile(r" (?![!-~¡-ɏ])")
 _SPLIT = re.compile(r" (?=[!-~¡-ɏ])")
