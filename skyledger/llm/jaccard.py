@@ -5,9 +5,9 @@ meet on prefix shingles; the lengths, the shingle's places and a bound on the re
 discard pairs; what is left is compared once. Documents of equal sets count as one throughout.
 
 Groups of near copies would meet in all pairs. So each prefix shingle first pairs its documents with
-one of them only. A document takes the label of the least one it is linked with, or of that one's, and
-only documents of different labels meet in full. Equal labels mean one component, and a pair within a
-component can't change it, so no component is missed.
+one of them only, the same for many shingles, and then those that this left apart with another one that
+differs from shingle to shingle. The links found make components, and only documents that are still in
+different components meet in full. A pair within a component can't change it, so none is missed.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ WORDS = 4
 PERCENT = 85
 BUCKET_BITS = 20  # of the shingle counts that order shingles; any order is right, rare first is fast
 BLOCKS = 16
-PARTS = 32  # of the hash range, whose counts bound how far two sets differ
+LONGS = 8  # of parities of the hashes in 64 parts each of their range; they bound how far two sets differ
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, 300, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE, _BASE, _AT, _SHORT = _ODD[:256], _ODD[256], _ODD[257:273], _ODD[273]
 _SPACE = np.zeros(256, bool)
@@ -90,12 +90,13 @@ def _key(own: np.ndarray) -> int:
 
 
 def _parts(own: np.ndarray) -> np.ndarray:
-    """The set's hashes counted in PARTS parts of their range, up to 255 each, 8 counts to a long."""
-    counts = np.bincount((own >> np.uint64(59)).astype(np.int64), minlength=PARTS)
-    return np.minimum(counts, 255).astype(np.uint8).view(np.int64)
+    """Whether each part of the hash range holds an odd number of the set's hashes, a bit each."""
+    counts = np.bincount((own >> np.uint64(55)).astype(np.int64), minlength=64 * LONGS)
+    return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
 
 
-PROFILE = "doc_id long, text_hash long, set_key long, n int, g0 long, g1 long, g2 long, g3 long, block int, counts binary"
+_G = [f"g{k}" for k in range(LONGS)]
+PROFILE = "doc_id long, text_hash long, set_key long, n int, " + "".join(f"g{k} long, " for k in range(LONGS)) + "block int, counts binary"
 
 
 def _profile(words: int):
@@ -106,12 +107,12 @@ def _profile(words: int):
             joined = np.concatenate(sets)
             if len(joined):
                 counts += np.bincount((joined >> np.uint64(64 - BUCKET_BITS)).astype(np.int64), minlength=len(counts))
-            parts = np.array([_parts(s) for s in sets]).reshape(-1, 4)
+            parts = np.array([_parts(s) for s in sets]).reshape(-1, LONGS)
             none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
             yield _rows(PROFILE, [part.column(0), part.column(1), pa.array([_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), *map(pa.array, np.ascontiguousarray(parts.T)), *none])
         pack = zstandard.ZstdCompressor(level=1)
         blocks = [pack.compress(b.astype("<i8").tobytes()) for b in counts.reshape(BLOCKS, -1)]
-        nulls = [pa.nulls(BLOCKS, pa.int64())] * 3 + [pa.nulls(BLOCKS, pa.int32())] + [pa.nulls(BLOCKS, pa.int64())] * 4
+        nulls = [pa.nulls(BLOCKS, pa.int64())] * 3 + [pa.nulls(BLOCKS, pa.int32())] + [pa.nulls(BLOCKS, pa.int64())] * LONGS
         yield _rows(PROFILE, [*nulls, pa.array(range(BLOCKS), pa.int32()), pa.array(blocks, pa.binary())])
 
     return profile
@@ -181,11 +182,9 @@ def _may_link(x: str, y: str, percent: int) -> Column:
     need = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
     length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
     place = 1 + F.least(n - F.col(f"{x}.place") - 1, m - F.col(f"{y}.place") - 1) >= need
-    differ = F.lit(0)
-    for g in range(4):
-        for shift in range(0, 64, 8):
-            a, b = (F.shiftrightunsigned(F.col(f"{s}.g{g}"), shift).bitwiseAND(F.lit(255)) for s in (x, y))
-            differ = differ + F.abs(a - b)
+    differ = F.lit(0)  # parts of unlike parity hold a hash that only one set has
+    for g in _G:
+        differ = differ + F.bit_count(F.col(f"{x}.{g}").bitwiseXOR(F.col(f"{y}.{g}")))
     return length & place & (differ <= n + m - 2 * need)
 
 
@@ -210,14 +209,14 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
 
     rows = profile.where("block is null").drop("block", "counts")
     sets = rows.where("n > 0").groupBy("set_key").agg(
-        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("least_id"), F.max("n").alias("n"), *[F.max(f"g{k}").alias(f"g{k}") for k in range(4)]
+        F.min(F.struct("doc_id", "text_hash")).alias("first"), F.min("doc_id").alias("least_id"), F.max("n").alias("n"), *[F.max(g).alias(g) for g in _G]
     )
     sets = materialize(sets)
 
     entries = documents.select("text").mapInArrow(_prefixes(sent, words, percent), "token long, set_key long, n int, place int")
     once = entries.repartition("token").groupBy("token", "set_key").agg(F.max("place").alias("place"))
     shared = once.withColumn("holders", F.count("*").over(Window.partitionBy("token"))).where("holders > 1").drop("holders")
-    entries = materialize(shared.join(sets.select("set_key", "n", "g0", "g1", "g2", "g3"), "set_key"))
+    entries = materialize(shared.join(sets.select("set_key", "n", *_G), "set_key"))
 
     def links(pairs: DataFrame) -> DataFrame:
         """Compares the sets of each pair; only texts that stand in a pair are read for it."""
@@ -233,15 +232,26 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
         union = (F.length("x") + F.length("y")) / 8 - F.col("common")
         return materialize(both.select("a", "b", (100 * F.col("common") >= percent * union).alias("linked")))
 
-    fields = ("set_key", "n", "place", "g0", "g1", "g2", "g3")
-    pivot = F.min(F.struct(*fields)).over(Window.partitionBy("token"))
-    met = entries.select(F.struct(*fields).alias("x"), pivot.alias("y")).where("x.set_key > y.set_key")
-    pairs = met.where(_may_link("x", "y", percent)).select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")).distinct()
-    tried = links(pairs)
+    fields = ("set_key", "n", "place", *_G)
+
+    def labelled(labels: DataFrame) -> DataFrame:
+        return materialize(entries.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key")))
+
+    def met_with_one(now: DataFrame, order: Column) -> DataFrame:
+        """Each entry with the first entry of its shingle in the order, if their labels differ."""
+        one = F.min(F.struct(order.alias("order"), *fields, "label")).over(Window.partitionBy("token"))
+        met = now.select(F.struct(*fields, "label").alias("x"), one.alias("y")).where("x.label != y.label")
+        met = met.where(_may_link("x", "y", percent))
+        return met.select(F.greatest("x.set_key", "y.set_key").alias("a"), F.least("x.set_key", "y.set_key").alias("b")).distinct()
+
+    tried = links(met_with_one(entries.withColumn("label", F.col("set_key")), F.lit(0)))
     below = tried.where("linked").groupBy("a").agg(F.min("b").alias("b"))  # a is above b
     further = below.select(F.col("a").alias("b"), F.col("b").alias("c"))
-    labels = below.join(further, "b", "left").select(F.col("a").alias("set_key"), F.coalesce("c", "b").alias("label"))
-    now = materialize(entries.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key")))
+    now = labelled(below.join(further, "b", "left").select(F.col("a").alias("set_key"), F.coalesce("c", "b").alias("label")))
+    again = met_with_one(now, F.xxhash64("set_key", "token")).join(tried, ["a", "b"], "left_anti")
+    tried = tried.union(links(again))
+    labels = materialize(components(tried.where("linked")).withColumnRenamed("node", "set_key"))
+    now = labelled(labels)
     sizes = now.groupBy("token", "label").count().groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("mode"), F.count("*").alias("labels"))
     open_ = now.join(sizes.where("labels > 1"), "token")
     x, y = open_.where("label != mode").alias("x"), open_.alias("y")
@@ -249,10 +259,14 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     met = x.join(y, (F.col("x.token") == F.col("y.token")) & apart & _may_link("x", "y", percent))
     pairs = met.select(F.greatest("x.set_key", "y.set_key").alias("a"), F.least("x.set_key", "y.set_key").alias("b")).distinct()
     more = links(pairs.join(tried, ["a", "b"], "left_anti"))
-    linked = tried.where("linked").union(more.where("linked"))
+    late = more.where("linked").select("a", "b")
+    for end in ("a", "b"):  # links between labels
+        name = labels.select(F.col("set_key").alias(end), F.col("label").alias("_label"))
+        late = late.join(name, end, "left").withColumn(end, F.coalesce("_label", end)).drop("_label")
+    late = components(late).select(F.col("node").alias("label"), F.col("label").alias("least"))
 
-    labels = components(linked).withColumnRenamed("node", "set_key")
     named = sets.select("set_key", "least_id").join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
+    named = named.join(late, "label", "left").withColumn("label", F.coalesce("least", "label"))
     names = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
     named = named.join(names, "label").select("set_key", "component_id")
     return rows.join(named, "set_key", "left").select(
