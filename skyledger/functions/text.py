@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-from ..schemas import ELEMENTS
+from ..schemas import ELEMENTS, LARGEST_STATION
 
 # Characters stripped around a field (Unicode white space).
 BLANKS = (
@@ -84,7 +84,7 @@ def entry_station(entry: Column) -> Column:
     """Digits between the first `STAID` and the next dot; leading zeros cut, all-zero is NULL."""
     text = F.regexp_extract(entry, r"(?s)^.*?STAID([^.]*)\.", 1)
     significant = F.regexp_replace(text, "^0+", "")
-    return F.when(significant.rlike(_UNSIGNED), significant.try_cast("int"))
+    return to_unsigned(significant, LARGEST_STATION)
 
 
 def _element_case(key: Column, source: int, target: int) -> Column:

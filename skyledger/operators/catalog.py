@@ -79,14 +79,17 @@ def archives_per_element(files: DataFrame) -> DataFrame:
     )
 
 
-def unlisted_elements(files: DataFrame, listed: DataFrame) -> DataFrame:
+def unlisted_elements(files: DataFrame, listed: DataFrame, with_list: DataFrame | None = None) -> DataFrame:
     """Elements with files but without a line in the archive's element list.
 
-    Archives without any list are left out, as nothing can be compared there.
+    `with_list` names the archives that have a list, even one without an element we know; others are
+    left out, as nothing can be compared there. By default they are those with a line in `listed`.
     """
     known = listed.select("archive", "element").distinct()
-    with_list = files.join(known.select("archive").distinct(), "archive", "left_semi")
-    return with_list.join(known, ["archive", "element"], "left_anti").select("archive", "element")
+    if with_list is None:
+        with_list = known.select("archive").distinct()
+    have = files.join(with_list, "archive", "left_semi")
+    return have.join(known, ["archive", "element"], "left_anti").select("archive", "element")
 
 
 def station_report(stations: DataFrame) -> DataFrame:

@@ -162,12 +162,15 @@ def single_source_records(
     return to_weather(attach_station(wide, stations, hint=hint))
 
 
-def merge_records(records: DataFrame, quality_mode: str = "compact") -> DataFrame:
+def merge_records(
+    records: DataFrame, quality_mode: str = "compact", stations: DataFrame | None = None
+) -> DataFrame:
     """Merge finished per-archive records on (station, day), for archives stored as tables.
 
     Per column the last archive with a value wins and the values are graded again. Flag text is
     carried as a number (a leading 1 keeps its zeros) to stay in a hash aggregate. In positional
-    mode each flag digit follows its own value.
+    mode each flag digit follows its own value. `stations` has the places by archive and station; if
+    it isn't at hand they are taken from the records, which costs a pass over them.
     """
     order = F.col("archive_ord")
 
@@ -204,9 +207,8 @@ def merge_records(records: DataFrame, quality_mode: str = "compact") -> DataFram
             "wind_quality": decoded("_wind_quality"),
         }
     )
-    places = records.select(
-        "archive_ord", "station_id", "station_name", "latitude", "longitude"
-    ).distinct()
+    columns = ("archive_ord", "station_id", "station_name", "latitude", "longitude")
+    places = records.select(*columns).distinct() if stations is None else stations.select(*columns)
     return to_weather(attach_station(merged, places, "first_archive"))
 
 

@@ -44,7 +44,9 @@ def composition(records: DataFrame) -> DataFrame:
 
 def station_profile(records: DataFrame) -> DataFrame:
     """Partial profile per station. Everything below adds these rows up, so a dataset is scanned
-    once and distinct stations need no distinct aggregation."""
+    once and distinct stations need no distinct aggregation. Store it to use it more than once."""
+    records = records.withColumns({f"_{m}": quality() for m, quality in _QUALITY.items()})
+    counts = {k: c for family in (_flag_counts(), _validity_counts(), _quality_counts()) for k, c in family.items()}
     aggs = [
         F.count(F.lit(1)).alias("n"),
         F.min("date").alias("first_date"),
@@ -56,7 +58,7 @@ def station_profile(records: DataFrame) -> DataFrame:
     ]
     for metric, test in _PRESENT.items():
         present = test()
-        usable = present & (_QUALITY[metric]() != "Invalid")
+        usable = present & (F.col(f"_{metric}") != "Invalid")
         low, high = {
             "temperature": ("temp_min", "temp_max"),
             "precipitation": ("precipitation",) * 2,
@@ -69,7 +71,7 @@ def station_profile(records: DataFrame) -> DataFrame:
             F.min(F.when(usable, F.col(low))).alias(f"{metric}_low"),
             F.max(F.when(usable, F.col(high))).alias(f"{metric}_high"),
         ]
-    return records.groupBy("station_id").agg(*aggs)
+    return records.groupBy("station_id").agg(*aggs, *[c.alias(k) for k, c in counts.items()])
 
 
 def dataset_bounds(stations: DataFrame) -> DataFrame:
@@ -125,13 +127,6 @@ def metric_coverage(stations: DataFrame) -> DataFrame:
     )
 
 
-def _counts_long(records: DataFrame, aggs: dict[str, Column], key: str) -> DataFrame:
-    """One global aggregate turned into (key, n) rows; rows without hits stay with 0."""
-    one = records.agg(*[c.alias(n) for n, c in aggs.items()])
-    pairs = F.array(*[F.struct(F.lit(n).alias(key), F.col(n).alias("n")) for n in aggs])
-    return one.select(F.inline(pairs))
-
-
 def _sum_flags(conditions: list[Column]) -> Column:
     total = None
     for c in conditions:
@@ -140,8 +135,7 @@ def _sum_flags(conditions: list[Column]) -> Column:
     return total
 
 
-def source_flag_counts(records: DataFrame) -> DataFrame:
-    """Source flags over the metrics present; temperature text is tested for 0, then 1, then 9."""
+def _flag_counts() -> dict[str, Column]:
     temp, rain, wind = F.col("temp_quality"), F.col("precip_quality"), F.col("wind_quality")
     t = {
         "valid": temp.contains("0"),
@@ -149,42 +143,52 @@ def source_flag_counts(records: DataFrame) -> DataFrame:
         "missing": ~temp.contains("0") & ~temp.contains("1") & temp.contains("9"),
     }
     digit = {"valid": "0", "suspect": "1", "missing": "9"}
-    return _counts_long(
-        records,
-        {
-            k: _sum_flags(
-                [
-                    Q.has_temperature() & t[k],
-                    Q.has_precipitation() & (rain == digit[k]),
-                    Q.has_wind() & (wind == digit[k]),
-                ]
-            )
-            for k in digit
-        },
-        "source_flag",
-    )
+    return {
+        f"source_flag_{k}": _sum_flags(
+            [
+                Q.has_temperature() & t[k],
+                Q.has_precipitation() & (rain == digit[k]),
+                Q.has_wind() & (wind == digit[k]),
+            ]
+        )
+        for k in digit
+    }
 
 
-def physical_validity_counts(records: DataFrame) -> DataFrame:
-    return _counts_long(
-        records,
-        {
-            v: _sum_flags([F.col(c) == v for c in S.VALIDATION_COLUMNS])
-            for v in ("Valid", "Suspect", "Invalid")
-        },
-        "validity",
-    )
+def _validity_counts() -> dict[str, Column]:
+    kinds = ("Valid", "Suspect", "Invalid")
+    return {f"validity_{v}": _sum_flags([F.col(c) == v for c in S.VALIDATION_COLUMNS]) for v in kinds}
 
 
 QUALITY_NAMES = ["Valid", "SuspectOriginal", "SuspectRange", "SuspectBoth", "Invalid", "Missing"]
 
 
-def combined_quality_counts(records: DataFrame) -> DataFrame:
-    """Always three assessments per record; an absent metric counts as Valid."""
-    graded = records.select(*[f().alias(m) for m, f in _QUALITY.items()])
-    return _counts_long(
-        graded, {q: _sum_flags([F.col(m) == q for m in S.METRICS]) for q in QUALITY_NAMES}, "quality"
-    )
+def _quality_counts() -> dict[str, Column]:
+    return {f"quality_{q}": _sum_flags([F.col(f"_{m}") == q for m in S.METRICS]) for q in QUALITY_NAMES}
+
+
+def _long(stations: DataFrame, key: str) -> DataFrame:
+    """Counts of one family, added up over the stations; (key, n) rows, those without hits with 0."""
+    names = [c for c in stations.columns if c.startswith(f"{key}_")]
+    one = stations.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names])
+    pairs = F.array(*[F.struct(F.lit(c.removeprefix(f"{key}_")).alias(key), F.col(c).alias("n")) for c in names])
+    return one.select(F.inline(pairs))
+
+
+def source_flag_counts(stations: DataFrame) -> DataFrame:
+    """Source flags over the metrics present, from `station_profile`; temperature text is tested for
+    0, then 1, then 9."""
+    return _long(stations, "source_flag")
+
+
+def physical_validity_counts(stations: DataFrame) -> DataFrame:
+    """Values by physical validity, from `station_profile`."""
+    return _long(stations, "validity")
+
+
+def combined_quality_counts(stations: DataFrame) -> DataFrame:
+    """Always three assessments per record, from `station_profile`; an absent metric counts as Valid."""
+    return _long(stations, "quality")
 
 
 # --- extremes ----------------------------------------------------------------------------------

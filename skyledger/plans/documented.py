@@ -24,7 +24,7 @@ def newest_multi_metric(records: DataFrame, n: int = 100) -> DataFrame:
     """Newest rows with mean temperature, precipitation and wind; ties by station."""
     rows = records.dropna(subset=["temp_avg", "precipitation", "wind_speed"])
     return (
-        rows.orderBy(F.desc("date"), "station_name")
+        rows.orderBy(F.desc("date"), "station_name", "station_id")
         .limit(n)
         .select("station_name", "date", "temp_avg", "precipitation", "wind_speed")
     )

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .. import schemas as S
 from ..operators import catalog as C
 from ..operators import integrity as I
 from ..operators import pivot as V
@@ -13,7 +14,7 @@ from ..operators import profile as R
 from ..sources import archives as A
 from ..sources import parsing as P
 from ..sources import tables as T
-from ..sources.stations import ArchiveSet, FolderSet, open_archives, open_folders
+from ..sources.stations import ArchiveSet, FolderSet, list_contents, open_archives, open_folders
 from ..tuning import materialize
 
 
@@ -24,6 +25,14 @@ class IntegrityReport:
     station_statistics: DataFrame
 
 
+@dataclass
+class IntegritySummary:
+    """What a user reads first: totals with percentages, and the first broken records."""
+
+    totals: DataFrame
+    first_violations: DataFrame
+
+
 @dataclass
 class ArchiveJob:
     """Result of a run over archives. Every member is a DataFrame read from one stored result."""
@@ -35,6 +44,12 @@ class ArchiveJob:
     unified: IntegrityReport
     written: bool | None = None
 
+    @property
+    def summary(self) -> IntegritySummary:
+        return IntegritySummary(
+            I.summary_percentages(self.unified.totals), I.first_violations(self.unified.violations)
+        )
+
 
 def _report(records: DataFrame, *keys: str) -> IntegrityReport:
     return IntegrityReport(
@@ -68,14 +83,14 @@ def process_directory(
         V.archive_records(src.observations, src.stations, quality_mode, all_known=True)
     )
     wanted = per_archive if station is None else per_archive.filter(F.col("station_id") == station)
-    records = V.merge_records(wanted, quality_mode)
+    records = V.merge_records(wanted, quality_mode, src.stations)
     written = None
     if output is None:
         records = materialize(records)
     else:
         written = T.write_weather(records, output, codec, probe=wanted)
         records = T.read_weather(spark, output) if written else records
-    everything = records if station is None else V.merge_records(per_archive, quality_mode)
+    everything = records if station is None else V.merge_records(per_archive, quality_mode, src.stations)
     each = _report(per_archive, "archive_ord")
     return ArchiveJob(
         src,
@@ -113,21 +128,24 @@ class CatalogJob:
 
 
 def describe_archives(spark: SparkSession, folder: str, pattern: str | None = None) -> CatalogJob:
-    """What the archives of a folder contain. Only `dates` reads observation lines."""
-    src = open_archives(spark, folder, pattern)
+    """What the archives of a folder contain. Only `dates` reads observation lines, of all data
+    files; station lines count by their country alone and need not parse."""
+    src = list_contents(spark, folder, pattern)
     good = src.entries.filter(F.col("error").isNull())
     files = C.element_files(good)
-    codes = P.station_country_codes(A.archive_metadata_lines(src.archives, "stations.txt"))
-    listed = P.parse_element_lines(A.archive_metadata_lines(src.archives, "elements.txt"))
+    codes = P.station_country_codes(A.archive_metadata_lines(src.archives, S.STATIONS_FILE))
+    listed = P.parse_element_lines(A.archive_metadata_lines(src.archives, S.ELEMENTS_FILE))
+    with_list = good.filter(F.col("entry") == S.ELEMENTS_FILE).select("archive").distinct()
     catalog = C.archive_catalog(good)
     names = src.archives.select("archive", "archive_ord")
+    lines = A.archive_lines(A.data_entries(src.entries, src.archives))
     return CatalogJob(
         catalog,
         C.archive_country(codes),
-        C.archive_dates(P.line_dates(src.lines), "archive_ord").join(names, "archive_ord").drop("archive_ord"),
+        C.archive_dates(P.line_dates(lines), "archive_ord").join(names, "archive_ord").drop("archive_ord"),
         C.archive_summary(catalog),
         C.archives_per_element(files),
-        C.unlisted_elements(files, listed),
+        C.unlisted_elements(files, listed, with_list),
         src.errors,
     )
 
@@ -147,13 +165,13 @@ def profile_dataset(spark: SparkSession, path: str, sample: int = 10, limit: int
     if layout == "weather":
         records = T.read_weather(spark, path)
         records = records.orderBy("station_id", "date").limit(limit) if limit else records
-        per_station = R.station_profile(records)
+        per_station = materialize(R.station_profile(records))  # one scan for five members
         members = {
             "bounds": R.dataset_bounds(per_station),
             "coverage": R.metric_coverage(per_station),
-            "source_flags": R.source_flag_counts(records),
-            "physical_validity": R.physical_validity_counts(records),
-            "combined_quality": R.combined_quality_counts(records),
+            "source_flags": R.source_flag_counts(per_station),
+            "physical_validity": R.physical_validity_counts(per_station),
+            "combined_quality": R.combined_quality_counts(per_station),
             "extremes": R.extreme_records(records),
             "sample": R.diverse_sample(records, sample),
         }

@@ -22,6 +22,7 @@ HEADER_LINES = 20
 MISSING_TEXT = "-9999"
 MISSING_ELEVATION_TEXT = "-999"
 MISSING_V1 = -9999.0
+LARGEST_STATION = 4294967295
 STATIONS_FILE = "stations.txt"
 ELEMENTS_FILE = "elements.txt"
 METADATA_ENTRIES = ["stations.txt", "elements.txt", "metadata.txt", "sources.txt"]
@@ -56,7 +57,7 @@ SEQ_BITS = 44
 
 WEATHER = T.StructType(
     [
-        T.StructField("station_id", T.IntegerType()),
+        T.StructField("station_id", T.LongType()),
         T.StructField("station_name", T.StringType()),
         T.StructField("date", T.DateType()),
         T.StructField("latitude", T.DoubleType()),
@@ -80,7 +81,7 @@ VALIDATION_COLUMNS = ["temp_validation", "precip_validation", "wind_validation"]
 
 CONSOLIDATED = T.StructType(
     [
-        T.StructField("station_id", T.IntegerType()),
+        T.StructField("station_id", T.LongType()),
         T.StructField("station_name", T.StringType()),
         T.StructField("date", T.DateType()),
         T.StructField("latitude", T.DoubleType()),
@@ -101,7 +102,7 @@ OBSERVATIONS = T.StructType(
         T.StructField("archive_ord", T.IntegerType()),
         T.StructField("entry", T.StringType()),
         T.StructField("seq", T.LongType()),
-        T.StructField("station_id", T.IntegerType()),
+        T.StructField("station_id", T.LongType()),
         T.StructField("source_id", T.LongType()),
         T.StructField("obs_date", T.DateType()),
         T.StructField("element", T.StringType()),

@@ -6,13 +6,12 @@ archive, or one large file in it, is therefore read by many tasks.
 
 from __future__ import annotations
 
-import re
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from .. import schemas as S
@@ -25,35 +24,38 @@ cloudpickle.register_pickle_by_value(ranges)
 SPLIT_BYTES = 64 << 20
 
 ENTRY_SCHEMA = (
-    "path string, archive string, entry string, entry_ord int, element string, station_id int, "
-    "entry_bytes long, base long, error string"
+    "path string, archive string, entry string, entry_ord int, element string, station_id long, "
+    "entry_bytes long, base long, error string, header_offset long, stored_bytes long, method int, crc long"
 )
-LINE_SCHEMA = "archive_ord int, station_id int, element string, seq long, line string"
+LINE_SCHEMA = "archive_ord int, station_id long, element string, seq long, line string"
 LINEAGE_SCHEMA = "archive string, entry string, " + LINE_SCHEMA
 
 
 def list_archives(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """The `.zip` files right below `folder`, optionally those whose name contains `pattern`.
 
-    `folder` may also be one archive.
+    `folder` may also be one archive. The file system is asked itself, as Spark's readers hide names
+    that begin with `_` or `.`.
     """
-    plain = re.sub(r"([\\*?{}\[\]])", r"\\\1", folder.rstrip("/"))
-    try:
-        found = spark.read.format("binaryFile").load(
-            plain if folder.endswith(".zip") else f"{plain}/*.zip"
-        )
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        raise ValueError(f"no valid zip files found in {folder}") from e
-    files = found.select("path", F.element_at(F.split("path", "/"), -1).alias("archive"), "length")
-    return files.filter(F.col("archive").contains(pattern)) if pattern else files
+    jvm = spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(path):
+        raise ValueError(f"no valid zip files found in {folder}")
+    found = []
+    for status in system.listStatus(path):
+        name = status.getPath().getName()
+        if status.isFile() and name.endswith(".zip") and (not pattern or pattern in name):
+            found.append((status.getPath().toString(), name, status.getLen()))
+    files = spark.createDataFrame(found, "path string, archive string, length long")
+    return files.repartition(max(1, min(len(found), spark.sparkContext.defaultParallelism)))
 
 
 def archive_entries(listing: DataFrame) -> DataFrame:
     """One row per archive entry, from the archives' directories; entries are not unpacked.
 
-    An archive that cannot be used gives one row with `error` set and no entry.
+    An archive that cannot be used, be it damaged, encrypted or packed in an unknown way, gives one
+    row with `error` set and no entry. Failing reads aren't caught, so the task runs again.
     """
     prefixes, stations_file, marks = S.PREFIXES, S.STATIONS_FILE, S.BANNER_MARKS
 
@@ -74,17 +76,21 @@ def archive_entries(listing: DataFrame) -> DataFrame:
                     rows.append(
                         {"path": path, "archive": archive, "entry": info.filename,
                          "entry_ord": number, "element": element, "station_id": station,
-                         "entry_bytes": info.file_size, "base": base, "error": None}
+                         "entry_bytes": info.file_size, "base": base, "error": None,
+                         "header_offset": info.header_offset, "stored_bytes": info.compress_size,
+                         "method": info.compress_type, "crc": info.CRC}
                     )
                 return rows
-        except (OSError, ValueError, EOFError, zipfile.BadZipFile) as e:
+        except (ValueError, EOFError, RuntimeError, zlib.error, zipfile.BadZipFile) as e:
+            # bad or unreadable contents; NotImplementedError is a RuntimeError. A failing storage raises.
             return [{"path": path, "archive": archive, "error": f"{type(e).__name__}: {e}"}]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
             [("path", pa.string()), ("archive", pa.string()), ("entry", pa.string()),
-             ("entry_ord", pa.int32()), ("element", pa.string()), ("station_id", pa.int32()),
-             ("entry_bytes", pa.int64()), ("base", pa.int64()), ("error", pa.string())]
+             ("entry_ord", pa.int32()), ("element", pa.string()), ("station_id", pa.int64()),
+             ("entry_bytes", pa.int64()), ("base", pa.int64()), ("error", pa.string()),
+             ("header_offset", pa.int64()), ("stored_bytes", pa.int64()), ("method", pa.int32()), ("crc", pa.int64())]
         )
         for batch in batches:
             for path, archive in zip(batch["path"].to_pylist(), batch["archive"].to_pylist()):
@@ -140,55 +146,81 @@ def _cut(files: DataFrame, size: str, split_bytes: int) -> DataFrame:
     )
 
 
-def archive_lines(
+def data_entries(
+    entries: DataFrame,
     archives: DataFrame,
     elements: list[str] | None = None,
     stations: list[int] | None = None,
+) -> DataFrame:
+    """Data entries of the usable archives; `elements` and `stations` leave others out by name."""
+    named = entries.filter(F.col("error").isNull() & F.col("element").isNotNull() & F.col("station_id").isNotNull())
+    if elements:
+        named = named.filter(F.col("element").isin(elements))
+    if stations:
+        named = named.filter(F.col("station_id").isin(stations))
+    return named.join(archives.select("path", "archive_ord"), "path")
+
+
+def archive_lines(
+    files: DataFrame,
     header_lines: int = S.HEADER_LINES,
     split_bytes: int = SPLIT_BYTES,
     lineage: bool = False,
     tasks: int | None = None,
 ) -> DataFrame:
-    """Data lines of the archives. `elements` and `stations` skip entries by name, unread.
+    """Data lines of the entries in `files`, as `data_entries` gives them.
 
-    `tasks` saves the pass over the archive list that sizes the tasks.
+    A task gets entries by their places in the archives, about one split's worth of text, and reads
+    nothing else. A compressed entry can't be entered in the middle and is one task's stream; an
+    uncompressed one is cut like a plain file. `tasks` saves the pass that sizes the tasks.
     """
-    prefixes = S.PREFIXES
-    wanted = (set(elements) if elements else None, set(stations) if stations else None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from ranges.in_large_batches(
-            piece for batch in batches for row in batch.to_pylist() for piece in read_split(row)
-        )
+        yield from ranges.in_large_batches(pieces(batches))
 
-    def read_split(row: dict) -> Iterator[pa.RecordBatch]:
-        with ranges.open_input(row["path"]) as raw, zipfile.ZipFile(raw) as z:
-            for info, _, element, station, base in ranges.processing_order(z.infolist(), prefixes):
-                lo, hi = row["lo"] - base, row["hi"] - base
-                if hi <= 0 or lo > info.file_size or station is None:
-                    continue
-                if (wanted[0] and element not in wanted[0]) or (wanted[1] and station not in wanted[1]):
-                    continue
-                with z.open(info) as stream:
-                    for offsets, lines in ranges.lines_in_range(stream, lo, hi, header_lines):
-                        n = len(lines)
-                        columns = {
-                            "archive_ord": pa.repeat(pa.scalar(row["archive_ord"], pa.int32()), n),
-                            "station_id": pa.repeat(pa.scalar(station, pa.int32()), n),
-                            "element": pa.repeat(element, n),
-                            "seq": pa.array(offsets + base, pa.int64()),
-                            "line": lines,
-                        }
-                        if lineage:
-                            columns = {
-                                "archive": pa.repeat(row["archive"], n),
-                                "entry": pa.repeat(info.filename, n),
-                            } | columns
-                        yield pa.RecordBatch.from_pydict(columns)
-
-    splits = _cut(archives, "text_bytes", split_bytes)
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        path, raw = None, None
+        for batch in batches:
+            for row in batch.to_pylist():
+                if row["path"] != path:  # rows come in the order of archives and entries
+                    if raw is not None:
+                        raw.close()
+                    path, raw = row["path"], ranges.open_input(row["path"])
+                yield from read_split(raw, row)
+        if raw is not None:
+            raw.close()
+
+    def read_split(raw, row: dict) -> Iterator[pa.RecordBatch]:
+        with ranges.open_entry(raw, row) as stream:
+            for offsets, lines in ranges.lines_in_range(stream, row["lo"], row["hi"], header_lines):
+                n = len(lines)
+                columns = {
+                    "archive_ord": pa.repeat(pa.scalar(row["archive_ord"], pa.int32()), n),
+                    "station_id": pa.repeat(pa.scalar(row["station_id"], pa.int64()), n),
+                    "element": pa.repeat(row["element"], n),
+                    "seq": pa.array(offsets + row["base"], pa.int64()),
+                    "line": lines,
+                }
+                if lineage:
+                    columns = {
+                        "archive": pa.repeat(row["archive"], n),
+                        "entry": pa.repeat(row["entry"], n),
+                    } | columns
+                yield pa.RecordBatch.from_pydict(columns)
+
+    step = F.when(F.col("method") == zipfile.ZIP_STORED, F.lit(split_bytes)).otherwise(F.col("entry_bytes"))
+    cuts = F.sequence(F.lit(0).cast("long"), F.col("entry_bytes") - 1, step.cast("long"))
+    splits = (
+        files.filter("entry_bytes > 0")
+        .withColumn("lo", F.explode(cuts))
+        .withColumn("hi", F.least(F.col("lo") + step, F.col("entry_bytes")))
+    )
     schema = LINEAGE_SCHEMA if lineage else LINE_SCHEMA
-    return _spread(splits, split_bytes, tasks).mapInArrow(run, schema)
+    if tasks is None:
+        total = splits.agg(F.sum(F.col("hi") - F.col("lo")), F.count(F.lit(1))).first()
+        tasks = tasks_for(splits.sparkSession, total[0] or 0, total[1], split_bytes)
+    place = ("archive_ord", "header_offset", "lo")
+    return splits.repartitionByRange(tasks, *place).sortWithinPartitions(*place).mapInArrow(run, schema)
 
 
 def archive_metadata_lines(archives: DataFrame, entry: str) -> DataFrame:
@@ -267,9 +299,10 @@ def folder_lines(
                 n = len(lines)
                 yield pa.RecordBatch.from_pydict(
                     {
+                        "path": pa.repeat(row["path"], n),
                         "archive": pa.repeat(row["archive"], n),
                         "entry": pa.repeat(row["entry"], n),
-                        "station_id": pa.repeat(pa.scalar(row["station_id"], pa.int32()), n),
+                        "station_id": pa.repeat(pa.scalar(row["station_id"], pa.int64()), n),
                         "element": pa.repeat(row["element"], n),
                         "line_pos": pa.array(offsets, pa.int64()),
                         "line": lines,
@@ -279,5 +312,5 @@ def folder_lines(
     splits = _cut(files, "length", split_bytes)
     return _spread(splits, split_bytes, tasks).mapInArrow(
         run,
-        "archive string, entry string, station_id int, element string, line_pos long, line string",
+        "path string, archive string, entry string, station_id long, element string, line_pos long, line string",
     )

@@ -119,7 +119,7 @@ def parse_station_lines(lines: DataFrame, on_bad: str = "fail") -> DataFrame:
         pieces,
         [*keep, "line", "station_name", "country"],
         {
-            "station_id": X.to_unsigned(F.col("_id"), 2**31 - 1).cast("int"),
+            "station_id": X.to_unsigned(F.col("_id"), S.LARGEST_STATION),
             "latitude": X.degrees_from_parts(F.col("_lat"), F.col("__lat")),
             "longitude": X.degrees_from_parts(F.col("_lon"), F.col("__lon")),
             "elevation": F.when(~no_height, X.to_int(height)),

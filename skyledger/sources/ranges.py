@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from ..schemas import LARGEST_STATION
+
 BLOCK = 4 << 20
 
 
@@ -114,7 +116,7 @@ def data_entry(name: str, prefixes: list[str]) -> tuple[str, int | None] | None:
         return None
     digits = re.match(r"\+?[0-9]+$", name.split("STAID", 1)[1].split(".", 1)[0].lstrip("0"))
     number = int(digits.group()) if digits else None
-    return element, number if number is not None and number < 2**31 else None
+    return element, number if number is not None and number <= LARGEST_STATION else None
 
 
 def processing_order(entries: list[zipfile.ZipInfo], prefixes: list[str]) -> list[tuple]:
@@ -138,6 +140,19 @@ def processing_order(entries: list[zipfile.ZipInfo], prefixes: list[str]) -> lis
     return ordered
 
 
+def open_entry(raw, row: dict):
+    """The text of an archive entry from its place in the archive; the directory isn't read again."""
+    raw.seek(row["header_offset"])
+    head = raw.read(30)
+    if head[:4] != b"PK\x03\x04":
+        raise zipfile.BadZipFile(f"no entry header at {row['header_offset']} of {row['path']}")
+    raw.seek(int.from_bytes(head[26:28], "little") + int.from_bytes(head[28:30], "little"), 1)
+    info = zipfile.ZipInfo(row["entry"])
+    info.compress_type, info.CRC = row["method"], row["crc"]
+    info.compress_size, info.file_size = row["stored_bytes"], row["entry_bytes"]
+    return zipfile.ZipExtFile(raw, "r", info)
+
+
 def has_country(archive: zipfile.ZipFile, stations_file: str, marks: list[str]) -> bool:
     """Whether the station list names at least one two-letter country."""
     with archive.open(stations_file) as stream:

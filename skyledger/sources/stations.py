@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from .. import schemas as S
 from ..functions import geo as G
@@ -48,46 +48,56 @@ def open_archives(
     """The usable archives of `folder` in file-name order.
 
     Unusable archives are listed in `errors`; it is an error when none is left. `elements` and
-    `stations` leave entries unread by their name. Only files of known stations are parsed
-    strictly.
+    `stations` leave entries unread by their name, and so are files of stations that their archive's
+    list lacks.
     """
-    entries = A.archive_entries(A.list_archives(spark, folder, pattern))
-    usable = A.usable_archives(entries)
-    total, files = usable.agg(F.sum("text_bytes"), F.count(F.lit(1))).first()
-    if not files:
-        raise ValueError(f"no valid zip files found in {folder}")
-    lines = A.archive_metadata_lines(usable, S.STATIONS_FILE)
+    listing = list_contents(spark, folder, pattern)
+    lines = A.archive_metadata_lines(listing.archives, S.STATIONS_FILE)
     # small, and looked at several times: unpacked once
     found = materialize(P.last_station_wins(P.parse_station_lines(lines), "archive_ord"))
-    tasks = A.tasks_for(spark, total, files, split_bytes)
-    data = A.archive_lines(usable, elements, stations, header_lines, split_bytes, tasks=tasks)
-    marked = _mark_known(data, found, "archive_ord")
-    parsed = P.parse_observation_lines(marked)
-    good = P.good_observations(parsed, temperature_defects, other_defects, F.col("known"))
-    return ArchiveSet(
-        entries, usable, A.catalog_errors(entries), found, data, parsed.drop("known"), good.drop("known")
-    )
+    files = A.data_entries(listing.entries, listing.archives, elements, stations)
+    known = files.join(found.select("archive_ord", "station_id"), ["archive_ord", "station_id"], "left_semi")
+    data = A.archive_lines(known, header_lines, split_bytes)
+    parsed = P.parse_observation_lines(data)
+    good = P.good_observations(parsed, temperature_defects, other_defects)
+    return ArchiveSet(listing.entries, listing.archives, listing.errors, found, data, parsed, good)
+
 
+@dataclass
+class Listing:
+    """What a set of archives holds by their directories: entries, usable archives, those left out."""
 
-def _mark_known(lines: DataFrame, stations: DataFrame, *archive_key: str) -> DataFrame:
-    keys = [*archive_key, "station_id"]
-    listed = small_side(stations.select(*keys).withColumn("known", F.lit(True)))
-    return lines.join(listed, keys, "left")
+    entries: DataFrame
+    archives: DataFrame
+    errors: DataFrame
+
+
+def list_contents(spark: SparkSession, folder: str, pattern: str | None = None) -> Listing:
+    """Opens each archive of `folder` once; no line of a station list or data file is parsed."""
+    entries = materialize(A.archive_entries(A.list_archives(spark, folder, pattern)))
+    usable = A.usable_archives(entries)
+    if usable.isEmpty():
+        raise ValueError(f"no valid zip files found in {folder}")
+    return Listing(entries, usable, A.catalog_errors(entries))
+
+
+# Bits of the order of lines in files that share a station and element: file, byte offset.
+_FILE_SHIFT = 40
 
 
 def _file_order(rows: DataFrame, files: DataFrame) -> DataFrame:
     """Packs the processing order of files that share a station and element, and of their lines."""
-    from pyspark.sql import Window as W
-
-    # Files of one station and element differ only in the zeros of their number.
-    nth = F.row_number().over(W.partitionBy("archive", "station_id", "element").orderBy("entry")) - 1
-    numbered = files.select("archive", "entry", "station_id", "element", nth.alias("_nth"))
-    several = numbered.filter(F.col("_nth") > 0).select("archive", "entry", "_nth")
+    # Files of one station and element differ in the zeros of their number, or lie in folders of one name.
+    nth = F.row_number().over(W.partitionBy("archive", "station_id", "element").orderBy("entry", "path")) - 1
+    numbered = files.select("path", "archive", "entry", "station_id", "element", nth.alias("_nth"))
+    several = numbered.filter(F.col("_nth") > 0).select("path", "_nth")
     nth = F.coalesce("_nth", F.lit(0)).cast("long")
+    too_big = (F.col("line_pos") >= 1 << _FILE_SHIFT) | (nth >= 1 << (S.SEQ_BITS - _FILE_SHIFT))
+    seq = F.shiftleft(nth, _FILE_SHIFT) + F.col("line_pos")
     return (
-        rows.join(small_side(several), ["archive", "entry"], "left")
-        .withColumn("seq", F.shiftleft(nth, 40) + F.col("line_pos"))
-        .drop("_nth", "line_pos")
+        rows.join(small_side(several), "path", "left")
+        .withColumn("seq", F.when(too_big, F.raise_error(F.lit("too many or too large files of a station")).cast("long")).otherwise(seq))
+        .drop("_nth", "line_pos", "path")
     )
 
 
@@ -114,7 +124,7 @@ def read_station_list(spark: SparkSession, path: str, on_bad: str = "fail") -> D
             F.lit(0).alias("station_id"),
         )
     )
-    lines = A.folder_lines(files, header_lines=0, tasks=1).select("line_pos", "line")
+    lines = A.folder_lines(files, header_lines=0).select("line_pos", "line")
     return P.last_station_wins(P.parse_station_lines(lines, on_bad))
 
 

@@ -3,7 +3,8 @@
 The stream itself is stateless: new files become long observation rows. Equality with a batch run
 needs all rows of a station, because "last row wins" and the flag text reach over files of different
 batches. So every batch is stored as its own partition of a long table, and the records of the
-station buckets it touches are computed again from that table.
+station buckets and years it touches are computed again from that table: the records of other years
+don't depend on the batch and stay as they are.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ def stream_observations(
     temperature_defects: str = "fail",
     header_lines: int = S.HEADER_LINES,
     split_bytes: int = A.SPLIT_BYTES,
+    stations: DataFrame | None = None,
 ) -> DataFrame:
     """New files of `folder` as a streaming table of observations.
 
+    With `stations`, files of other stations aren't opened, so what is in them can't fail the stream.
     Only names and sizes go through the stream source; the text is read by byte range in the tasks.
     """
     found = (
@@ -46,8 +49,10 @@ def stream_observations(
         .select("path", "length")
     )
     files = A.name_station_files(found)
+    if stations is not None:
+        files = files.join(stations.select("station_id"), "station_id", "left_semi")
     tasks = tasks or 2 * spark.sparkContext.defaultParallelism
-    lines = A.folder_lines(files, header_lines, split_bytes, tasks)
+    lines = A.folder_lines(files, header_lines, split_bytes, tasks).drop("path")
     return P.good_observations(P.parse_observation_lines(lines), temperature_defects)
 
 
@@ -108,25 +113,29 @@ def maintain_records(
     def process(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         mine = f"{table}/observations/batch_id={batch_id}"
-        rows = batch.withColumn("bucket", bucket)
-        rows.write.mode("overwrite").partitionBy("bucket").parquet(mine)
-        # at most `buckets` numbers; partition values only, no data is read
+        rows = batch.withColumns({"bucket": bucket, "year": F.year("obs_date")})
+        rows.write.mode("overwrite").partitionBy("bucket", "year").parquet(mine)
+        # at most `buckets` numbers per year; partition values only, no data is read
         stored = session.read.schema(rows.schema).parquet(mine)
-        touched = [r.bucket for r in stored.select("bucket").distinct().collect()]
+        touched: dict[int, list[int]] = {}
+        for r in stored.select("bucket", "year").distinct().collect():
+            touched.setdefault(r.bucket, []).append(r.year)
         if not touched:
             return
         everything = session.read.schema(f"{_ddl(rows)}, batch_id long").parquet(f"{table}/observations")
-        affected = everything.filter(F.col("bucket").isin(touched))
+        hit = F.lit(False)
+        for b, years in touched.items():
+            hit = hit | ((F.col("bucket") == b) & F.col("year").isin(years))
         (
-            records_of(affected, stations, quality_mode)
-            .withColumn("bucket", bucket)
+            records_of(everything.filter(hit), stations, quality_mode)
+            .withColumns({"bucket": bucket, "year": F.year("date")})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket")
+            .partitionBy("bucket", "year")
             .parquet(f"{table}/records")
         )
 
-    obs = stream_observations(spark, folder, **stream_options)
+    obs = stream_observations(spark, folder, stations=stations, **stream_options)
     writer = obs.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -15,8 +15,9 @@ from . import twins as W
 from .queries import query
 from .twins import sql
 
-# Orders per archive: the number of archives grows with the data, their size does not.
-ARCHIVE_ORDERS = 2000
+# Stations of an archive, and archives that share them: the number of archives grows with the data,
+# their size does not.
+ARCHIVE_STATIONS, ARCHIVE_SHARES = 20, 4
 HEADER_TEXT = "header"
 
 
@@ -53,11 +54,10 @@ def _station_line() -> Column:
 
 
 def write_archive_folder(spark, d) -> str:
-    """One archive per 2,000 orders, each with its station list."""
+    """Each archive holds a share of the orders of some stations, and the list of those stations."""
     folder = scratch_folder(spark)
-    raw = N.raw_observations(spark, d).withColumn(
-        "archive", F.format_string("part_%010d.zip", F.floor(F.col("l_orderkey") / ARCHIVE_ORDERS))
-    )
+    number = F.floor(F.col("station_id") / ARCHIVE_STATIONS) * ARCHIVE_SHARES + F.col("l_orderkey") % ARCHIVE_SHARES
+    raw = N.raw_observations(spark, d).withColumn("archive", F.format_string("part_%010d.zip", number))
     data = raw.select(
         "archive",
         _file_name(F.col("element"), F.col("station_id")).alias("entry"),
@@ -65,8 +65,8 @@ def write_archive_folder(spark, d) -> str:
         _data_line().alias("line"),
     )
     archives = raw.select("archive").distinct()
-    listed = N.stations(spark, d).select(F.col("station_id").cast("long").alias("pos"), _station_line().alias("line"))
-    every = archives.withColumn("_all", F.lit(1)).join(F.broadcast(listed.withColumn("_all", F.lit(1))), "_all")  # 18 lines
+    listed = N.stations(spark, d).select("station_id", F.col("station_id").alias("pos"), _station_line().alias("line"))
+    every = raw.select("archive", "station_id").distinct().join(listed, "station_id")
     metadata = every.select("archive", F.lit(S.STATIONS_FILE).alias("entry"), "pos", "line")
     elements = archives.select(
         "archive",
@@ -78,7 +78,7 @@ def write_archive_folder(spark, d) -> str:
     return folder
 
 
-_SHARD = f"cast(l_orderkey // {ARCHIVE_ORDERS} as int)"
+_SHARD = f"cast((station_id // {ARCHIVE_STATIONS}) * {ARCHIVE_SHARES} + l_orderkey % {ARCHIVE_SHARES} as int)"
 # Entries are written in name order, so TG comes before TN and TX.
 _SHARD_OBS = f"""select {_SHARD} as archive_ord, station_id, obs_date, element, line_no,
   cast(cast(tenths as float) / cast(10 as float) as float) as value, qflag,
@@ -216,9 +216,9 @@ def folders_to_consolidated(spark, d):
     return V.consolidated_records(src.observations, src.stations, allow_incomplete=True)
 
 
-@query("folders_one_station", sql("select * from con_all where station_id = 11", "con_all"))
+@query("folders_one_station", sql("select * from con_all where station_id = 12", "con_all"))
 def folders_one_station(spark, d):
-    src = ST.open_folders(spark, write_station_folders(spark, d), station=11)
+    src = ST.open_folders(spark, write_station_folders(spark, d), station=12)
     return V.consolidated_records(src.observations, src.stations, allow_incomplete=True)
 
 
@@ -257,7 +257,66 @@ def landed_files_to_records(spark, d):
     work = scratch_folder(spark)
     stream = LD.maintain_records(
         spark, write_landing_folder(spark, d), N.stations(spark, d), f"{work}/table", f"{work}/state",
-        buckets=8, max_files=80,
+        buckets=8, max_files=300,
     )
     stream.awaitTermination()
     return LD.read_records(spark, f"{work}/table")
+
+
+# --- jobs and readers as users call them -------------------------------------------------------
+
+_LINE_OBS = f"""select station_id, obs_date, element, cast(cast(tenths as float) / cast(10 as float) as float) as value, qflag
+from raw where tenths <> -9999"""
+
+
+@query("one_station_file", sql(f"select * from ({_LINE_OBS}) where station_id = 3 and element = 'TX'", "raw"))
+def one_station_file(spark, d):
+    """The file of one station and element."""
+    folder = write_station_folders(spark, d)
+    path = f"{folder}/uk_temp_max/TX_STAID000003.txt"
+    return ST.read_station_files(spark, path).select("station_id", "obs_date", "element", "value", "qflag")
+
+
+@query(
+    "archives_by_name",
+    sql(f"select distinct printf('part_%010d.zip', {_SHARD}) as archive from raw where {_SHARD} % 10 = 3", "raw"),
+)
+def archives_by_name(spark, d):
+    """Only archives whose name contains a text."""
+    return ST.list_contents(spark, write_archive_folder(spark, d), "3.zip").archives.select("archive")
+
+
+@query(
+    "archives_validated",
+    sql(
+        _SHARDS
+        + f""", t as (select count(*) as total_records, count(*) filter (where {W.ALL_VALID}) as valid_records,
+  count(*) filter (where not {W.ALL_VALID} and ({W.any_flag('1')})) as suspect_records,
+  count(*) filter (where not {W.ALL_VALID} and not ({W.any_flag('1')}) and ({W.any_flag('9')})) as missing_data_records,
+  count(*) filter (where ({W.BREAK}) is not null) as invalid_records from shard_uni)
+select *, round(100.0::double * valid_records / total_records, 6) as valid_percent,
+  round(100.0::double * suspect_records / total_records, 6) as suspect_percent,
+  round(100.0::double * invalid_records / total_records, 6) as invalid_percent from t""",
+        "raw",
+        "stations",
+    ),
+)
+def archives_validated(spark, d):
+    """Validation without an output: totals of the merged records with percentages."""
+    summary = J.validate(spark, write_archive_folder(spark, d)).summary
+    return summary.totals.withColumns({f"{k}_percent": F.round(f"{k}_percent", 6) for k in ("valid", "suspect", "invalid")})
+
+
+@query(
+    "archives_first_violations",
+    sql(
+        _SHARDS
+        + f"""select station_id, date, {W.BREAK} as violation from shard_uni where ({W.BREAK}) is not null
+order by station_id, date, violation limit 10""",
+        "raw",
+        "stations",
+    ),
+)
+def archives_first_violations(spark, d):
+    """The first ten broken records of a validation."""
+    return J.validate(spark, write_archive_folder(spark, d)).summary.first_violations.select("station_id", "date", "violation")

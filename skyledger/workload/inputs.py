@@ -21,10 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """station_id, obs_date, element, line_no, tenths (-9999 is missing), qflag, l_partkey."""
+    """station_id, obs_date, element, line_no, tenths (-9999 is missing), qflag, l_partkey.
+
+    Every supplier is a station, so stations grow with the data. A tenth of them report within forty
+    days, so that months are dense and keys repeat.
+    """
     return table(spark, sf_dir, "lineitem").selectExpr(
-        "cast(l_suppkey % 20 + 1 as int) as station_id",
-        "cast(l_shipdate as date) as obs_date",
+        "cast(l_suppkey + 1 as bigint) as station_id",
+        """case when l_suppkey % 10 = 1
+             then date_add(date'1995-01-01', cast(datediff(cast(l_shipdate as date), date'1995-01-01') % 40 as int))
+             else cast(l_shipdate as date) end as obs_date""",
         """case l_linenumber % 5 when 0 then 'TN' when 1 then 'TX' when 2 then 'TG'
              when 3 then 'RR' else 'FG' end as element""",
         "(l_orderkey * 10 + l_linenumber) * 100000 + l_partkey as line_no",
@@ -44,17 +50,18 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The station list: every supplier but each tenth, which is unknown on purpose."""
     nation = table(spark, sf_dir, "nation")
     return (
         table(spark, sf_dir, "supplier")
-        .filter("s_suppkey between 1 and 18")
+        .filter("s_suppkey % 10 <> 0")
         .join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey"))  # 25 nations
         .selectExpr(
-            "cast(s_suppkey as int) as station_id",
+            "cast(s_suppkey + 1 as bigint) as station_id",
             "s_name as station_name",
             "case when n_regionkey = 3 then 'GB' else 'IE' end as country",
-            "cast(49.5 + (s_suppkey % 115) / 10.0 as double) as latitude",
-            "cast(-8.0 + (s_suppkey % 100) / 10.0 as double) as longitude",
+            "49.5D + cast(s_suppkey % 115 as double) / 10.0D as latitude",
+            "-8.0D + cast(s_suppkey % 100 as double) / 10.0D as longitude",
         )
     )
 
@@ -62,7 +69,7 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every supplier as a station, so that the number of stations grows with the data."""
     return table(spark, sf_dir, "supplier").selectExpr(
-        "cast(s_suppkey as int) as station_id",
+        "cast(s_suppkey as bigint) as station_id",
         "s_name as station_name",
         "case s_nationkey % 4 when 0 then 'GB' when 1 then 'uk' when 2 then 'United Kingdom' else 'IE' end as country",
         "48.0D + cast(s_suppkey * 37 % 1400 as double) / 100.0D as latitude",
@@ -127,12 +134,12 @@ def archive_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def archive_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A station list per archive: names carry the archive, and archive d lacks station 5."""
+    """A station list per archive: names carry the archive, and archive d lacks a share of them."""
     letters = F.posexplode(F.array(*[F.lit(a) for a in ARCHIVES])).alias("archive_ord", "archive")
     return (
         stations(spark, sf_dir)
         .select("*", letters)
-        .filter((F.col("archive") != "d") | (F.col("station_id") != 5))
+        .filter((F.col("archive") != "d") | (F.col("station_id") % 17 != 5))
         .withColumn("station_name", F.concat_ws("/", "station_name", "archive"))
     )
 

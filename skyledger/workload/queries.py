@@ -17,6 +17,7 @@ from ..operators import pivot as V
 from ..operators import profile as R
 from ..operators.batches import process_in_batches
 from ..plans import documented as D
+from ..plans import jobs as J
 from ..sources import parsing as P
 from ..sources import tables as T
 from ..tuning import materialize, scratch_folder
@@ -127,7 +128,7 @@ p as (
     case when k % 5 = 0 or k % 7 = 0 then null else k % 900 end as elevation
   from l where k % 31 <> 0 and k % 37 <> 0 and (k % 41 = 0 or k % 43 <> 0)
 )
-select cast(k as int) as station_id, name as station_name, case when plain then 'IE' else 'GB' end as country,
+select cast(k as bigint) as station_id, name as station_name, case when plain then 'IE' else 'GB' end as country,
   case when plain then 53.5 else k % 90 + (k * 7 % 60) / 60.0::double + (k * 11 % 60) / 3600.0::double end as latitude,
   case when plain then -6.25 else
     (case when k % 2 = 0 then -1 else 1 end) * (k % 180 + (k * 3 % 60) / 60.0::double + (k * 5 % 60) / 3600.0::double) end as longitude,
@@ -152,7 +153,7 @@ _NAMES = """case c_custkey % 8 when 0 then 'TX_STAID' || lpad(cast(c_custkey as
     f"""select c_custkey, {_NAMES} as entry,
   case c_custkey % 8 when 0 then 'TX' when 1 then 'RR' when 3 then 'TG' when 7 then 'TN' end as element,
   cast(case c_custkey % 8 when 0 then nullif(c_custkey, 0) when 1 then nullif(c_custkey, 0) when 2 then 12
-    when 5 then nullif(c_custkey, 0) when 6 then nullif(c_custkey, 0) end as int) as station_id
+    when 5 then nullif(c_custkey, 0) when 6 then nullif(c_custkey, 0) end as bigint) as station_id
 from customer""",
 )
 def entry_names(spark, d):
@@ -726,7 +727,7 @@ def _named_counts(key: str, names: list[str], rows: str) -> str:
 
 @query("source_flag_counts", sql(_named_counts("source_flag", ["valid", "suspect", "missing"], _FLAG_ROWS), "uni"))
 def source_flag_counts(spark, d):
-    return R.source_flag_counts(unified(spark, d))
+    return R.source_flag_counts(R.station_profile(unified(spark, d)))
 
 
 @query(
@@ -741,7 +742,7 @@ def source_flag_counts(spark, d):
     ),
 )
 def physical_validity_counts(spark, d):
-    return R.physical_validity_counts(unified(spark, d))
+    return R.physical_validity_counts(R.station_profile(unified(spark, d)))
 
 
 @query(
@@ -756,7 +757,7 @@ def physical_validity_counts(spark, d):
     ),
 )
 def combined_quality_counts(spark, d):
-    return R.combined_quality_counts(unified(spark, d))
+    return R.combined_quality_counts(R.station_profile(unified(spark, d)))
 
 
 def _extreme_sql(name: str, column: str, quality: str, direction: str) -> str:
@@ -959,7 +960,7 @@ def station_history(spark, d):
     "newest_multi_metric",
     sql(
         """select station_name, date, temp_avg, precipitation, wind_speed from uni
-where temp_avg is not null and precipitation is not null and wind_speed is not null order by date desc, station_name limit 100""",
+where temp_avg is not null and precipitation is not null and wind_speed is not null order by date desc, station_name, station_id limit 100""",
         "uni",
     ),
 )
@@ -1127,12 +1128,66 @@ def consolidated_roundtrip(spark, d):
     return T.read_consolidated(spark, path)
 
 
-@query("table_statistics", sql("select count(*) as total_rows, 'SNAPPY' as codecs from rec", "rec"))
+ROW_GROUP = 500
+
+
+@query(
+    "table_statistics",
+    sql(f"select count(*) as total_rows, ceil(count(*) / {ROW_GROUP}.0)::bigint as row_groups, 1::bigint as files, 'SNAPPY' as codecs from rec", "rec"),
+)
 def table_statistics(spark, d):
-    """Rows and codec from the file footers."""
+    """Rows, row groups, files and codec from the footers of a table in one file."""
+    path = scratch_folder(spark)
+    one = records(spark, d).coalesce(1)
+    one.write.option("compression", "snappy").option("parquet.block.row.count.limit", str(ROW_GROUP)).parquet(path)
+    return T.table_statistics(spark, path).select("total_rows", "row_groups", "files", "codecs")
+
+
+@query("table_head", sql("select * from con_all order by station_id, date limit 50", "con_all"))
+def table_head(spark, d):
+    """The first rows of a stored table in its order."""
+    path = scratch_folder(spark)
+    T.write_consolidated(consolidated(spark, d), path, probe=N.observations(spark, d))
+    return T.read_consolidated(spark, path).orderBy("station_id", "date").limit(50)
+
+
+@query(
+    "table_layouts",
+    """select * from (values ('all', 'weather', true), ('first13', 'weather', true), ('v1', 'consolidated', true),
+  ('other', 'unknown', true), ('empty', 'none', false)) t(name, layout, written)""",
+)
+def table_layouts(spark, d):
+    """Layouts of stored tables by their columns; an empty result leaves no table."""
+    wide, v1 = records(spark, d), consolidated(spark, d)
+    paths = {k: scratch_folder(spark) for k in ("all", "first13", "v1", "other", "empty")}
+    written = {
+        "all": T.write_weather(wide, paths["all"]),
+        "v1": T.write_consolidated(v1, paths["v1"]),
+        "empty": T.write_weather(wide.filter(F.col("station_id") < 0), paths["empty"]),
+    }
+    wide.drop(*S.VALIDATION_COLUMNS).write.parquet(paths["first13"])
+    v1.drop("min_temp").write.parquet(paths["other"])
+    rows = []
+    for name, path in paths.items():
+        there = written.get(name, True)
+        rows.append((name, T.detect_layout(spark.read.parquet(path)) if there else "none", there))
+    return spark.createDataFrame(rows, "name string, layout string, written boolean")
+
+
+@query(
+    "profile_limited",
+    sql(
+        """select count(*) as total_records, count(distinct station_id) as total_stations, min(date) as first_date,
+  max(date) as last_date from (select * from rec order by station_id, date limit 1000)""",
+        "rec",
+    ),
+)
+def profile_limited(spark, d):
+    """A profile of the first thousand records of a stored table, through the job."""
     path = scratch_folder(spark)
-    T.write_weather(records(spark, d), path, probe=N.observations(spark, d))
-    return T.table_statistics(spark, path).select("total_rows", "codecs")
+    T.write_weather(records(spark, d), path)
+    bounds = J.profile_dataset(spark, path, limit=1000).members["bounds"]
+    return bounds.select("total_records", "total_stations", "first_date", "last_date")
 
 
 @query(
@@ -1148,4 +1203,4 @@ def batch_hook(spark, d):
         return batch.assign(spread=spread)[["station_id", "date", "spread"]]
 
     source = records(spark, d).select("station_id", "date", "temp_min", "temp_max")
-    return process_in_batches(source, spread, "station_id int, date date, spread float")
+    return process_in_batches(source, spread, "station_id long, date date, spread float")

@@ -7,8 +7,9 @@ windows, so they share no method with the Spark plans.
 from __future__ import annotations
 
 RAW = """
-select cast(l_suppkey % 20 + 1 as int) as station_id,
-       cast(l_shipdate as date) as obs_date,
+select cast(l_suppkey + 1 as bigint) as station_id,
+       case when l_suppkey % 10 = 1 then date '1995-01-01' + cast(date_diff('day', date '1995-01-01', cast(l_shipdate as date)) % 40 as int)
+            else cast(l_shipdate as date) end as obs_date,
        case l_linenumber % 5 when 0 then 'TN' when 1 then 'TX' when 2 then 'TG' when 3 then 'RR' else 'FG' end as element,
        (l_orderkey * 10 + l_linenumber) * 100000 + l_partkey as line_no,
        cast(case when l_partkey % 37 = 0 then -9999
@@ -23,16 +24,16 @@ from lineitem
 """
 
 STATIONS = """
-select cast(s_suppkey as int) as station_id, s_name as station_name,
+select cast(s_suppkey + 1 as bigint) as station_id, s_name as station_name,
        case when n_regionkey = 3 then 'GB' else 'IE' end as country,
-       cast(49.5 + (s_suppkey % 115) / 10.0 as double) as latitude,
-       cast(-8.0 + (s_suppkey % 100) / 10.0 as double) as longitude
+       49.5::double + (s_suppkey % 115)::double / 10.0::double as latitude,
+       -8.0::double + (s_suppkey % 100)::double / 10.0::double as longitude
 from supplier join nation on s_nationkey = n_nationkey
-where s_suppkey between 1 and 18
+where s_suppkey % 10 <> 0
 """
 
 SUPPLIER_STATIONS = """
-select cast(s_suppkey as int) as station_id, s_name as station_name,
+select cast(s_suppkey as bigint) as station_id, s_name as station_name,
        case s_nationkey % 4 when 0 then 'GB' when 1 then 'uk' when 2 then 'United Kingdom' else 'IE' end as country,
        48.0::double + (s_suppkey * 37 % 1400)::double / 100.0::double as latitude,
        -9.0::double + (s_suppkey * 61 % 1200)::double / 100.0::double as longitude
@@ -63,7 +64,7 @@ ARCHIVE_STATIONS = """
 select station_id, station_name || '/' || archive as station_name, country, latitude, longitude,
        archive_ord, archive
 from stations, (values (0, 'a'), (1, 'b'), (2, 'c'), (3, 'd')) t(archive_ord, archive)
-where archive <> 'd' or station_id <> 5
+where archive <> 'd' or station_id % 17 <> 5
 """
 
 _VALUES = """

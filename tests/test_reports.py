@@ -77,9 +77,9 @@ def test_diverse_sample_against_plain_python(spark, size):
 def test_quality_counts_add_up(spark):
     records = weather(spark, random_weather(5)).cache()
     n = records.count()
-    assert sum(r.n for r in R.combined_quality_counts(records).collect()) == 3 * n
+    assert sum(r.n for r in R.combined_quality_counts(R.station_profile(records)).collect()) == 3 * n
     graded = records.selectExpr("count(temp_validation) + count(precip_validation) + count(wind_validation)").first()[0]
-    assert sum(r.n for r in R.physical_validity_counts(records).collect()) == graded
+    assert sum(r.n for r in R.physical_validity_counts(R.station_profile(records)).collect()) == graded
     totals = I.integrity_totals(records).first()
     assert totals.total_records == n
     assert totals.invalid_records == I.violations(records).count()

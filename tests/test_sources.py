@@ -244,3 +244,63 @@ def test_folder_names_with_pattern_signs(spark, tmp_path, make_zip):
     assert src.observations.count() == 8
     with pytest.raises(ValueError, match="no valid zip"):
         ST.open_archives(spark, str(tmp_path / "absent"))
+
+
+def test_archives_that_cannot_be_used_are_reported(spark, tmp_path, make_zip):
+    """Damaged data, unknown packing, encryption, hidden names and large station numbers."""
+    import zipfile
+
+    make_zip(tmp_path / "_x.zip", archive_files())
+    make_zip(tmp_path / ".y.zip", archive_files())
+    big = archive_files()
+    big["stations.txt"] = big["stations.txt"] + "3000000000,FAR,GB,+51:30:26,-000:07:39,1\n"
+    big["TN_STAID3000000000.txt"] = station_file(["1,19500101,10,0"])
+    big["TN_STAID4294967296.txt"] = station_file(["1,19500101,10,0"])
+    make_zip(tmp_path / "big.zip", big)
+    with zipfile.ZipFile(make_zip(tmp_path / "good.zip", archive_files())) as z:
+        info = z.getinfo("stations.txt")
+    data = (tmp_path / "good.zip").read_bytes()
+    at = info.header_offset + 30 + len("stations.txt")
+    (tmp_path / "damaged.zip").write_bytes(data[:at] + b"\xff" * 40 + data[at + 40 :])
+    head = data.index(b"PK\x01\x02", data.index(b"PK\x01\x02") + 1 if info.header_offset else 0)
+    for k, entry in enumerate(zipfile.ZipFile(tmp_path / "good.zip").infolist()):
+        if entry.filename == "stations.txt":
+            head = [i for i in range(len(data)) if data.startswith(b"PK\x01\x02", i)][k]
+    (tmp_path / "locked.zip").write_bytes(data[: head + 8] + b"\x01\x00" + data[head + 10 :])
+    (tmp_path / "packing.zip").write_bytes(data[: head + 10] + b"\x63\x00" + data[head + 12 :])
+    src = ST.open_archives(spark, str(tmp_path))
+    assert [r[0] for r in rows(src.archives, "archive")] == [".y.zip", "_x.zip", "big.zip", "good.zip"]
+    assert [r[0] for r in rows(src.errors)] == ["damaged.zip", "locked.zip", "packing.zip"]
+    assert rows(src.observations.filter("station_id = 3000000000"), "element", "value") == [("TN", 1.0)]
+    assert src.observations.count() == 4 * 8 + 1
+
+
+def test_lines_are_read_by_place_without_joins(spark, tmp_path, make_zip):
+    make_zip(tmp_path / "a.zip", archive_files())
+    src = ST.open_archives(spark, str(tmp_path))
+    plan = src.observations._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("MapInArrow")]
+    assert "Join" not in above
+    assert {r.station_id for r in src.lines.collect()} <= {r.station_id for r in src.stations.collect()}
+
+
+def test_uncompressed_entries_are_cut(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w", zipfile.ZIP_STORED) as z:
+        for name, text in archive_files().items():
+            z.writestr(name, text)
+    whole = rows(ST.open_archives(spark, str(tmp_path)).observations)
+    assert rows(ST.open_archives(spark, str(tmp_path), split_bytes=25).observations) == whole and len(whole) == 8
+
+
+def test_catalog_reads_no_coordinates(spark, tmp_path, make_zip):
+    from skyledger.plans import jobs as J
+
+    files = archive_files()
+    files["stations.txt"] = files["stations.txt"] + "9,BAD,GB,+51:99:26,-000:07:39,1\n"
+    files["elements.txt"] = "QQ1,radiation,W/m2\n"
+    make_zip(tmp_path / "a.zip", files)
+    job = J.describe_archives(spark, str(tmp_path))
+    assert job.catalog.count() == 1 and job.dates.count() == 1
+    assert {r.element for r in job.unlisted.collect()} == {r.element for r in job.per_element.collect()}
