@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import zipfile
@@ -13,7 +14,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-SLICE_CHARS = 2 << 20
+SLICE_CHARS = 1 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -67,7 +68,9 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", binary: bool =
                 end += 1
             yield batch.slice(at, end - at), [x or none for x in column.slice(at, end - at).to_pylist()]
             at = end
-    pa.default_memory_pool().release_unused()  # the worker lives on
+    gc.enable()
+    gc.collect()  # the worker lives on, and what a task has loaded hangs together in circles
+    pa.default_memory_pool().release_unused()
 
 
 def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:

@@ -180,6 +180,7 @@ def write_ids(documents: DataFrame, folder: str, path: str | None = None, end_id
         if out:
             out.close()
             rows.append((part, seq, out.path, len(out.docs), out.n_ids))
+        encoder(path, False).rest()
         columns = list(zip(*rows)) or [[]] * 5
         kinds = [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["part", "seq", "path", "n_docs", "n_ids"])

@@ -110,6 +110,7 @@ def _profile(words: int):
             parts = np.array([_parts(s) for s in sets]).reshape(-1, LONGS)
             none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
             yield _rows(PROFILE, [part.column(0), part.column(1), pa.array([_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), *map(pa.array, np.ascontiguousarray(parts.T)), *none])
+        _powers.cache_clear()
         pack = zstandard.ZstdCompressor(level=1)
         blocks = [pack.compress(b.astype("<i8").tobytes()) for b in counts.reshape(BLOCKS, -1)]
         nulls = [pa.nulls(BLOCKS, pa.int64())] * 3 + [pa.nulls(BLOCKS, pa.int32())] + [pa.nulls(BLOCKS, pa.int64())] * LONGS
@@ -152,6 +153,7 @@ def _prefixes(sent, words: int, percent: int):
                 places.append(np.arange(take, dtype=np.int32))
             if tokens:
                 yield _rows("token long, set_key long, n int, place int", [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in tokens], keys, sizes, places)])
+        _powers.cache_clear()
 
     return prefixes
 
@@ -167,6 +169,7 @@ def _sets(words: int):
                     keys.append(want)
                     data.append(own.tobytes())
             yield _rows("set_key long, hashes binary", [pa.array(keys, pa.int64()), pa.array(data, pa.binary())])
+        _powers.cache_clear()
 
     return sets
 

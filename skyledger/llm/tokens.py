@@ -69,6 +69,10 @@ class Encoder:
             self.tails.clear()
         return out
 
+    def rest(self) -> None:
+        """Lets go of the chunks between tasks; the words, from which they are soon put together, stay."""
+        self.known.clear()
+
     def _each(self, texts: set[str]) -> dict[str, bytes]:
         texts = list(texts)
         encoded = self.whole.encode_batch_fast(texts, add_special_tokens=False)
