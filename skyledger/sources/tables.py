@@ -79,7 +79,7 @@ def detect_layout(df: DataFrame) -> str:
 def as_weather(df: DataFrame) -> DataFrame:
     """Bring a 13- or 16-column table to the 16-column layout; any other layout gives no rows.
 
-    Absent validations are NULL, unknown validation text is NULL, unsigned ids become INT.
+    Absent validations are NULL, unknown validation text is NULL, unsigned ids become BIGINT.
     """
     if detect_layout(df) != "weather":
         return df.sparkSession.createDataFrame([], S.WEATHER)

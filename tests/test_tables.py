@@ -66,7 +66,7 @@ def test_unsigned_ids_are_read(spark, tmp_path):
     table = pa.table([pa.array([v], k) for v, k in zip(row, kinds)], names=S.CONSOLIDATED_COLUMNS)
     pq.write_table(table, tmp_path / "x.parquet")
     got = T.read_consolidated(spark, str(tmp_path / "x.parquet"), limit=5)
-    assert dict(got.dtypes)["station_id"] == "int" and tuple(got.first()) == tuple(row)
+    assert dict(got.dtypes)["station_id"] == "bigint" and tuple(got.first()) == tuple(row)
 
 
 def test_profile_of_both_layouts(spark, tmp_path):
