@@ -50,11 +50,10 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
-    """Each text's distinct shingles as ascending 64-bit hashes.
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, list[int]]:
+    """64-bit hashes of all words of the texts in their order, and where each text's words end.
 
-    A-Z count as lower case; words are what stands between ASCII white space. A text of fewer words
-    is one shingle, a text without words has none.
+    A-Z count as lower case; words are what stands between ASCII white space.
     """
     raw = np.frombuffer(b"".join(t.lower() + b" " for t in texts), np.uint8)
     up, down = _powers(1 << max(21, int(len(raw)).bit_length()))
@@ -64,7 +63,16 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum(_BYTE[raw] * up[: len(raw)], out=sums[1:])
     word = _mixed((sums[ends] - sums[starts]) * down[starts])
-    limits = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).tolist()
+    return word, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).tolist()
+
+
+def shingle_sets(texts: list[bytes], words: int = WORDS) -> list[np.ndarray]:
+    """Each text's distinct shingles as ascending 64-bit hashes.
+
+    Words are those of `word_hashes`. A text of fewer words is one shingle, a text without words has
+    none.
+    """
+    word, limits = word_hashes(texts)
     n = len(word) - words + 1
     whole = np.zeros(max(n, 0), np.uint64)
     for k in range(words if n > 0 else 0):

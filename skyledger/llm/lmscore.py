@@ -1,8 +1,12 @@
 """Documents scored by the difference of two language models' cross-entropies.
 
-A target and a background model of word pairs share one vocabulary: the most frequent words of the
-whole corpus, and classes by hash for all other words. Both use the same smoothing, so a document's
-loss under one minus that under the other tells which corpus it is like, token by token.
+A target and a background model count the pairs of neighbouring words over the full vocabulary of the
+corpus and back off to the counts of all its words. Both use the same smoothing, so a document's loss
+under one minus that under the other tells which corpus it is like, token by token.
+
+`fit` keeps the counts as tables. Tasks hold the losses of the most frequent pairs, as many as fit; a
+document's other pairs are joined to the tables. For a vocabulary chosen by the caller, `count_words`,
+`pair_counts` and `Models` make dense models with classes by hash for all other words.
 """
 
 from __future__ import annotations
@@ -14,9 +18,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.llm.common import extended, ship, slices, table, with_columns
+from skyledger.llm.jaccard import word_hashes
 from skyledger.tuning import materialize, small_side
 
 WORDS = 1536
@@ -25,6 +31,8 @@ BLOCKS = 64
 PSEUDO = 50.0  # tokens of the word model in a pair's estimate
 HELD_WORDS = 600_000
 HELD_TOKENS = 4 << 20
+HELD_PAIRS = 1 << 20  # of the full tables, in each task; all others are joined
+SENT_ROWS = 1 << 17
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -158,21 +166,200 @@ def _block_rows(blocks: dict[int, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pa.array(data, pa.binary())], ["block", "counts"])
 
 
-def fit(documents: DataFrame) -> Models:
-    """Models of the rows with a true `target` and of all rows. A null target is false, a null text empty."""
-    vocabulary = count_words(documents)
-    target, background = pair_counts(documents, vocabulary)
-    return Models(vocabulary, PairModel.from_counts(target), PairModel.from_counts(background))
+@dataclass
+class HeldPairs:
+    """Losses of the most frequent pairs, for look-up in the tasks; ascending by `keys`."""
+
+    keys: np.ndarray
+    before: np.ndarray
+    words: np.ndarray
+    losses: np.ndarray  # a row for the target and one for the background
+
+    def find(self, before: np.ndarray, word: np.ndarray) -> np.ndarray:
+        """The place of each pair, -1 if it isn't held. Two pairs of one key are told apart."""
+        if not len(self.keys):
+            return np.full(len(word), -1)
+        at = np.minimum(np.searchsorted(self.keys, _pair_keys(before, word)), len(self.keys) - 1)
+        return np.where((self.before[at] == before) & (self.words[at] == word), at, -1)
+
+
+@dataclass
+class PairTables:
+    """Models of all words and pairs of a corpus. Words are 64-bit hashes, 0 begins a document.
+
+    `pairs` has (before, word, target, total), `words` has (word, target, total, before_target,
+    before_total): how often the word stands, and stands before another.
+    """
+
+    pairs: DataFrame
+    words: DataFrame
+    n_words: int
+    tokens: tuple[int, int]  # of the target and of all documents
+    vocabulary: HeldPairs
+
+    def losses(self, pairs: DataFrame) -> DataFrame:
+        """(before, word, target_loss, background_loss) of pairs with counts `target` and `total`.
+
+        Words that the corpus lacks share one symbol of the single-word model.
+        """
+        own = self.words.select("word", F.col("target").alias("_t"), F.col("total").alias("_a"))
+        first = self.words.select(F.col("word").alias("before"), "before_target", "before_total")
+        joined = pairs.join(own, "word", "left").join(first, "before", "left")
+
+        def loss(pair, single, before, tokens):
+            chance = (F.coalesce(single, F.lit(0)) + 1) / F.lit(float(tokens + self.n_words + 1))
+            return -F.log((F.col(pair) + PSEUDO * chance) / (F.coalesce(before, F.lit(0)) + PSEUDO))
+
+        return joined.select(
+            *[c for c in pairs.columns if c not in ("target", "total")],
+            loss("target", F.col("_t"), F.col("before_target"), self.tokens[0]).alias("target_loss"),
+            loss("total", F.col("_a"), F.col("before_total"), self.tokens[1]).alias("background_loss"),
+        )
+
+
+def _pair_keys(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    x = before.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ word.view(np.uint64)
+    return (x ^ x >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+
 
+def _neighbours(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(before, word) of all words of the texts, and each text's number of words."""
+    words, ends = word_hashes(texts)
+    words = np.where(words == 0, np.uint64(1), words).view(np.int64)
+    sizes = np.diff(ends, prepend=0)
+    before = np.concatenate((np.zeros(1, np.int64), words[:-1]))[: len(words)]
+    before[(np.array(ends) - sizes)[sizes > 0]] = 0
+    return before, words, sizes
 
-def score(documents: DataFrame, models: Models) -> DataFrame:
+
+def _grouped(columns: tuple[np.ndarray, ...], order: np.ndarray) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """Equal neighbours in the order become one; where each of them starts."""
+    columns = tuple(c[order] for c in columns)
+    new = np.ones(len(order), bool)
+    new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    starts = np.flatnonzero(new)
+    return tuple(c[starts] for c in columns), starts
+
+
+def count_pairs(documents: DataFrame) -> DataFrame:
+    """(before, word, target, total): all pairs in the rows with a true `target`, and in all rows."""
+    ship(documents.sparkSession)
+
+    def count(batches):
+        held, n = [], 0
+
+        def rows():
+            before, word, flag = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            order = np.argsort(_pair_keys(before, word))
+            (first, second), starts = _grouped((before, word), order)
+            if not len(starts):
+                return
+            target = np.add.reduceat(flag[order].astype(np.int64), starts)
+            total = np.diff(starts, append=len(order))
+            out = pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (first, second, target, total)], ["before", "word", "target", "total"])
+            for k in range(0, len(starts), SENT_ROWS):
+                yield out.slice(k, SENT_ROWS)
+
+        for part, texts in slices(batches, binary=True):
+            before, word, sizes = _neighbours(texts)
+            held.append((before, word, np.repeat(np.array([bool(t) for t in part.column(1).to_pylist()]), sizes)))
+            n += len(word)
+            if n > HELD_TOKENS:
+                yield from rows()
+                n = 0
+        if held:
+            yield from rows()
+
+    counted = documents.select("text", "target").mapInArrow(count, "before long, word long, target long, total long")
+    return counted.groupBy("before", "word").agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
+
+
+def fit(documents: DataFrame, held_pairs: int = HELD_PAIRS) -> PairTables:
+    """Models of the rows with a true `target` and of all rows. A null target is false, a null text empty.
+
+    Any `held_pairs` gives the same losses.
+    """
+    pairs = materialize(count_pairs(documents))
+    after = pairs.groupBy("word").agg(F.sum("target").alias("target"), F.sum("total").alias("total"))
+    before = pairs.groupBy(F.col("before").alias("word")).agg(F.sum("target").alias("before_target"), F.sum("total").alias("before_total"))
+    words = materialize(after.join(before, "word", "full").na.fill(0))
+    sums = words.agg(F.count(F.when(F.col("word") != 0, 1)).alias("n"), F.sum("target").alias("t"), F.sum("total").alias("a")).first()
+    none = np.zeros(0, np.int64)
+    models = PairTables(pairs, words, sums.n, (sums.t or 0, sums.a or 0), HeldPairs(none.view(np.uint64), none, none, np.zeros((2, 0))))
+
+    # the least power of the fourth root of two from which on the pairs fit
+    step = F.floor(4 * F.log2("total")).alias("step")
+    room, least = held_pairs, None
+    for r in pairs.groupBy(step).count().orderBy(F.desc("step")).collect():
+        room -= r["count"]
+        if room < 0:
+            break
+        least = r.step
+    if least is not None:
+        own = models.losses(pairs.where(F.floor(4 * F.log2("total")) >= least)).toArrow()
+        first, word = (own.column(c).to_numpy() for c in ("before", "word"))
+        keys = _pair_keys(first, word)
+        order = np.argsort(keys)
+        losses = np.array([own.column(c).to_numpy() for c in ("target_loss", "background_loss")])
+        models.vocabulary = HeldPairs(keys[order], first[order], word[order], losses[:, order])
+    return models
+
+
+_REST = pa.struct([("before", pa.int64()), ("word", pa.int64()), ("n", pa.int64())])
+
+
+def _scored_by_tables(documents: DataFrame, models: PairTables, text: bool) -> DataFrame:
+    """The losses of held pairs are added where the text is; a document's other pairs are joined."""
+    kept = [c for c in documents.columns if text or c != "text"]
+    sent = documents.sparkSession.sparkContext.broadcast(models.vocabulary)
+
+    def measure(batches):
+        own, row = sent.value, TaskContext.get().partitionId() << 33
+        for part, texts in slices(batches, binary=True):
+            before, word, sizes = _neighbours(texts)
+            doc, at = np.repeat(np.arange(len(texts)), sizes), own.find(before, word)
+            here, rest = at >= 0, at < 0
+            sums = [np.bincount(doc[here], losses[at[here]], len(texts)) for losses in own.losses]
+            columns = doc[rest], before[rest], word[rest]
+            (doc, before, word), starts = _grouped(columns, np.lexsort(columns[::-1]))
+            n = np.diff(starts, append=rest.sum())
+            pairs = pa.StructArray.from_arrays([pa.array(x, pa.int64()) for x in (before, word, n)], fields=list(_REST))
+            pairs = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(len(texts) + 1)), pa.int32()), pairs)
+            new = {"n_tokens": pa.array(sizes, pa.int64()), "_row": pa.array(np.arange(row, row + len(texts)), pa.int64()), "_t": pa.array(sums[0], pa.float64()), "_b": pa.array(sums[1], pa.float64()), "_rest": pairs}
+            row += len(texts)
+            yield with_columns(part.select(kept), new)
+
+    schema = extended(documents.select(*kept), "n_tokens long, _row long, _t double, _b double, _rest array<struct<before: long, word: long, n: long>>")
+    marked = materialize(documents.mapInArrow(measure, schema))
+
+    rest = marked.select("_row", F.inline("_rest"))
+    joined = rest.join(models.losses(models.pairs), ["before", "word"], "left")
+    new = F.col("target_loss").isNull()  # a pair that the corpus lacks
+    ends = [F.when(new, F.col(c)).alias(c) for c in ("before", "word")]
+    sums = [F.sum(F.col(c) * F.col("n")).alias(c) for c in ("target_loss", "background_loss")]
+    seen = materialize(joined.groupBy("_row", *ends).agg(*sums, F.sum("n").alias("n")))
+    unseen = seen.where("before is not null").select("_row", "n", "before", "word", F.lit(0).alias("target"), F.lit(0).alias("total"))
+    unseen = models.losses(unseen).select("_row", *[(F.col(c) * F.col("n")).alias(c) for c in ("target_loss", "background_loss")])
+    sums = seen.where("before is null").select(*unseen.columns).union(unseen)
+    sums = sums.groupBy("_row").agg(F.sum("target_loss").alias("_jt"), F.sum("background_loss").alias("_jb"))
+    out = marked.drop("_rest").join(small_side(materialize(sums)), "_row", "left")
+    means = [F.when(F.col("n_tokens") > 0, (F.col(x) + F.coalesce(y, F.lit(0.0))) / F.col("n_tokens")) for x, y in (("_t", "_jt"), ("_b", "_jb"))]
+    out = out.withColumn("target_loss", means[0]).withColumn("background_loss", means[1])
+    return out.withColumn("difference", F.col("target_loss") - F.col("background_loss")).drop("_row", "_t", "_b", "_jt", "_jb")
+
+
+def score(documents: DataFrame, models: PairTables | Models, text: bool = True) -> DataFrame:
     """`documents` with `n_tokens`, `target_loss`, `background_loss` and `difference`, means per token.
 
     A low difference is like the target. A text that is null or without words has 0 tokens and nulls.
-    Earlier columns of these names are replaced; other columns and repeated rows stay.
+    Earlier columns of these names are replaced; other columns and repeated rows stay, the text only
+    with `text`.
     """
     ship(documents.sparkSession)
     documents = documents.drop("n_tokens", "target_loss", "background_loss", "difference")
+    if isinstance(models, PairTables):
+        return _scored_by_tables(documents, models, text)
     sent = documents.sparkSession.sparkContext.broadcast(models)
 
     def measure(batches):
@@ -194,7 +381,8 @@ def score(documents: DataFrame, models: Models) -> DataFrame:
             columns = [pa.array(x, pa.float64(), mask=~some) for x in (*means, means[0] - means[1])]
             yield with_columns(part, {"n_tokens": pa.array(sizes, pa.int64()), **dict(zip(("target_loss", "background_loss", "difference"), columns))})
 
-    return documents.mapInArrow(measure, extended(documents, "n_tokens long, target_loss double, background_loss double, difference double"))
+    scored = documents.mapInArrow(measure, extended(documents, "n_tokens long, target_loss double, background_loss double, difference double"))
+    return scored if text else scored.drop("text")
 
 
 def with_target(documents: DataFrame, labels: DataFrame) -> DataFrame:
@@ -205,5 +393,4 @@ def with_target(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 def op3_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = with_target(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
-    scored = score(table(spark, sf_dir, "documents").select("doc_id", "text"), fit(documents))
-    return scored.drop("text")
+    return score(table(spark, sf_dir, "documents").select("doc_id", "text"), fit(documents), text=False)

@@ -275,6 +275,44 @@ def test_target_documents_score_lower(spark):
     assert max(german) < min(other)
 
 
+def test_scores_of_the_full_vocabulary(spark):
+    """More words than any fixed table has symbols; words and pairs that only the scored texts have."""
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.2, 300) % 9000) for _ in range(40)]
+    rows = [(k, t, k % 4 == 0) for k, t in enumerate(texts)] + [(50, None, True), (51, " ", None), (3, texts[3], None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, target boolean")
+    counts = [(Counter(), Counter(), Counter()) for _ in range(2)]
+    for _, text, flag in rows:
+        words = (text or "").lower().split()
+        for pair, word, before in counts[: 2 if flag else 1]:
+            pair.update(zip([None, *words], words))
+            word.update(words)
+            before.update([None, *words][:-1] if words else [])
+    every, target = counts
+    n = len(every[1])
+    assert n > 2048
+
+    def loss(model, text):
+        words, (pair, word, before) = text.lower().split(), model
+        single = {w: (word[w] + 1) / (word.total() + n + 1) for w in words}
+        return np.mean([-math.log((pair[b, w] + M.PSEUDO * single[w]) / (before[b] + M.PSEUDO)) for b, w in zip([None, *words], words)])
+
+    scored = [*rows, (60, "W1 never seen w2", None), (61, texts[0] + " w1 w1 unseen", None)]
+    frame = spark.createDataFrame(scored, "doc_id long, text string, target boolean").withColumn("difference", F.lit("clash"))
+    for held in (0, 300, 1 << 20):
+        models = M.fit(docs, held)
+        assert len(models.vocabulary.words) <= held and (held < 300 or len(models.vocabulary.words) > 0)
+        out = M.score(frame, models).collect()
+        assert sorted((r.doc_id, str(r.text)) for r in out) == sorted((d, str(t)) for d, t, _ in scored)
+        for r in out:
+            words = (r.text or "").split()
+            assert r.n_tokens == len(words) and (r.difference is None) == (not words)
+            if words:
+                a, b = loss(target, r.text), loss(every, r.text)
+                assert math.isclose(r.target_loss, a, rel_tol=1e-9) and math.isclose(r.background_loss, b, rel_tol=1e-9)
+                assert math.isclose(r.difference, a - b, rel_tol=1e-6, abs_tol=1e-9)
+
+
 def test_score_query(spark):
     rows = M.op3_cross_entropy_difference(spark, SF).collect()
     assert len(rows) == len(documents(spark)) and all((r.difference is None) == (r.n_tokens == 0) for r in rows)
