@@ -7,7 +7,8 @@ discard pairs; what is left is compared once. Documents of equal sets count as o
 Groups of near copies would meet in all pairs. So each prefix shingle first pairs its documents with
 one of them only, the same for many shingles, and then those that this left apart with another one that
 differs from shingle to shingle. The links found make components, and only documents that are still in
-different components meet in full. A pair within a component can't change it, so none is missed.
+different components meet in full. A pair within a component can't change it, so none is missed. That is
+`link_components`; `find_links` and `count_links` compare all pairs that pass the filters.
 """
 
 from __future__ import annotations
@@ -199,15 +200,8 @@ def _may_link(x: str, y: str, percent: int) -> Column:
     return length & place & (differ <= n + m - 2 * need)
 
 
-def link_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row of `documents`.
-
-    Documents link when percent * union <= 100 * intersection of their shingle sets; a component is
-    named by its smallest doc_id. A text that is null or without words has no shingles, links with
-    nothing and is its own component. Rows of one doc_id each count as a document; a null doc_id
-    gives its component no name of its own (null if it has no other). Other columns are left out; an
-    empty table gives no rows. Shingles and sets are told apart by 64-bit hashes.
-    """
+def _prepared(documents: DataFrame, words: int, percent: int):
+    """(rows, sets, entries, links): what meets on prefix shingles, and the function that compares pairs."""
     ship(documents.sparkSession)
     spark = documents.sparkSession
     texts = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), "text")
@@ -243,6 +237,19 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
         union = (F.length("x") + F.length("y")) / 8 - F.col("common")
         return materialize(both.select("a", "b", (100 * F.col("common") >= percent * union).alias("linked")))
 
+    return rows, sets, entries, links
+
+
+def link_components(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row of `documents`.
+
+    Documents link when percent * union <= 100 * intersection of their shingle sets; a component is
+    named by its smallest doc_id. A text that is null or without words has no shingles, links with
+    nothing and is its own component. Rows of one doc_id each count as a document; a null doc_id
+    gives its component no name of its own (null if it has no other). Other columns are left out; an
+    empty table gives no rows. Shingles and sets are told apart by 64-bit hashes.
+    """
+    rows, sets, entries, links = _prepared(documents, words, percent)
     fields = ("set_key", "n", "place", *_G)
 
     def labelled(labels: DataFrame) -> DataFrame:
@@ -285,5 +292,47 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     )
 
 
+def find_links(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n_shingles, set_key) per row of `documents`, and the links (a, b) of different sets.
+
+    Every two sets with percent * union <= 100 * intersection are a link, once and with a above b. Rows
+    of one set_key link as copies; a text that is null or without words has none. Two sets meet on
+    the first prefix shingle that they share, so a pair is made once however many they share.
+    """
+    rows, _, entries, links = _prepared(documents, words, percent)
+    places = F.array_sort(F.collect_list(F.struct("place", "token")))
+    shared = entries.groupBy("set_key").agg(F.transform(places, lambda s: s["token"]).alias("shared"))
+    entries = materialize(entries.join(shared, "set_key"))
+    x, y = entries.alias("x"), entries.alias("y")
+    first = F.get(F.array_intersect("x.shared", "y.shared"), F.lit(0)) == F.col("x.token")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set_key") > F.col("y.set_key")) & _may_link("x", "y", percent) & first)
+    linked = links(met.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b"))).where("linked").select("a", "b")
+    return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "set_key"), linked
+
+
+def count_links(documents: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) per row of `documents`.
+
+    `n_links` is the number of other rows that the row links with, copies included; the other columns
+    are those of `link_components`.
+    """
+    rows, linked = find_links(documents, words, percent)
+    sets = materialize(rows.where("set_key is not null").groupBy("set_key").agg(F.count("*").alias("copies"), F.min("doc_id").alias("least_id")))
+    ends = linked.select(F.col("a").alias("from"), F.col("b").alias("set_key")).union(linked.select("b", "a"))
+    others = ends.join(sets, "set_key").groupBy(F.col("from").alias("set_key")).agg(F.sum("copies").alias("others"))
+    labels = components(linked).withColumnRenamed("node", "set_key")
+    named = sets.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key")).join(others, "set_key", "left")
+    named = materialize(named)
+    names = named.groupBy("label").agg(F.min("least_id").alias("component_id"))
+    named = named.join(names, "label").select("set_key", "component_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return rows.join(named, "set_key", "left").select(
+        "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")
+    )
+
+
+def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_links(table(spark, sf_dir, "documents"))
+
+
 def op8_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents"))

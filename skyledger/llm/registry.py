@@ -13,6 +13,7 @@ QUERIES = {
     "op5_language_filters": langid.op5_language_filters,
     "op6_wu_manber_contamination": contamination.op6_wu_manber_contamination,
     "op7_ball_tree_top_products": topk.op7_ball_tree_top_products,
+    "op8_jaccard_links": jaccard.op8_jaccard_links,
     "op8_jaccard_components": jaccard.op8_jaccard_components,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_token_id_files": idfiles.op10_token_id_files,

@@ -8,6 +8,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from skyledger.llm import components as G, jaccard as J, topk as K, warc as W
 from skyledger.tuning import materialize, scratch_folder
@@ -82,6 +83,40 @@ def test_components_of_groups_chains_and_odd_documents(spark):
     assert J.link_components(frame.limit(0)).collect() == []
 
 
+def plain_links(docs):
+    """The number of each row's links, and the number of linked pairs of different sets."""
+    sets = [plain_sets(t) for _, t in docs]
+    near = lambda x, y: bool(x and y) and 100 * len(x & y) >= 85 * len(x | y)
+    counts = [sum(near(x, y) for k, y in enumerate(sets) if k != i) for i, x in enumerate(sets)]
+    different = list(set(map(frozenset, sets)))
+    return counts, sum(near(x, y) for i, x in enumerate(different) for y in different[:i])
+
+
+def test_all_links_of_groups_and_chains(spark):
+    rng = np.random.default_rng(6)
+    vocabulary = np.array([f"w{i}" for i in range(5000)])
+    texts = [*near_copies(rng, vocabulary, 200, 30, 1), *near_copies(rng, vocabulary, 60, 20, 1), *near_copies(rng, vocabulary, 120, 15, 4)]
+    chain = rng.choice(vocabulary, 300)
+    texts += [" ".join(chain[k * 5 : k * 5 + 150]) for k in range(25)]
+    texts += [None, "", "one", "ONE", "a b c d", "A b c d"] + texts[:12] + texts[60:70]
+    docs = list(enumerate(texts)) + [(3, texts[3]), (None, texts[40]), (None, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumn("set_key", F.lit("x"))
+    counts, pairs = plain_links(docs)
+    links = [(r.a, r.b) for r in J.find_links(frame)[1].collect()]
+    assert len(links) == len(set(links)) == pairs > 200 and all(a > b for a, b in links)
+    got = sorted((tuple(r) for r in J.count_links(frame).collect()), key=str)
+    assert sorted((r[:3] for r in got), key=str) == plain_components(docs)
+    assert sorted(map(str, ((d, n) for d, _, _, n in got))) == sorted(map(str, ((d, n) for (d, _), n in zip(docs, counts))))
+    assert J.count_links(frame.limit(0)).collect() == []
+
+
+def test_links_query(spark):
+    docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    got = J.op8_jaccard_links(spark, SF).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == plain_components(docs)
+    assert sorted((r.doc_id, r.n_links) for r in got) == sorted((d, n) for (d, _), n in zip(docs, plain_links(docs)[0]))
+
+
 def test_filters_lose_no_link():
     """Whatever the order, a pair at the threshold shares a prefix shingle that passes the place filter."""
     rng = np.random.default_rng(5)
