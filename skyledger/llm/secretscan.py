@@ -30,13 +30,13 @@ NAME_WORDS = {
 }
 LEAST_SCORE = 1.2
 LEAST_LENGTH = 8
-LONGEST_NAME, LONGEST_LITERAL = 128, 4096
 _PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me|example|placeholder|none|null|true|false|todo|your[_-].*|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s)$")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-#: A name, perhaps quoted or in brackets, an assignment sign, and what follows it.
+#: A name, perhaps quoted or in brackets, an assignment sign, and what follows it, of any length. Nothing
+#: that a quantifier took is given back, so the time stays linear.
 _PAIR = re.compile(
-    rf"""(?<![\w.$-])["']?([A-Za-z_$][\w.$-]{{0,{LONGEST_NAME - 1}}}+)["']?\]?[ \t]{{0,40}}+(?::=|=>|=(?!=)|:(?![:/]))[ \t]{{0,40}}+"""
-    rf"""(?:"((?:[^"\\\n]|\\.){{0,{LONGEST_LITERAL}}}+)"|'((?:[^'\\\n]|\\.){{0,{LONGEST_LITERAL}}}+)'|([^\s"',;#(){{}}\[\]<>]{{1,{LONGEST_LITERAL}}}+))""",
+    r"""(?<![\w.$-])["']?([A-Za-z_$][\w.$-]*+)["']?\]?[ \t]*+(?::=|=>|=(?!=)|:(?![:/]))[ \t]*+"""
+    r"""(?:"([^"\\\n]*+(?:\\.[^"\\\n]*+)*+)"|'([^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'|([^\s"',;#(){}\[\]<>]++))""",
     re.A,
 )
 
@@ -99,9 +99,8 @@ def all_spans(text: str) -> list[tuple[str, int, int]]:
 def scan(documents: DataFrame) -> DataFrame:
     """`documents` with `secrets`: array of (kind, start, end) by start and then kind.
 
-    Places are code points of the whole text, ends exclusive. A null or empty text has none. Texts of
-    any length are read whole; names and literals beyond LONGEST_NAME and LONGEST_LITERAL characters
-    are no name-literal pairs. An earlier column of the name is replaced; other columns and repeated
+    Places are code points of the whole text, ends exclusive. A null or empty text has none. Texts,
+    names and literals of any length are read whole. An earlier column of the name is replaced; other columns and repeated
     rows stay.
     """
     ship(documents.sparkSession)

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -224,6 +225,22 @@ def test_literals_reach_sensitive_names():
         assert S.literal_spans(clean) == []
 
 
+def test_secrets_of_any_length(spark):
+    body = "".join(map(chr, np.random.default_rng(2).choice([*range(48, 58), *range(65, 91), *range(97, 123)], 9000)))
+    for literal in (f'"{body}"', f"'{body}'", body):
+        for name in ("private_key", "credentials", "x" * 300 + "_passphrase"):
+            for blanks in ("", " " * 100):
+                text = f"first line\n{name}{blanks}={blanks}{literal}\nlast line"
+                at = text.index(body)
+                assert S.literal_spans(text) == [("literal", at, at + len(body))]
+                docs = spark.createDataFrame([(1, text)], "doc_id long, text string") if blanks and name == "private_key" else None
+                assert docs is None or S.redact(docs).first().text == text.replace(body, "[REDACTED]")
+    for text in ("a=" * 200_000, 'a="' * 100_000, "a " * 200_000, ("a" + " " * 50) * 5_000, 'a="' + "\\x" * 200_000, "a" * 400_000 + " = ", "'" * 200_000):
+        started = time.process_time()
+        S.literal_spans(text)
+        assert time.process_time() - started < 5
+
+
 def test_secrets_of_odd_documents(spark):
     rows = [(1, None, 1), (2, "", 2), (None, "password=abcdef", 3), (3, "x " * 200_000 + "token: 123456", 4), (3, "é password=abcdef \U0001f600 AKIA" + "B" * 16, 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, secrets int")
