@@ -3,7 +3,21 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from skyledger.llm import contamination, idfiles, jaccard, langid, lmscore, packing, secretscan, sharding, topk, warc
+from skyledger.llm import (
+    contamination,
+    convtrie,
+    editprints,
+    idfiles,
+    jaccard,
+    langid,
+    lmscore,
+    negatives,
+    packing,
+    secretscan,
+    sharding,
+    topk,
+    warc,
+)
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -17,7 +31,15 @@ QUERIES = {
     "op8_jaccard_components": jaccard.op8_jaccard_components,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_token_id_files": idfiles.op10_token_id_files,
+    "op11_edit_fingerprints": editprints.op11_edit_fingerprints,
+    "op12_threshold_negatives": negatives.op12_threshold_negatives,
+    "op13_conversation_trie": convtrie.op13_conversation_trie,
     "pipeline": corpus_pipeline.run,
 }
 
-TWINS: dict[str, str] = {"op2_warc_boundary_chain": warc.TWIN, "op7_ball_tree_top_products": topk.TWIN}
+TWINS: dict[str, str] = {
+    "op2_warc_boundary_chain": warc.TWIN,
+    "op7_ball_tree_top_products": topk.TWIN,
+    "op12_threshold_negatives": negatives.TWIN,
+    "op13_conversation_trie": convtrie.TWIN,
+}
