@@ -34,21 +34,15 @@ LINEAGE_SCHEMA = "archive string, entry string, " + LINE_SCHEMA
 def list_archives(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
     """The `.zip` files right below `folder`, optionally those whose name contains `pattern`.
 
-    `folder` may also be one archive. The file system is asked itself, as Spark's readers hide names
-    that begin with `_` or `.`.
+    `folder` may also be one archive.
     """
-    jvm = spark._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not system.exists(path):
-        raise ValueError(f"no valid zip files found in {folder}")
-    found = []
-    for status in system.listStatus(path):
-        name = status.getPath().getName()
-        if status.isFile() and name.endswith(".zip") and (not pattern or pattern in name):
-            found.append((status.getPath().toString(), name, status.getLen()))
-    files = spark.createDataFrame(found, "path string, archive string, length long")
-    return files.repartition(max(1, min(len(found), spark.sparkContext.defaultParallelism)))
+    try:
+        files = ranges.listed(folder)
+    except ValueError as e:
+        raise ValueError(f"no valid zip files found in {folder}") from e
+    found = [f for f in files if f[1].endswith(".zip") and (not pattern or pattern in f[1])]
+    frame = spark.createDataFrame(found, "path string, archive string, length long")
+    return frame.repartition(max(1, min(len(found), spark.sparkContext.defaultParallelism)))
 
 
 def archive_entries(listing: DataFrame) -> DataFrame:
@@ -62,16 +56,9 @@ def archive_entries(listing: DataFrame) -> DataFrame:
     def rows_of(path: str, archive: str) -> list[dict]:
         try:
             with ranges.open_input(path) as raw, zipfile.ZipFile(raw) as z:
-                entries = z.infolist()
-                data = {e[1]: e for e in ranges.processing_order(entries, prefixes)}
-                if not data:
-                    raise ValueError("no station data files in archive")
-                if stations_file not in z.NameToInfo:
-                    raise ValueError(f"{stations_file} not found in archive")
-                if not ranges.has_country(z, stations_file, marks):
-                    raise ValueError(f"no country code in {stations_file}")
+                data = {e[1]: e for e in ranges.usable_entries(z, prefixes, stations_file, marks)}
                 rows = []
-                for number, info in enumerate(entries):
+                for number, info in enumerate(z.infolist()):
                     _, _, element, station, base = data.get(number, (None,) * 5)
                     rows.append(
                         {"path": path, "archive": archive, "entry": info.filename,
@@ -252,14 +239,10 @@ def archive_metadata_lines(archives: DataFrame, entry: str) -> DataFrame:
 
 def list_station_files(spark: SparkSession, folders: str | list[str]) -> DataFrame:
     """Station files in or below the folders, by name; other files are left out."""
-    found = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*_STAID*.txt")
-        .option("recursiveFileLookup", "true")
-        .load(folders)
-        .select("path", "length")
-    )
-    return name_station_files(found)
+    folders = [folders] if isinstance(folders, str) else folders
+    found = [(path, size) for f in folders for path, name, size in ranges.listed(f, recursive=True) if "_STAID" in name and name.endswith(".txt")]
+    listing = spark.createDataFrame(found, "path string, length long")
+    return name_station_files(listing.repartition(max(1, min(len(found), spark.sparkContext.defaultParallelism))))
 
 
 def name_station_files(files: DataFrame) -> DataFrame:

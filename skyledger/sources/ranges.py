@@ -32,6 +32,32 @@ def open_input(path: str):
     return system.open_input_file(inner)
 
 
+def file_system(path: str):
+    """(file system, path in it) of a local path or of a URI that pyarrow knows."""
+    from pyarrow import fs
+
+    if "://" not in path and not path.startswith("file:"):
+        return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", re.sub("^file:/*", "file:///", path)))
+
+
+def listed(path: str, recursive: bool = False) -> list[tuple[str, str, int]]:
+    """(path, name, bytes) of the regular files in the folder `path`, or of the file `path` itself.
+
+    The file system is asked itself, so names that begin with `_` or `.` are found as well. Paths come
+    back with the scheme they were asked for.
+    """
+    from pyarrow import fs
+
+    system, inner = file_system(path)
+    info = system.get_file_info(inner)
+    if info.type == fs.FileType.NotFound:
+        raise ValueError(f"no such file or folder: {path}")
+    files = [info] if info.type == fs.FileType.File else system.get_file_info(fs.FileSelector(inner, recursive=recursive))
+    head = path.rstrip("/")
+    return [(head + f.path.removeprefix(inner.rstrip("/")), f.base_name, f.size) for f in files if f.type == fs.FileType.File]
+
+
 def _after_lines(stream, count: int) -> int:
     """Offset behind the first `count` physical lines, or behind the end of a shorter file."""
     at, left = 0, count
@@ -140,6 +166,18 @@ def processing_order(entries: list[zipfile.ZipInfo], prefixes: list[str]) -> lis
     return ordered
 
 
+def usable_entries(archive: zipfile.ZipFile, prefixes: list[str], stations_file: str, marks: list[str]) -> list[tuple]:
+    """The data entries of an archive in processing order; a ValueError says why it can't be used."""
+    data = processing_order(archive.infolist(), prefixes)
+    if not data:
+        raise ValueError("no station data files in archive")
+    if stations_file not in archive.NameToInfo:
+        raise ValueError(f"{stations_file} not found in archive")
+    if not has_country(archive, stations_file, marks):
+        raise ValueError(f"no country code in {stations_file}")
+    return data
+
+
 def open_entry(raw, row: dict):
     """The text of an archive entry from its place in the archive; the directory isn't read again."""
     raw.seek(row["header_offset"])

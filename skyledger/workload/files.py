@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import schemas as S
 from ..operators import pivot as V
 from ..plans import jobs as J
+from ..sources import reader as RD
 from ..sources import stations as ST
 from ..streaming import landing as LD
 from ..tuning import scratch_folder
@@ -183,6 +184,42 @@ def archives_unlisted_elements(spark, d):
     return J.describe_archives(spark, write_archive_folder(spark, d)).unlisted
 
 
+@query(
+    "archives_read_format",
+    sql(
+        f"""select printf('part_%010d.zip', {_SHARD}) as archive, element, station_id, count(*) as lines, sum(l_orderkey) as sources
+from raw where element in ('TX', 'RR') and station_id between 5 and 60 and {_SHARD} % 10 = 2 group by all""",
+        "raw",
+    ),
+)
+def archives_read_format(spark, d):
+    """The data source; its filters on element, station and archive leave entries unopened."""
+    found = RD.lines(spark, write_archive_folder(spark, d), shareBytes=4 << 20)
+    wanted = found.where("element in ('TX', 'RR') and station_id >= 5 and station_id <= 60 and archive like '%2.zip'")
+    source = F.split("line", ",")[0].cast("long")
+    return wanted.groupBy("archive", "element", "station_id").agg(F.count("*").alias("lines"), F.sum(source).alias("sources"))
+
+
+@query(
+    "archives_in_sql",
+    sql(
+        _SHARDS
+        + """select cast(extract(year from date) as int) as year, count(*) as days, count(temp_max) as with_maximum, max(temp_max) as highest,
+  count(*) filter (where precip_validation = 'Suspect') as suspect from shard_uni where station_id in (3, 4, 32) group by 1""",
+        "raw",
+        "stations",
+    ),
+)
+def archives_in_sql(spark, d):
+    """Views over a folder of archives, asked in SQL; only the entries of three stations are read."""
+    RD.create_views(spark, write_archive_folder(spark, d), "archive_")
+    return spark.sql(
+        """select year(date) as year, count(*) as days, count(temp_max) as with_maximum, max(temp_max) as highest,
+             count_if(precip_validation = 'Suspect') as suspect
+           from archive_weather where station_id in (3, 4, 32) group by year(date)"""
+    )
+
+
 # --- folders -----------------------------------------------------------------------------------
 
 _FOLDER_OF = {v: k for k, v in S.V1_FOLDERS.items()}
