@@ -52,6 +52,18 @@ def open_archives(
     list lacks.
     """
     listing = list_contents(spark, folder, pattern)
+    return _opened(listing, elements, stations, temperature_defects, other_defects, header_lines, split_bytes)
+
+
+def open_listed(spark: SparkSession, archives: DataFrame, **options) -> ArchiveSet | None:
+    """The usable ones of some listed archives, with the options of `open_archives`; None if there are none."""
+    listing = _contents(archives)
+    defaults = {"elements": None, "stations": None, "temperature_defects": "fail", "other_defects": "drop"}
+    options = defaults | {"header_lines": S.HEADER_LINES, "split_bytes": A.SPLIT_BYTES} | options
+    return None if listing.archives.isEmpty() else _opened(listing, **options)
+
+
+def _opened(listing: Listing, elements, stations, temperature_defects, other_defects, header_lines, split_bytes) -> ArchiveSet:
     lines = A.archive_metadata_lines(listing.archives, S.STATIONS_FILE)
     # small, and looked at several times: unpacked once
     found = materialize(P.last_station_wins(P.parse_station_lines(lines), "archive_ord"))
@@ -74,11 +86,15 @@ class Listing:
 
 def list_contents(spark: SparkSession, folder: str, pattern: str | None = None) -> Listing:
     """Opens each archive of `folder` once; no line of a station list or data file is parsed."""
-    entries = materialize(A.archive_entries(A.list_archives(spark, folder, pattern)))
-    usable = A.usable_archives(entries)
-    if usable.isEmpty():
+    found = _contents(A.list_archives(spark, folder, pattern))
+    if found.archives.isEmpty():
         raise ValueError(f"no valid zip files found in {folder}")
-    return Listing(entries, usable, A.catalog_errors(entries))
+    return found
+
+
+def _contents(archives: DataFrame) -> Listing:
+    entries = materialize(A.archive_entries(archives))
+    return Listing(entries, A.usable_archives(entries), A.catalog_errors(entries))
 
 
 # Bits of the order of lines in files that share a station and element: file, byte offset.

@@ -1,22 +1,21 @@
 """Station files landing in `<folder>/<archive>/<ELEMENT>_STAID<number>.txt`.
 
-The stream itself is stateless: new files become long observation rows. Equality with a batch run
-needs all rows of a station, because "last row wins" and the flag text reach over files of different
-batches. So every batch is stored as its own partition of a long table, and the records of the
-station buckets and years it touches are computed again from that table: the records of other years
-don't depend on the batch and stay as they are.
+New files become long observation rows whose place in the order of all rows follows from names alone:
+archive, element, file, byte offset. A batch is therefore merged into the stored state of the (station,
+day) keys that it touches, in whatever order files land; no batch reads earlier rows again. A reader
+sees the state between two batches, never one half written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas as S
-from ..operators import pivot as V
+from ..plans.store import RecordStore
 from ..sources import archives as A
 from ..sources import parsing as P
-from ..tuning import join_hint, small_side
+from ..tuning import materialize
 
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -56,40 +55,19 @@ def stream_observations(
     return P.good_observations(P.parse_observation_lines(lines), temperature_defects)
 
 
-def _ordered(obs: DataFrame) -> DataFrame:
-    """Adds archive_ord and seq: archives by name, elements in fixed order, files by name.
+def with_place(obs: DataFrame) -> DataFrame:
+    """Adds `seq`, the order within an archive: elements in fixed order, files by name, lines by offset.
 
-    Archives are numbered per station, as only their order within a station matters.
+    Files of one station and element differ in the zeros of their number, and more zeros sort first.
     """
-    files = obs.select("station_id", "archive", "element", "entry").distinct()
-    order = files.select(
-        "*",
-        (F.dense_rank().over(W.partitionBy("station_id").orderBy("archive")) - 1).alias("archive_ord"),
-        (
-            F.row_number().over(W.partitionBy("station_id", "archive", "element").orderBy("entry")) - 1
-        ).alias("_file"),
-    )
+    digits = F.regexp_extract("entry", r"_STAID(0*)[1-9][0-9]*\.txt$", 1)
+    zeros = F.length(digits)
+    nth = F.lit((1 << (_ELEMENT_SHIFT - _FILE_SHIFT)) - 1) - zeros
     rank = F.array_position(F.array(*map(F.lit, S.PREFIXES)), F.col("element")) - 1
-    seq = (
-        F.shiftleft(rank, _ELEMENT_SHIFT)
-        + F.shiftleft(F.col("_file").cast("long"), _FILE_SHIFT)
-        + F.col("line_pos")
-    )
-    too_big = (F.col("line_pos") >= 1 << _FILE_SHIFT) | (
-        F.col("_file") >= 1 << (_ELEMENT_SHIFT - _FILE_SHIFT)
-    )
-    joined = obs.join(small_side(order), ["station_id", "archive", "element", "entry"])
-    return joined.withColumn(
-        "seq", F.when(too_big, F.raise_error(F.lit("station file too large")).cast("long")).otherwise(seq)
-    )
-
-
-def records_of(obs: DataFrame, stations: DataFrame, quality_mode: str = "compact") -> DataFrame:
-    """Records from the stored long rows."""
-    hint = join_hint(stations)
-    known = V.keep_known_stations(obs, stations, hint=hint)
-    wide = V.pivot_observations(_ordered(known), False, quality_mode)
-    return V.to_weather(V.attach_station(wide, stations, hint=hint))
+    seq = F.shiftleft(rank, _ELEMENT_SHIFT) + F.shiftleft(nth.cast("long"), _FILE_SHIFT) + F.col("line_pos")
+    odd = ~F.col("entry").rlike(r"_STAID0*[1-9][0-9]*\.txt$") | (nth < 0) | (F.col("line_pos") >= 1 << _FILE_SHIFT)
+    text = F.concat(F.lit("station file too large or oddly named: "), "entry")
+    return obs.withColumn("seq", F.when(odd, F.raise_error(text).cast("long")).otherwise(seq))
 
 
 def maintain_records(
@@ -99,41 +77,25 @@ def maintain_records(
     table: str,
     checkpoint: str,
     buckets: int = 64,
-    quality_mode: str = "compact",
     available_now: bool = True,
+    most_folders: int = 8,
     **stream_options,
 ) -> StreamingQuery:
-    """Keep `<table>/records` equal to a batch run over everything that landed.
+    """Keep the records of `table` equal to a batch run over everything that landed.
 
-    A batch that is replayed after a failure overwrites its own partition and its own buckets, so it
-    leaves no trace. The wide table is never read here.
+    A batch that is replayed after a failure is left out where its snapshot was written, and changes
+    nothing otherwise. Snapshots are compacted when they are spread over more than `most_folders`
+    folders; `RecordStore(...).vacuum()` deletes what no reader needs any more.
     """
-    bucket = F.pmod(F.hash("station_id"), F.lit(buckets))
+    store = RecordStore(spark, table, buckets)
+    store.set_stations(stations)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        mine = f"{table}/observations/batch_id={batch_id}"
-        rows = batch.withColumns({"bucket": bucket, "year": F.year("obs_date")})
-        rows.write.mode("overwrite").partitionBy("bucket", "year").parquet(mine)
-        # at most `buckets` numbers per year; partition values only, no data is read
-        stored = session.read.schema(rows.schema).parquet(mine)
-        touched: dict[int, list[int]] = {}
-        for r in stored.select("bucket", "year").distinct().collect():
-            touched.setdefault(r.bucket, []).append(r.year)
-        if not touched:
+        done = store.table.manifest().notes.get("batches", {})
+        if done.get(checkpoint, -1) >= batch_id:
             return
-        everything = session.read.schema(f"{_ddl(rows)}, batch_id long").parquet(f"{table}/observations")
-        hit = F.lit(False)
-        for b, years in touched.items():
-            hit = hit | ((F.col("bucket") == b) & F.col("year").isin(years))
-        (
-            records_of(everything.filter(hit), stations, quality_mode)
-            .withColumns({"bucket": bucket, "year": F.year("date")})
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("bucket", "year")
-            .parquet(f"{table}/records")
-        )
+        store.add(materialize(with_place(batch)), notes={"batches": done | {checkpoint: batch_id}})
+        store.compact(most_folders)
 
     obs = stream_observations(spark, folder, stations=stations, **stream_options)
     writer = obs.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
@@ -142,9 +104,6 @@ def maintain_records(
     return writer.start()
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{n}` {t}" for n, t in df.dtypes)
-
-
-def read_records(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.parquet(f"{table}/records").select(*S.WEATHER_COLUMNS)
+def read_records(spark: SparkSession, table: str, quality_mode: str = "compact") -> DataFrame:
+    """The records after the last batch; later batches don't change what this DataFrame reads."""
+    return RecordStore(spark, table).records(quality_mode)

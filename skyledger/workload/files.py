@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .. import schemas as S
 from ..operators import pivot as V
 from ..plans import jobs as J
+from ..plans.store import RecordStore
 from ..sources import reader as RD
 from ..sources import stations as ST
 from ..streaming import landing as LD
@@ -220,6 +221,16 @@ def archives_in_sql(spark, d):
     )
 
 
+@query("archives_added_one_after_another", sql(_SHARDS + "select * from shard_uni", "raw", "stations"))
+def archives_added_one_after_another(spark, d):
+    """A stored merge that archives are added to against their order; each is read once."""
+    folder, store = write_archive_folder(spark, d), RecordStore(spark, scratch_folder(spark), buckets=4)
+    for pattern in ("3.zip", "2.zip", None):
+        store.add_archives(folder, pattern)
+    store.compact(1)
+    return store.records()
+
+
 # --- folders -----------------------------------------------------------------------------------
 
 _FOLDER_OF = {v: k for k, v in S.V1_FOLDERS.items()}
