@@ -10,6 +10,7 @@ from ..plans import jobs as J
 from ..plans.store import RecordStore
 from ..sources import reader as RD
 from ..sources import stations as ST
+from ..streaming import keyed as KD
 from ..streaming import landing as LD
 from ..tuning import scratch_folder
 from . import inputs as N
@@ -311,6 +312,22 @@ def landed_files_to_records(spark, d):
     return LD.read_records(spark, f"{work}/table")
 
 
+@query("landed_records_by_keyed_state", sql(_LANDED, "raw", "stations"))
+def landed_records_by_keyed_state(spark, d):
+    """Records as the batches change them; the last one of a station and day counts."""
+    session, work = spark.newSession(), scratch_folder(spark)
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", KD.ROCKSDB)
+
+    def keep(batch, number):
+        batch.write.mode("overwrite").parquet(f"{work}/changed/batch={number}")
+
+    changed = KD.stream_records(session, write_landing_folder(session, d), N.stations(session, d), max_files=3000)
+    changed.writeStream.outputMode("update").option("checkpointLocation", f"{work}/state").trigger(availableNow=True).foreachBatch(keep).start().awaitTermination()
+    every = spark.read.parquet(f"{work}/changed")
+    last = every.groupBy("station_id", "date").agg(F.max("batch").alias("batch"))
+    return every.join(last, ["station_id", "date", "batch"]).select(S.WEATHER_COLUMNS)
+
+
 # --- jobs and readers as users call them -------------------------------------------------------
 
 _LINE_OBS = f"""select station_id, obs_date, element, cast(cast(tenths as float) / cast(10 as float) as float) as value, qflag
