@@ -45,7 +45,15 @@ def composition(records: DataFrame) -> DataFrame:
 def station_profile(records: DataFrame) -> DataFrame:
     """Partial profile per station. Everything below adds these rows up, so a dataset is scanned
     once and distinct stations need no distinct aggregation. Store it to use it more than once."""
-    records = records.withColumns({f"_{m}": quality() for m, quality in _QUALITY.items()})
+    return _graded(records).groupBy("station_id").agg(*_partials())
+
+
+def _graded(records: DataFrame) -> DataFrame:
+    return records.withColumns({f"_{m}": quality() for m, quality in _QUALITY.items()})
+
+
+def _partials() -> list[Column]:
+    """Counts and bounds that can be added up."""
     counts = {k: c for family in (_flag_counts(), _validity_counts(), _quality_counts()) for k, c in family.items()}
     aggs = [
         F.count(F.lit(1)).alias("n"),
@@ -71,14 +79,34 @@ def station_profile(records: DataFrame) -> DataFrame:
             F.min(F.when(usable, F.col(low))).alias(f"{metric}_low"),
             F.max(F.when(usable, F.col(high))).alias(f"{metric}_high"),
         ]
-    return records.groupBy("station_id").agg(*aggs, *[c.alias(k) for k, c in counts.items()])
+    return [*aggs, *[c.alias(k) for k, c in counts.items()]]
+
+
+# Sketches of distinct stations have 2 ** SKETCH_BITS registers: a standard error of 1.04 / sqrt(2 ** 14), 0.8 %.
+SKETCH_BITS = 14
+
+
+def file_profile(records: DataFrame, file: Column) -> DataFrame:
+    """Partial profile per data file. Stations reach over files, so a file holds sketches of its
+    stations, of all and per metric, which can be united; everything else adds up exactly."""
+    sketches = [F.hll_sketch_agg("station_id", SKETCH_BITS).alias("stations")]
+    sketches += [F.hll_sketch_agg(F.when(test(), F.col("station_id")), SKETCH_BITS).alias(f"{m}_stations") for m, test in _PRESENT.items()]
+    return _graded(records).groupBy(file.alias("file")).agg(*_partials(), *sketches)
+
+
+def _distinct_stations(sketch: str) -> Column:
+    return F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(sketch)), F.lit(0))
 
 
 def dataset_bounds(stations: DataFrame) -> DataFrame:
-    """Rows, stations, dates and coordinates of the dataset, from `station_profile`."""
+    """Rows, stations, dates and coordinates of the dataset, from `station_profile`.
+
+    From `file_profile` the number of stations is an estimate.
+    """
+    number = _distinct_stations("stations") if "stations" in stations.columns else F.count(F.lit(1))
     total = stations.agg(
         F.sum("n").alias("total_records"),
-        F.count(F.lit(1)).alias("total_stations"),
+        number.alias("total_stations"),
         F.min("first_date").alias("first_date"),
         F.max("last_date").alias("last_date"),
         F.min("min_lat").alias("min_lat"),
@@ -96,8 +124,10 @@ def dataset_bounds(stations: DataFrame) -> DataFrame:
 def metric_coverage(stations: DataFrame) -> DataFrame:
     """Rows, stations, share, dates and value range per metric, from `station_profile`.
 
-    Amounts range from zero. The temperature range needs both a minimum and a maximum.
+    Amounts range from zero. The temperature range needs both a minimum and a maximum. From
+    `file_profile` the numbers of stations are estimates.
     """
+    sketched = "stations" in stations.columns
     per_metric = []
     for m in S.METRICS:
         low = F.col(f"{m}_low") if m == "temperature" else F.when(F.col(f"{m}_high").isNotNull(), f32(0.0))
@@ -109,11 +139,12 @@ def metric_coverage(stations: DataFrame) -> DataFrame:
                 F.col(f"{m}_last").alias("last_date"),
                 low.alias("low"),
                 F.col(f"{m}_high").alias("high"),
+                *[F.col(f"{m}_stations").alias("sketch")] * sketched,
             )
         )
     long = stations.select(F.col("n").alias("station_n"), F.inline(F.array(*per_metric)))
     out = long.groupBy("metric").agg(
-        F.count_if(F.col("n") > 0).alias("stations"),
+        (_distinct_stations("sketch") if sketched else F.count_if(F.col("n") > 0)).alias("stations"),
         F.sum("n").alias("records"),
         G.percent(F.sum("n"), F.sum("station_n")).alias("coverage_percent"),
         F.min("first_date").alias("first_date"),

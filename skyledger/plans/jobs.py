@@ -14,6 +14,7 @@ from ..operators import profile as R
 from ..sources import archives as A
 from ..sources import parsing as P
 from ..sources import tables as T
+from ..sources.ranges import listed
 from ..sources.stations import ArchiveSet, FolderSet, list_contents, open_archives, open_folders
 from ..tuning import materialize
 
@@ -184,6 +185,41 @@ def profile_dataset(spark: SparkSession, path: str, sample: int = 10, limit: int
     return DatasetProfile(layout, files, members)
 
 
+def refresh_profile(spark: SparkSession, path: str, state: str) -> dict[str, DataFrame]:
+    """Profile of a growing table; only files that `state` doesn't know are read.
+
+    `state` is a folder of partial profiles, a row per data file. A file counts by its name and size as
+    it lies in the table now, so files that went are left out. Members are those of `profile_dataset`
+    but extremes and sample; numbers of stations are estimates (`SKETCH_BITS`), all else is exact. Two
+    refreshes at once do no harm, as a file's rows are equal. A table without files is an error.
+    """
+    files = [(name, file, size) for file, name, size in listed(path, recursive=True) if name.endswith(".parquet")]
+    if not files:
+        raise ValueError(f"no data files in {path}")
+    present = spark.createDataFrame([(name, size) for name, _, size in files], "file string, bytes long")
+    try:
+        known = spark.read.parquet(state) if listed(state) else None
+    except ValueError:
+        known = None
+    new = present if known is None else present.join(known.select("file", "bytes"), ["file", "bytes"], "left_anti")
+    names = {r.file for r in new.collect()}  # names of files, not of rows
+    paths = [file for name, file, _ in files if name in names]
+    if paths:
+        records = T.as_weather(spark.read.parquet(*paths)).withColumn("_file", F.element_at(F.split(F.input_file_name(), "/"), -1))
+        # a file without rows has a row of its own, so that it isn't read again
+        partial = R.file_profile(records, F.col("_file"))
+        new.join(partial, "file", "left").write.mode("append").parquet(state)
+    rows = spark.read.parquet(state).join(present, ["file", "bytes"], "left_semi").dropDuplicates(["file", "bytes"])
+    rows = materialize(rows.where("n is not null"))
+    return {
+        "bounds": R.dataset_bounds(rows),
+        "coverage": R.metric_coverage(rows),
+        "source_flags": R.source_flag_counts(rows),
+        "physical_validity": R.physical_validity_counts(rows),
+        "combined_quality": R.combined_quality_counts(rows),
+    }
+
+
 @dataclass
 class ConsolidatedJob:
     source: FolderSet

@@ -41,6 +41,19 @@ def file_system(path: str):
     return fs.FileSystem.from_uri(re.sub("^s3[an]://", "s3://", re.sub("^file:/*", "file:///", path)))
 
 
+def open_output(path: str):
+    """A binary stream to a new file on a local path or on a file system pyarrow knows."""
+    system, inner = file_system(path)
+    system.create_dir(inner.rpartition("/")[0], recursive=True)
+    return system.open_output_stream(inner)
+
+
+def rename(old: str, new: str) -> None:
+    """Moves a file within one file system; on local disks and HDFS in one step."""
+    system, inner = file_system(old)
+    system.move(inner, file_system(new)[1])
+
+
 def listed(path: str, recursive: bool = False) -> list[tuple[str, str, int]]:
     """(path, name, bytes) of the regular files in the folder `path`, or of the file `path` itself.
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-import os
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
+from ..sources import ranges
+
+cloudpickle.register_pickle_by_value(ranges)
 
 # The derived order numbers need more bits than text offsets; there are four archives.
 SEQ_BITS = 56
@@ -200,15 +203,15 @@ def write_archives(lines: DataFrame, folder: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.makedirs(folder, exist_ok=True)
         name = entry = None
-        out = stream = None
+        raw = out = stream = None
         done = []
 
         def close():
             stream.close()
             out.close()
-            os.replace(f"{folder}/.{name}", f"{folder}/{name}")
+            raw.close()
+            ranges.rename(f"{folder}/.{name}", f"{folder}/{name}")
             done.append(name)
 
         for batch in batches:
@@ -216,7 +219,8 @@ def write_archives(lines: DataFrame, folder: str) -> DataFrame:
                 if archive != name:
                     if out is not None:
                         close()
-                    out = zipfile.ZipFile(f"{folder}/.{archive}", "w", zipfile.ZIP_DEFLATED)
+                    raw = ranges.open_output(f"{folder}/.{archive}")
+                    out = zipfile.ZipFile(raw, "w", zipfile.ZIP_DEFLATED)
                     name, entry = archive, None
                 if file != entry:
                     if entry is not None:
@@ -240,7 +244,7 @@ def write_station_files(lines: DataFrame, folder: str) -> DataFrame:
 
         def close():
             out.close()
-            os.replace(f"{folder}/{name}.part", f"{folder}/{name}")
+            ranges.rename(f"{folder}/{name}.part", f"{folder}/{name}")
             done.append(name)
 
         for batch in batches:
@@ -248,8 +252,7 @@ def write_station_files(lines: DataFrame, folder: str) -> DataFrame:
                 if file != name:
                     if out is not None:
                         close()
-                    os.makedirs(os.path.dirname(f"{folder}/{file}"), exist_ok=True)
-                    out, name = open(f"{folder}/{file}.part", "wb"), file
+                    out, name = ranges.open_output(f"{folder}/{file}.part"), file
                 out.write(line.encode() + b"\n")
         if out is not None:
             close()

@@ -1133,14 +1133,22 @@ ROW_GROUP = 500
 
 @query(
     "table_statistics",
-    sql(f"select count(*) as total_rows, ceil(count(*) / {ROW_GROUP}.0)::bigint as row_groups, 1::bigint as files, 'SNAPPY' as codecs from rec", "rec"),
+    sql("select count(*) as total_rows, 'SNAPPY' as codecs, true as rows_as_read, true as groups_as_limited, true as files_found from rec", "rec"),
 )
 def table_statistics(spark, d):
-    """Rows, row groups, files and codec from the footers of a table in one file."""
+    """Totals from the footers; per file they agree with the rows read from it and the limit of a row group."""
     path = scratch_folder(spark)
-    one = records(spark, d).coalesce(1)
-    one.write.option("compression", "snappy").option("parquet.block.row.count.limit", str(ROW_GROUP)).parquet(path)
-    return T.table_statistics(spark, path).select("total_rows", "row_groups", "files", "codecs")
+    records(spark, d).write.option("compression", "snappy").option("parquet.block.row.count.limit", str(ROW_GROUP)).parquet(path)
+    name = F.element_at(F.split(F.col("file"), "/"), -1).alias("file")
+    counted = spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(F.count("*").alias("found")).select(name, "found")
+    each = T.file_statistics(spark, path).select(name, "rows", "row_groups").join(counted, "file", "left")
+    agree = each.agg(
+        F.bool_and(F.col("rows") == F.coalesce("found", F.lit(0))).alias("rows_as_read"),
+        F.bool_and(F.col("row_groups") == F.ceil(F.col("rows") / ROW_GROUP)).alias("groups_as_limited"),
+        F.count("*").alias("n"),
+    )
+    totals = T.table_statistics(spark, path).select("total_rows", "codecs", "files")
+    return totals.join(F.broadcast(agree), F.col("n") == F.col("files")).select("total_rows", "codecs", "rows_as_read", "groups_as_limited", (F.col("files") > 0).alias("files_found"))
 
 
 @query("table_head", sql("select * from con_all order by station_id, date limit 50", "con_all"))
@@ -1190,6 +1198,37 @@ def profile_limited(spark, d):
     return bounds.select("total_records", "total_stations", "first_date", "last_date")
 
 
+@query(
+    "profile_of_grown_table",
+    sql(
+        f"""select 'bounds' as member, count(*) as n, min(date) as first_date, max(date) as last_date from rec
+union all select 'station estimate within 4 %', 1, null, null
+union all select 'temperature', count(*), min(date), max(date) from rec where coalesce(temp_min, temp_max, temp_avg) is not null""",
+        "rec",
+    ),
+)
+def profile_of_grown_table(spark, d):
+    """A table that grows by a third after its first profile: only the new files are read."""
+    path, state = scratch_folder(spark), scratch_folder(spark)
+    rows = records(spark, d)
+    rows.where("station_id % 3 != 0").write.parquet(path)
+    J.refresh_profile(spark, path, state)
+    rows.where("station_id % 3 = 0").write.mode("append").parquet(path)
+    members = J.refresh_profile(spark, path, state)
+    bounds = members["bounds"].select("total_records", "first_date", "last_date", "total_stations")
+    none, number = F.lit(None).cast("date"), F.lit(None).cast("long")
+    exact = rows.agg(F.count_distinct("station_id").alias("exact")).select(number.alias("total_stations"), "exact")
+    both = bounds.select("total_stations", number.alias("exact")).unionByName(exact)
+    close = both.agg(F.max("total_stations").alias("total_stations"), F.max("exact").alias("exact"))
+    near = F.abs(F.col("total_stations") - F.col("exact")) <= 0.04 * F.col("exact")
+    temperature = members["coverage"].where("metric = 'temperature'")
+    return (
+        bounds.select(F.lit("bounds").alias("member"), F.col("total_records").alias("n"), "first_date", "last_date")
+        .unionByName(close.select(F.lit("station estimate within 4 %").alias("member"), near.cast("long").alias("n"), none.alias("first_date"), none.alias("last_date")))
+        .unionByName(temperature.select(F.lit("temperature").alias("member"), F.col("records").alias("n"), "first_date", "last_date"))
+    )
+
+
 @query(
     "batch_hook",
     sql("select station_id, date, temp_max - temp_min as spread from rec where temp_max is not null and temp_min is not null", "rec"),
