@@ -44,6 +44,7 @@ class ArchiveJob:
     per_archive: IntegrityReport
     unified: IntegrityReport
     written: bool | None = None
+    line_counts: dict[str, int] | None = None
 
     @property
     def summary(self) -> IntegritySummary:
@@ -74,12 +75,13 @@ def process_directory(
     The long rows are shuffled once, into the records of each archive. These are stored as a table
     in the shared folder, as both the merge and the per-archive reports start from them. `station`
     limits the records; the reports keep all stations unless `filter_report` is set, in which case
-    other stations' entries stay unread.
+    other stations' entries stay unread. `line_counts` has the rows read and the defective lines per
+    kind, counted in the same pass.
     """
     T.check_codec(codec)
     if station is not None and filter_report:
         source_options["stations"] = [station]
-    src = open_archives(spark, folder, pattern, **source_options)
+    src = open_archives(spark, folder, pattern, count_lines=True, **source_options)
     per_archive = materialize(
         V.archive_records(src.observations, src.stations, quality_mode, all_known=True)
     )
@@ -89,7 +91,7 @@ def process_directory(
     if output is None:
         records = materialize(records)
     else:
-        written = T.write_weather(records, output, codec, probe=wanted)
+        written = T.write_weather(records, output, codec, probe=wanted, like=wanted)
         records = T.read_weather(spark, output) if written else records
     everything = records if station is None else V.merge_records(per_archive, quality_mode, src.stations)
     each = _report(per_archive, "archive_ord")
@@ -102,6 +104,7 @@ def process_directory(
         ),
         _report(everything),
         written,
+        src.line_counts(),
     )
 
 

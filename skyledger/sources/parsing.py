@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from .. import schemas as S
 from ..functions import text as X
@@ -91,6 +91,16 @@ def good_observations(
     return parsed.filter(keep).drop("defect")
 
 
+DEFECTS = ("source id", "date", "value", "flag")
+
+
+def observed_lines(parsed: DataFrame, observation: Observation) -> DataFrame:
+    """Counts rows and defects per kind in whatever pass reads `parsed` first: `observation.get` has
+    `observations` and `defect_<kind>`. Work that is done again after a lost executor counts again."""
+    kinds = [F.count_if(F.startswith("defect", F.lit(f"{kind}: "))).alias(f"defect_{kind.replace(' ', '_')}") for kind in DEFECTS]
+    return parsed.observe(observation, F.count_if(F.col("defect").isNull()).alias("observations"), *kinds)
+
+
 def defective_lines(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("defect").isNotNull())
 

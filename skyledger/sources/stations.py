@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window as W, functions as F
 
 from .. import schemas as S
 from ..functions import geo as G
@@ -24,6 +24,13 @@ class ArchiveSet:
     lines: DataFrame
     parsed: DataFrame
     observations: DataFrame
+    counted: Observation | None = None
+
+    def line_counts(self) -> dict[str, int]:
+        """Rows and defective lines per kind, as the first pass over `observations` counted them; waits for it."""
+        if self.counted is None:
+            raise ValueError("the archives were opened without count_lines")
+        return self.counted.get
 
     def unknown_stations(self) -> DataFrame:
         """Data files whose station is not in the station list of their archive."""
@@ -44,26 +51,27 @@ def open_archives(
     other_defects: str = "drop",
     header_lines: int = S.HEADER_LINES,
     split_bytes: int = A.SPLIT_BYTES,
+    count_lines: bool = False,
 ) -> ArchiveSet:
     """The usable archives of `folder` in file-name order.
 
     Unusable archives are listed in `errors`; it is an error when none is left. `elements` and
     `stations` leave entries unread by their name, and so are files of stations that their archive's
-    list lacks.
+    list lacks. With `count_lines`, the first pass over the observations counts rows and defects.
     """
     listing = list_contents(spark, folder, pattern)
-    return _opened(listing, elements, stations, temperature_defects, other_defects, header_lines, split_bytes)
+    return _opened(listing, elements, stations, temperature_defects, other_defects, header_lines, split_bytes, count_lines)
 
 
 def open_listed(spark: SparkSession, archives: DataFrame, **options) -> ArchiveSet | None:
     """The usable ones of some listed archives, with the options of `open_archives`; None if there are none."""
     listing = _contents(archives)
     defaults = {"elements": None, "stations": None, "temperature_defects": "fail", "other_defects": "drop"}
-    options = defaults | {"header_lines": S.HEADER_LINES, "split_bytes": A.SPLIT_BYTES} | options
+    options = defaults | {"header_lines": S.HEADER_LINES, "split_bytes": A.SPLIT_BYTES, "count_lines": False} | options
     return None if listing.archives.isEmpty() else _opened(listing, **options)
 
 
-def _opened(listing: Listing, elements, stations, temperature_defects, other_defects, header_lines, split_bytes) -> ArchiveSet:
+def _opened(listing: Listing, elements, stations, temperature_defects, other_defects, header_lines, split_bytes, count_lines) -> ArchiveSet:
     lines = A.archive_metadata_lines(listing.archives, S.STATIONS_FILE)
     # small, and looked at several times: unpacked once
     found = materialize(P.last_station_wins(P.parse_station_lines(lines), "archive_ord"))
@@ -71,8 +79,10 @@ def _opened(listing: Listing, elements, stations, temperature_defects, other_def
     known = files.join(found.select("archive_ord", "station_id"), ["archive_ord", "station_id"], "left_semi")
     data = A.archive_lines(known, header_lines, split_bytes)
     parsed = P.parse_observation_lines(data)
-    good = P.good_observations(parsed, temperature_defects, other_defects)
-    return ArchiveSet(listing.entries, listing.archives, listing.errors, found, data, parsed, good)
+    counted = Observation() if count_lines else None
+    rows = P.observed_lines(parsed, counted) if counted else parsed
+    good = P.good_observations(rows, temperature_defects, other_defects)
+    return ArchiveSet(listing.entries, listing.archives, listing.errors, found, data, parsed, good, counted)
 
 
 @dataclass

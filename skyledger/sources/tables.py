@@ -24,12 +24,43 @@ def check_codec(name: str) -> str:
     return "lz4_raw" if name == "lz4" else name
 
 
-def _write(df: DataFrame, path: str, codec: str, row_group_rows: int, probe, mode: str) -> bool:
+FILE_ROWS = 1 << 20
+_YEARS = 1 << 14  # a key holds the station and the year
+
+
+def in_sorted_files(records: DataFrame, like: DataFrame, file_rows: int = FILE_ROWS) -> DataFrame:
+    """`records` sorted by (station, day) over tasks, each with its own range of (station, year).
+
+    `like` has station_id and date of at least the same keys and is cheap to read, for instance stored
+    rows before a merge. Quantiles of its keys are the split points, so `records` are computed once; a
+    range exchange would compute them once more for its sample.
+    """
+    key = F.col("station_id") * _YEARS + F.year("date")
+    rows = like.where("date is not null").agg(F.count(F.lit(1)).alias("n")).first().n
+    files = max(1, -(-rows // file_rows))
+    if files == 1:
+        return records.repartitionById(1, F.lit(0)).sortWithinPartitions("station_id", "date")
+    shares = [i / files for i in range(1, files)]
+    cuts = like.agg(F.percentile_approx(key, shares, max(10_000, 10 * files)).alias("cuts")).first().cuts
+    cuts = sorted(set(cuts))
+
+    def part(lo: int, hi: int) -> Column:
+        """The number of cuts that a key lies behind, by halving, so an expression of any size is short to evaluate."""
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(key <= cuts[mid], part(lo, mid)).otherwise(part(mid + 1, hi))
+
+    dealt = records.repartitionById(len(cuts) + 1, part(0, len(cuts)))
+    return dealt.sortWithinPartitions("station_id", "date")
+
+
+def _write(df: DataFrame, path: str, codec: str, row_group_rows: int, probe, mode: str, like=None) -> bool:
     codec = check_codec(codec)
     if (df if probe is None else probe).isEmpty():
         return False
     (
-        df.orderBy("station_id", "date")
+        (df.orderBy("station_id", "date") if like is None else in_sorted_files(df, like))
         .write.mode(mode)
         .option("compression", codec)
         .option("parquet.block.row.count.limit", str(row_group_rows))
@@ -45,14 +76,16 @@ def write_weather(
     row_group_rows: int = S.ROW_GROUP_ROWS,
     probe: DataFrame | None = None,
     mode: str = "errorifexists",
+    like: DataFrame | None = None,
 ) -> bool:
     """Write wide records sorted by (station, day); an empty result writes nothing.
 
     The sort is a range exchange on both keys, so one large station is spread over several files.
     `probe` is something cheaper that is empty exactly when `records` is, for instance the
-    observations before their pivot.
+    observations before their pivot. With `like`, stored rows of the same stations and days, the
+    records are computed once (`in_sorted_files`).
     """
-    return _write(records.select(*S.WEATHER_COLUMNS), path, codec, row_group_rows, probe, mode)
+    return _write(records.select(*S.WEATHER_COLUMNS), path, codec, row_group_rows, probe, mode, like)
 
 
 def write_consolidated(

@@ -28,11 +28,14 @@ def _file_name(element: Column, station: Column) -> Column:
     return F.concat(element, F.lit("_STAID"), F.lpad(station.cast("string"), 6, "0"), F.lit(".txt"))
 
 
-def _data_line() -> Column:
+def _data_line(spoiled: bool = False) -> Column:
+    """A line of a station file; `spoiled` makes some values of rain and some flags of wind unreadable."""
     day = F.date_format("obs_date", "yyyyMMdd")
-    return F.concat_ws(
-        ", ", F.col("l_orderkey").cast("string"), day, F.col("tenths").cast("string"), F.col("qflag").cast("string")
-    )
+    value, flag = F.col("tenths").cast("string"), F.col("qflag").cast("string")
+    if spoiled:
+        value = F.when((F.col("element") == "RR") & (F.col("l_partkey") % 11 == 0), "n/a").otherwise(value)
+        flag = F.when((F.col("element") == "FG") & (F.col("l_partkey") % 13 == 0), "?").otherwise(flag)
+    return F.concat_ws(", ", F.col("l_orderkey").cast("string"), day, value, flag)
 
 
 def _with_headers(lines: DataFrame, *keys: str) -> DataFrame:
@@ -56,7 +59,7 @@ def _station_line() -> Column:
     )
 
 
-def write_archive_folder(spark, d) -> str:
+def write_archive_folder(spark, d, spoiled: bool = False) -> str:
     """Each archive holds a share of the orders of some stations, and the list of those stations."""
     folder = scratch_folder(spark)
     number = F.floor(F.col("station_id") / ARCHIVE_STATIONS) * ARCHIVE_SHARES + F.col("l_orderkey") % ARCHIVE_SHARES
@@ -65,7 +68,7 @@ def write_archive_folder(spark, d) -> str:
         "archive",
         _file_name(F.col("element"), F.col("station_id")).alias("entry"),
         F.col("line_no").alias("pos"),
-        _data_line().alias("line"),
+        _data_line(spoiled).alias("line"),
     )
     archives = raw.select("archive").distinct()
     listed = N.stations(spark, d).select("station_id", F.col("station_id").alias("pos"), _station_line().alias("line"))
@@ -222,6 +225,24 @@ def archives_in_sql(spark, d):
     )
 
 
+@query(
+    "archives_line_counts",
+    sql(
+        f"""select count(*) filter (where not spoiled) as observations, 0::bigint as defect_source_id, 0::bigint as defect_date,
+  count(*) filter (where element = 'RR' and spoiled) as defect_value, count(*) filter (where element = 'FG' and spoiled) as defect_flag
+from (select *, (element = 'RR' and l_partkey % 11 = 0) or (element = 'FG' and l_partkey % 13 = 0) as spoiled from raw where {W._KNOWN})
+where tenths <> -9999 or (element = 'RR' and spoiled)""",
+        "raw",
+        "stations",
+    ),
+)
+def archives_line_counts(spark, d):
+    """Rows and defective lines of a directory job, counted in its own pass."""
+    job = J.process_directory(spark, write_archive_folder(spark, d, spoiled=True), scratch_folder(spark))
+    names = list(job.line_counts)
+    return spark.createDataFrame([tuple(job.line_counts.values())], ", ".join(f"{n} long" for n in names))
+
+
 @query("archives_added_one_after_another", sql(_SHARDS + "select * from shard_uni", "raw", "stations"))
 def archives_added_one_after_another(spark, d):
     """A stored merge that archives are added to against their order; each is read once."""

@@ -3,6 +3,7 @@ import os
 
 import pytest
 from conftest import ELEMENT_TEXT, STATION_TEXT, rows, station_file
+from pyspark.sql import functions as F
 from test_reports import random_weather, v1, weather
 
 from skyledger import schemas as S
@@ -160,3 +161,22 @@ def test_scratch_folder_without_a_shared_folder():
     for master in ("local-cluster[3,2,3000]", "spark://host:7077", "yarn"):
         with pytest.raises(ValueError):
             scratch_folder(session(master))
+
+
+def test_sorted_files_without_a_range_exchange(spark, tmp_path):
+    rows_ = spark.range(20_000).selectExpr("id % 7 + 1 as station_id", "date'2000-01-01' + cast(id % 1500 as int) as date")
+    hot = rows_.unionAll(spark.range(8_000).selectExpr("3L as station_id", "date'2000-01-01' + cast(id % 1500 as int) as date"))
+    wide = hot.distinct().select("station_id", "date", *[F.lit(None).cast(S.WEATHER[c].dataType).alias(c) for c in S.WEATHER_COLUMNS if c not in ("station_id", "date")])
+    records = wide.select(S.WEATHER_COLUMNS)
+    dealt = T.in_sorted_files(records, hot, file_rows=4000)
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    dealt.write.parquet(str(tmp_path / "t"))
+    spans = []
+    for file in sorted((tmp_path / "t").glob("*.parquet")):
+        keys = [(r.station_id, r.date) for r in spark.read.parquet(str(file)).select("station_id", "date").collect()]
+        assert keys == sorted(keys)
+        spans.append((keys[0], keys[-1]))
+    assert 5 <= len(spans) <= 8 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == records.count()
+    assert T.in_sorted_files(records, hot.limit(0)).rdd.getNumPartitions() == 1
