@@ -1,11 +1,14 @@
-"""Hook for user code over batches of rows."""
+"""Hooks for user code over batches of rows, for DataFrames and for SQL."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T, udtf
+
+BATCH_ROWS = 10_000
 
 
 def process_in_batches(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
@@ -20,3 +23,56 @@ def process_in_batches(df: DataFrame, work: Callable[[pd.DataFrame], pd.DataFram
             yield work(batch)
 
     return df.mapInPandas(run, schema)
+
+
+def batch_function(
+    work: Callable[[pd.DataFrame], pd.DataFrame],
+    schema: str | Callable[[T.StructType], T.StructType],
+    batch_rows: int | None = BATCH_ROWS,
+):
+    """`work` as a table function: `SELECT * FROM name(TABLE(t) [PARTITION BY ... [ORDER BY ...]])`.
+
+    `schema` is the result's columns, or a function that gives them for the table's. `work` gets up to
+    `batch_rows` rows at a time, never of two groups, or whole groups where that is None; then a group
+    must fit in memory. Missing values of the result become NULL. Without PARTITION BY batches are parts
+    of tasks. An exception in `work`, or a result with other columns, fails the job.
+    """
+    given = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    class Batches:
+        @staticmethod
+        def analyze(table: udtf.AnalyzeArgument) -> udtf.AnalyzeResult:
+            if not table.isTable:
+                raise ValueError("a batch function takes a table: name(TABLE(...))")
+            return udtf.AnalyzeResult(given if isinstance(given, T.StructType) else given(table.dataType))
+
+        def __init__(self, analyzed: udtf.AnalyzeResult):
+            self.names, self.held = analyzed.schema.names, []
+
+        def eval(self, row: Row) -> Iterator[tuple]:
+            self.held.append(row)
+            if len(self.held) == batch_rows:
+                yield from self._done()
+
+        def terminate(self) -> Iterator[tuple]:
+            if self.held:
+                yield from self._done()
+
+        def _done(self) -> Iterator[tuple]:
+            rows, self.held = self.held, []
+            out = work(pd.DataFrame([tuple(r) for r in rows], columns=rows[0].__fields__))
+            if list(out.columns) != self.names:
+                raise ValueError(f"the batch function gave {list(out.columns)} and not {self.names}")
+            out = out.astype(object)
+            yield from out.where(out.notna(), None).itertuples(index=False, name=None)
+
+    return F.udtf(Batches)
+
+
+def register_batch_function(spark: SparkSession, name: str, work, schema, batch_rows: int | None = BATCH_ROWS) -> None:
+    """Makes `work` callable from the session's SQL as `name(TABLE(...))`."""
+    spark.udtf.register(name, batch_function(work, schema, batch_rows))
+
+
+# The function travels with the plan, so executors need no copy of the package.
+cloudpickle.register_pickle_by_value(__import__(__name__, fromlist=["BATCH_ROWS"]))

@@ -15,7 +15,7 @@ from ..operators import integrity as I
 from ..operators import neighbours as NB
 from ..operators import pivot as V
 from ..operators import profile as R
-from ..operators.batches import process_in_batches
+from ..operators.batches import process_in_batches, register_batch_function
 from ..plans import documented as D
 from ..plans import jobs as J
 from ..sources import parsing as P
@@ -1243,3 +1243,26 @@ def batch_hook(spark, d):
 
     source = records(spark, d).select("station_id", "date", "temp_min", "temp_max")
     return process_in_batches(source, spread, "station_id long, date date, spread float")
+
+
+@query(
+    "batch_function_in_sql",
+    sql(
+        """select station_id, date, cast(temp_max::double - lag(temp_max) over (partition by station_id, extract(year from date) order by date)::double as float) as rise,
+  count(*) over (partition by station_id, extract(year from date)) as days from rec where temp_max is not null""",
+        "rec",
+    ),
+)
+def batch_function_in_sql(spark, d):
+    """User code over whole groups, called from SQL."""
+
+    def rises(group):
+        rise = group["temp_max"].astype("float64").diff()
+        return group[["station_id", "date"]].assign(rise=rise, days=len(group))
+
+    records(spark, d).createOrReplaceTempView("batch_records")
+    register_batch_function(spark, "rises", rises, "station_id long, date date, rise float, days long", batch_rows=None)
+    return spark.sql(
+        """select * from rises(table(select station_id, date, temp_max, year(date) as year from batch_records where temp_max is not null)
+           partition by (station_id, year) order by date)"""
+    )
