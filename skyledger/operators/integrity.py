@@ -51,6 +51,47 @@ def station_statistics(records: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+_COUNTS = ("total", "valid", "suspect", "missing_data", "invalid")
+
+
+def report_state(records: DataFrame, *keys: str) -> DataFrame:
+    """What the totals and the station statistics of a report are made of, per station, in one scan."""
+    temperature = Q.temperature_flag_valid()
+    valid = temperature & Q.precipitation_flag_valid() & Q.wind_flag_valid()
+    suspect, missing = Q.has_suspect_flag(), Q.has_missing_flag()
+    flags = {"": valid, "temp_": temperature}
+    counts = [
+        c
+        for head, good in flags.items()
+        for c in (
+            _count(good).alias(f"{head}valid_records"),
+            _count(~good & suspect).alias(f"{head}suspect_records"),
+            _count(~good & ~suspect & missing).alias(f"{head}missing_data_records"),
+        )
+    ]
+    return records.groupBy(*keys, "station_id").agg(
+        F.count(F.lit(1)).alias("total_records"),
+        *counts,
+        _count(Q.record_violation().isNotNull()).alias("invalid_records"),
+        F.min("temp_min").alias("min_temp"),
+        F.max("temp_max").alias("max_temp"),
+        F.sum(F.col("temp_avg").cast("double")).alias("avg_sum"),
+        F.count("temp_avg").alias("avg_n"),
+    )
+
+
+def totals_of_state(state: DataFrame, *keys: str) -> DataFrame:
+    """`integrity_totals` from `report_state`."""
+    return state.groupBy(*keys).agg(*[F.coalesce(F.sum(f"{c}_records"), F.lit(0)).alias(f"{c}_records") for c in _COUNTS])
+
+
+def station_statistics_of_state(state: DataFrame, *keys: str) -> DataFrame:
+    """`station_statistics` from `report_state`."""
+    counts = [F.col(f"temp_{c}_records").alias(f"{c}_records") for c in _COUNTS[1:4]]
+    mean = F.when(F.col("avg_n") > 0, F.col("avg_sum") / F.col("avg_n")).alias("avg_temp")
+    return state.select(*keys, "station_id", "total_records", *counts, "min_temp", "max_temp", mean)
+
+
 def combine_totals(per_archive: DataFrame) -> DataFrame:
     """Totals of several archives added up."""
     names = [c for c in per_archive.columns if c.endswith("_records")]

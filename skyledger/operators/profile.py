@@ -229,34 +229,24 @@ def extreme_records(records: DataFrame) -> DataFrame:
     """Coldest, hottest, wettest and windiest record that is not Invalid; ties go to the first
     (station, day).
 
-    One narrow aggregate finds the four keys; they are joined back for the full rows.
+    One pass: the four winners are kept whole by an aggregate without keys.
     """
-    sid, day = F.col("station_id"), F.unix_date("date")
+    sid, day, row = F.col("station_id"), F.unix_date("date"), F.struct(*S.WEATHER_COLUMNS).alias("row")
 
     def top(column: str, metric: str) -> Column:
         use = F.col(column).isNotNull() & (_QUALITY[metric]() != "Invalid")
-        return F.max(F.when(use, F.struct(F.col(column).alias("v"), (-sid).alias("s"), (-day).alias("d"))))
+        return F.max(F.when(use, F.struct(F.col(column).alias("v"), (-sid).alias("s"), (-day).alias("d"), row)))
 
     cold = F.col("temp_min").isNotNull() & (Q.temperature_quality() != "Invalid")
-    keys = records.agg(
-        F.min(F.when(cold, F.struct(F.col("temp_min").alias("v"), sid.alias("s"), day.alias("d")))).alias(
-            "coldest"
-        ),
-        top("temp_max", "temperature").alias("hottest"),
-        top("precipitation", "precipitation").alias("wettest"),
-        top("wind_speed", "wind_speed").alias("windiest"),
-    )
-    named = [
-        F.struct(
-            F.lit(n).alias("extreme"),
-            F.abs(F.col(n)["s"]).alias("station_id"),
-            F.date_from_unix_date(F.col(n)["d"] if n == "coldest" else -F.col(n)["d"]).alias("date"),
-        )
-        for n in ("coldest", "hottest", "wettest", "windiest")
-    ]
-    # four rows at most
-    wanted = keys.select(F.inline(F.array(*named))).filter(F.col("station_id").isNotNull())
-    return records.join(F.broadcast(wanted), ["station_id", "date"]).select("extreme", *S.WEATHER_COLUMNS)
+    winners = {
+        "coldest": F.min(F.when(cold, F.struct(F.col("temp_min").alias("v"), sid.alias("s"), day.alias("d"), row))),
+        "hottest": top("temp_max", "temperature"),
+        "wettest": top("precipitation", "precipitation"),
+        "windiest": top("wind_speed", "wind_speed"),
+    }
+    found = records.agg(*[c.alias(n) for n, c in winners.items()])
+    pairs = F.array(*[F.struct(F.lit(n).alias("extreme"), F.col(n)["row"].alias("row")) for n in winners])
+    return found.select(F.inline(pairs)).where(F.col("row").isNotNull()).select("extreme", "row.*")
 
 
 # --- diverse sample ----------------------------------------------------------------------------

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,9 +22,29 @@ from ..tuning import materialize
 
 @dataclass
 class IntegrityReport:
-    totals: DataFrame
-    violations: DataFrame
-    station_statistics: DataFrame
+    """Report of records, per `keys`. Totals and statistics come from one scan, made when one is first
+    asked for; `combined` adds the totals of all keys up and keeps the last key's row of a station."""
+
+    records: DataFrame
+    keys: tuple[str, ...] = ()
+    combined: bool = False
+
+    @cached_property
+    def state(self) -> DataFrame:
+        return materialize(I.report_state(self.records, *self.keys))
+
+    @property
+    def totals(self) -> DataFrame:
+        return I.totals_of_state(self.state, *(() if self.combined else self.keys))
+
+    @property
+    def violations(self) -> DataFrame:
+        return I.violations(self.records, *self.keys)
+
+    @property
+    def station_statistics(self) -> DataFrame:
+        found = I.station_statistics_of_state(self.state, *self.keys)
+        return I.combine_station_statistics(found) if self.combined else found
 
 
 @dataclass
@@ -53,12 +74,6 @@ class ArchiveJob:
         )
 
 
-def _report(records: DataFrame, *keys: str) -> IntegrityReport:
-    return IntegrityReport(
-        I.integrity_totals(records, *keys), I.violations(records, *keys), I.station_statistics(records, *keys)
-    )
-
-
 def process_directory(
     spark: SparkSession,
     folder: str,
@@ -94,15 +109,12 @@ def process_directory(
         written = T.write_weather(records, output, codec, probe=wanted, like=wanted)
         records = T.read_weather(spark, output) if written else records
     everything = records if station is None else V.merge_records(per_archive, quality_mode, src.stations)
-    each = _report(per_archive, "archive_ord")
     return ArchiveJob(
         src,
         records,
         R.composition(records),
-        IntegrityReport(
-            I.combine_totals(each.totals), each.violations, I.combine_station_statistics(each.station_statistics)
-        ),
-        _report(everything),
+        IntegrityReport(per_archive, ("archive_ord",), combined=True),
+        IntegrityReport(everything),
         written,
         src.line_counts(),
     )

@@ -202,3 +202,15 @@ def test_unlisted_elements_skip_archives_without_list(spark):
     files = spark.createDataFrame([("a", "TN", 1), ("a", "TX", 1), ("b", "TN", 1)], "archive string, element string, files int")
     listed = spark.createDataFrame([("a", "TN")], "archive string, element string")
     assert rows(C.unlisted_elements(files, listed)) == [("a", "TX")]
+
+
+def test_reports_from_one_scan(spark):
+    records = weather(spark, random_weather(5, 400)).withColumn("archive_ord", F.col("station_id") % 2)
+    for keys in ((), ("archive_ord",)):
+        state = I.report_state(records, *keys)
+        assert rows(I.totals_of_state(state, *keys)) == rows(I.integrity_totals(records, *keys))
+        one, other = I.station_statistics_of_state(state, *keys), I.station_statistics(records, *keys)
+        assert one.columns == other.columns
+        rounded = [c.withColumn("avg_temp", F.round("avg_temp", 9)) for c in (one, other)]
+        assert rows(rounded[0]) == rows(rounded[1])
+    assert rows(I.totals_of_state(I.report_state(records.limit(0)))) == rows(I.integrity_totals(records.limit(0)))
