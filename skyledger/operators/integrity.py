@@ -254,3 +254,61 @@ def weather_jumps(records: DataFrame, limit: float = S.JUMP_LIMIT) -> DataFrame:
 
 def v1_jumps(records: DataFrame, limit: float = S.JUMP_LIMIT) -> DataFrame:
     return suspicious_jumps(records, dict(V1_VALUES), limit, S.MISSING_V1)
+
+
+# --- jumps kept per station and year -------------------------------------------------------------
+
+_PARTS = {"min": "temp_min", "max": "temp_max", "avg": "temp_avg"}
+JUMP_STATE = (
+    "kind string, station_id long, date date, part string, previous_date date, previous_value float, value float, jump float, "
+    "temp_min float, temp_max float, temp_avg float"
+)
+
+
+def _kind(name: str, rows: DataFrame) -> DataFrame:
+    """The rows with all columns of the state; what they lack is NULL."""
+    columns = [c.split() for c in JUMP_STATE.split(", ")]
+    return rows.withColumn("kind", F.lit(name)).select(*[F.col(c) if c == "kind" or c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in columns])
+
+
+def jump_state(records: DataFrame, limit: float = S.JUMP_LIMIT) -> DataFrame:
+    """Jumps between records of one station and year, and each station-year's first and last record.
+
+    `records` holds whole station-years. What follows over years is in `jumps_of_state`.
+    """
+    narrow = records.select("station_id", "date", F.year("date").alias("_year"), *_PARTS.values())
+    keys, row = ("station_id", "_year"), F.struct("date", *_PARTS.values())
+    within = W.partitionBy(*keys).orderBy("date")
+    paired = narrow.withColumn("_prev", F.lag(row).over(within))
+    jumps = paired.where(F.col("_prev").isNotNull()).select("station_id", "date", _jump_rows("_prev", limit)).select("station_id", "date", F.inline("j"))
+    ends = narrow.groupBy(*keys).agg(F.min(row).alias("first"), F.max(row).alias("last"))
+    first, last = (ends.select("station_id", f"{c}.*") for c in ("first", "last"))
+    return _kind("jump", jumps).unionAll(_kind("first", first)).unionAll(_kind("last", last))
+
+
+def _jump_rows(before: str, limit: float) -> Column:
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(part).alias("part"),
+                F.col(before)["date"].alias("previous_date"),
+                F.col(before)[c].alias("previous_value"),
+                F.col(c).alias("value"),
+                F.abs(F.col(c) - F.col(before)[c]).alias("jump"),
+            )
+            for part, c in _PARTS.items()
+        ]
+    )
+    return F.filter(pairs, lambda p: p["jump"] > f32(limit)).alias("j")
+
+
+def jumps_of_state(state: DataFrame, limit: float = S.JUMP_LIMIT) -> DataFrame:
+    """`weather_jumps` from `jump_state`: the stored rows, and pairs of a year's last and the next one's first record."""
+    row = F.struct("date", *_PARTS.values())
+    first, last = (state.where(F.col("kind") == k).withColumn("_year", F.year("date")) for k in ("first", "last"))
+    # a row per station and year that has records
+    earlier = last.select("station_id", "_year", F.lag(row).over(W.partitionBy("station_id").orderBy("_year")).alias("_prev"))
+    paired = first.join(earlier.where("_prev is not null"), ["station_id", "_year"])
+    over = paired.select("station_id", "date", _jump_rows("_prev", limit)).select("station_id", "date", F.inline("j"))
+    within = state.where("kind = 'jump'").select("station_id", "date", "part", "previous_date", "previous_value", "value", "jump")
+    return within.unionByName(over)

@@ -15,7 +15,7 @@ from ..streaming import landing as LD
 from ..tuning import scratch_folder
 from . import inputs as N
 from . import twins as W
-from .queries import query
+from .queries import _jumps_sql, query
 from .twins import sql
 
 # Stations of an archive, and archives that share them: the number of archives grows with the data,
@@ -225,6 +225,16 @@ def archives_in_sql(spark, d):
     )
 
 
+@query("archives_jumps_kept_up", sql(_SHARDS + _jumps_sql("shard_uni", "temp_min", "temp_max", "temp_avg"), "raw", "stations"))
+def archives_jumps_kept_up(spark, d):
+    """Jumps asked for between additions to a stored merge; only what changed is looked at again."""
+    folder, store = write_archive_folder(spark, d), RecordStore(spark, scratch_folder(spark), buckets=4)
+    for pattern in ("2.zip", None):
+        store.add_archives(folder, pattern)
+        found = store.jumps()
+    return found
+
+
 @query(
     "archives_line_counts",
     sql(
@@ -338,6 +348,7 @@ def landed_records_by_keyed_state(spark, d):
     """Records as the batches change them; the last one of a station and day counts."""
     session, work = spark.newSession(), scratch_folder(spark)
     session.conf.set("spark.sql.streaming.stateStore.providerClass", KD.ROCKSDB)
+    session.conf.set("spark.sql.shuffle.partitions", str(2 * spark.sparkContext.defaultParallelism))
 
     def keep(batch, number):
         batch.write.mode("overwrite").parquet(f"{work}/changed/batch={number}")
