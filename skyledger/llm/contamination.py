@@ -151,3 +151,22 @@ def op6_wu_manber_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("hit_items"), ",").cast("binary"), 256).alias("items_sha256"),
         contaminated().alias("contaminated"),
     )
+
+
+TWIN = r"""
+with words as (
+    select 'd' side, doc_id::varchar id, doc_id,
+           regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') w from documents
+    union all
+    select 'b', item_id::varchar, null, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') from benchmark),
+items as (select id, w, least(13, len(w)) n from words where side = 'b' and len(w) > 0),
+windows as (select distinct id, n, array_to_string(w[i:i + n - 1], ' ') k from (select id, w, n, unnest(range(1, len(w) - n + 2)) i from items)),
+sizes as (select distinct n from windows),
+docs as (select doc_id, coalesce(w, []) w from words where side = 'd'),
+places as (select doc_id, s.n, i, array_to_string(w[i:i + s.n - 1], ' ') k from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) i from docs, sizes where len(w) >= n) s),
+found as (select p.doc_id, p.i, p.n, v.id from places p join windows v on v.n = p.n and v.k = p.k),
+hit as (select doc_id, count(distinct x) n_hit, count(distinct id) n_items, list(distinct id) ids from (select doc_id, id, unnest(range(i, i + n)) x from found) group by doc_id)
+select d.doc_id, len(d.w)::bigint n_words, coalesce(h.n_hit, 0)::bigint n_hit, coalesce(h.n_items, 0)::bigint n_items,
+       sha256(coalesce(array_to_string(list_sort(h.ids), ','), '')) items_sha256, coalesce(h.n_hit, 0) > 0 and 20 * coalesce(h.n_hit, 0) >= len(d.w) contaminated
+from docs d left join hit h on h.doc_id = d.doc_id
+"""

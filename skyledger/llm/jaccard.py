@@ -336,3 +336,23 @@ def op8_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_components(table(spark, sf_dir, "documents"))
+
+
+TWIN = r"""
+with recursive words as (
+    select doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) w from documents),
+shingles as (
+    select distinct doc_id, array_to_string(w[i:i + 3], ' ') s from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) n from shingles group by doc_id),
+sets as (select doc_id, n, s from shingles join sizes using (doc_id)),
+common as (select a.doc_id a, b.doc_id b, any_value(a.n) n, any_value(b.n) m, count(*) k from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (select a, b from common where 100 * k >= 85 * (n + m - k)),
+both_ as (select a, b from links union all select b, a from links),
+reach as (select a, b from both_ union select r.a, e.b from reach r join both_ e on r.b = e.a),
+least_ as (select a doc_id, min(b) b from reach group by a)
+select w.doc_id, coalesce(z.n, 0)::bigint n_shingles, least(w.doc_id, coalesce(l.b, w.doc_id)) component_id, coalesce(c.n, 0)::bigint n_links
+from words w left join sizes z using (doc_id) left join least_ l using (doc_id) left join (select a doc_id, count(*) n from both_ group by a) c using (doc_id)
+"""
+
+#: Without the links' number.
+TWIN_COMPONENTS = f"select doc_id, n_shingles, component_id from ({TWIN})"

@@ -39,7 +39,10 @@ QUERIES = {
 
 TWINS: dict[str, str] = {
     "op2_warc_boundary_chain": warc.TWIN,
+    "op6_wu_manber_contamination": contamination.TWIN,
     "op7_ball_tree_top_products": topk.TWIN,
+    "op8_jaccard_links": jaccard.TWIN,
+    "op8_jaccard_components": jaccard.TWIN_COMPONENTS,
     "op12_threshold_negatives": negatives.TWIN,
     "op13_conversation_trie": convtrie.TWIN,
 }

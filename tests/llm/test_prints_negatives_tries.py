@@ -21,7 +21,7 @@ def equal_to_twin(spark, name):
     df = registry.QUERIES[name](spark, SF)
     got = Counter(tuple(map(str, r)) for r in df.select(sorted(df.columns)).collect())
     con = duckdb.connect()
-    for t in ("embeddings", "conversations"):
+    for t in ("embeddings", "conversations", "documents", "benchmark", "pages"):
         con.execute(f"create view {t} as select * from '{SF}/{t}.parquet'")
     twin = con.execute(registry.TWINS[name])
     names = [d[0] for d in twin.description]
@@ -29,7 +29,7 @@ def equal_to_twin(spark, name):
     assert got == Counter(tuple(str(r[names.index(c)]) for c in sorted(names)) for r in twin.fetchall())
 
 
-@pytest.mark.parametrize("name", ["op12_threshold_negatives", "op13_conversation_trie"])
+@pytest.mark.parametrize("name", ["op6_wu_manber_contamination", "op8_jaccard_components", "op8_jaccard_links", "op12_threshold_negatives", "op13_conversation_trie"])
 def test_query_equals_its_twin(spark, name):
     equal_to_twin(spark, name)
 
