@@ -48,8 +48,8 @@ def open_output(path: str):
     return system.open_output_stream(inner)
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text", binary: bool = False) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """(rows, their texts) in slices of about SLICE_CHARS bytes of text; null texts come as empty.
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", binary: bool = False, chars: int = SLICE_CHARS) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """(rows, their texts) in slices of about `chars` bytes of text; null texts come as empty.
 
     A slice holds one text at least, so memory follows the longest text and not the batch. `binary`
     gives UTF-8 bytes.
@@ -63,7 +63,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", binary: bool =
         at = 0
         while at < len(sizes):
             end, total = at + 1, sizes[at]
-            while end < len(sizes) and total + sizes[end] <= SLICE_CHARS:
+            while end < len(sizes) and total + sizes[end] <= chars:
                 total += sizes[end]
                 end += 1
             yield batch.slice(at, end - at), [x or none for x in column.slice(at, end - at).to_pylist()]

@@ -29,6 +29,8 @@ WORDS = 4
 PERCENT = 85
 BUCKET_BITS = 20  # of the shingle counts that order shingles; any order is right, rare first is fast
 BLOCKS = 16
+SLICE = 1 << 19  # bytes of text that a task hashes at once
+EARLIER = 8  # shared shingles before an entry's own that it carries
 LONGS = 8  # of parities of the hashes in 64 parts each of their range; they bound how far two sets differ
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, 300, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE, _BASE, _AT, _SHORT = _ODD[:256], _ODD[256], _ODD[257:273], _ODD[273]
@@ -43,27 +45,29 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 @functools.lru_cache(1)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The base's powers and their inverses modulo 2 ** 64."""
-    inverse = np.array([pow(int(_BASE), -1, 1 << 64)], np.uint64)
-    up, down = np.full(n, _BASE), np.repeat(inverse, n)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+def _factors(n: int) -> np.ndarray:
+    """An odd factor for each of the first n places of a word, without a rule between neighbours."""
+    return _mixed(np.arange(1, n + 1, dtype=np.uint64) * _BASE) | np.uint64(1)
 
 
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, list[int]]:
     """64-bit hashes of all words of the texts in their order, and where each text's words end.
 
-    A-Z count as lower case; words are what stands between ASCII white space.
+    A-Z count as lower case; words are what stands between ASCII white space. A word is the sum of its
+    bytes' numbers, each times the factor of its place.
     """
     raw = np.frombuffer(b"".join(t.lower() + b" " for t in texts), np.uint8)
-    up, down = _powers(1 << max(21, int(len(raw)).bit_length()))
     space = _SPACE[raw]
     edge = np.diff(space.view(np.int8), prepend=np.int8(1))
     starts, ends = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE[raw] * up[: len(raw)], out=sums[1:])
-    word = _mixed((sums[ends] - sums[starts]) * down[starts])
+    longest = int((ends - starts).max()) if len(starts) else 0
+    factors = _factors(1 << max(10, longest.bit_length()))
+    letters = np.flatnonzero(~space)
+    bounds = np.concatenate(([0], np.cumsum(ends - starts)))  # of the words among the letters
+    place = np.arange(len(letters)) - np.repeat(bounds[:-1], np.diff(bounds))
+    sums = np.zeros(len(letters) + 1, np.uint64)
+    np.cumsum(_BYTE[raw[letters]] * factors[place], out=sums[1:])
+    word = _mixed(np.diff(sums[bounds]) + (ends - starts).astype(np.uint64) * _SHORT)
     return word, np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).tolist()
 
 
@@ -111,7 +115,7 @@ PROFILE = "doc_id long, text_hash long, set_key long, n int, " + "".join(f"g{k}
 def _profile(words: int):
     def profile(batches):
         counts = np.zeros(1 << BUCKET_BITS, np.int64)
-        for part, texts in slices(batches, binary=True):
+        for part, texts in slices(batches, binary=True, chars=SLICE):
             sets = shingle_sets(texts, words)
             joined = np.concatenate(sets)
             if len(joined):
@@ -119,7 +123,7 @@ def _profile(words: int):
             parts = np.array([_parts(s) for s in sets]).reshape(-1, LONGS)
             none = pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())
             yield _rows(PROFILE, [part.column(0), part.column(1), pa.array([_key(s) if len(s) else None for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int32()), *map(pa.array, np.ascontiguousarray(parts.T)), *none])
-        _powers.cache_clear()
+        _factors.cache_clear()
         pack = zstandard.ZstdCompressor(level=1)
         blocks = [pack.compress(b.astype("<i8").tobytes()) for b in counts.reshape(BLOCKS, -1)]
         nulls = [pa.nulls(BLOCKS, pa.int64())] * 3 + [pa.nulls(BLOCKS, pa.int32())] + [pa.nulls(BLOCKS, pa.int64())] * LONGS
@@ -147,7 +151,7 @@ def _prefixes(sent, words: int, percent: int):
 
     def prefixes(batches):
         counts, seen = sent.value, set()
-        for _, texts in slices(batches, binary=True):
+        for _, texts in slices(batches, binary=True, chars=SLICE):
             tokens, keys, sizes, places = [], [], [], []
             for own in shingle_sets(texts, words):
                 n = len(own)
@@ -162,7 +166,7 @@ def _prefixes(sent, words: int, percent: int):
                 places.append(np.arange(take, dtype=np.int32))
             if tokens:
                 yield _rows("token long, set_key long, n int, place int", [pa.array(np.concatenate(x)) for x in ([t.view(np.int64) for t in tokens], keys, sizes, places)])
-        _powers.cache_clear()
+        _factors.cache_clear()
 
     return prefixes
 
@@ -170,7 +174,7 @@ def _prefixes(sent, words: int, percent: int):
 def _sets(words: int):
     def sets(batches):
         seen = set()
-        for part, texts in slices(batches, binary=True):
+        for part, texts in slices(batches, binary=True, chars=SLICE):
             keys, data = [], []
             for want, own in zip(part.column(0).to_pylist(), shingle_sets(texts, words)):
                 if want not in seen:
@@ -178,7 +182,7 @@ def _sets(words: int):
                     keys.append(want)
                     data.append(own.tobytes())
             yield _rows("set_key long, hashes binary", [pa.array(keys, pa.int64()), pa.array(data, pa.binary())])
-        _powers.cache_clear()
+        _factors.cache_clear()
 
     return sets
 
@@ -188,16 +192,38 @@ def _common(x: pd.Series, y: pd.Series) -> pd.Series:
     return pd.Series([len(np.intersect1d(a, b, assume_unique=True)) for a, b in pairs], dtype="int32")
 
 
+def _need(n: Column, m: Column, percent: int) -> Column:
+    """What two sets of these sizes must have in common to link."""
+    return F.ceil((n + m) * percent / (100 + percent) - 1e-9)
+
+
 def _may_link(x: str, y: str, percent: int) -> Column:
-    """Length, positional and suffix filter for two prefix entries of one shingle."""
+    """Length and place filter for two prefix entries of one shingle."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    need = F.ceil((n + m) * percent / (100 + percent) - 1e-9)
-    length = 100 * F.least(n, m) >= percent * F.greatest(n, m)
-    place = 1 + F.least(n - F.col(f"{x}.place") - 1, m - F.col(f"{y}.place") - 1) >= need
-    differ = F.lit(0)  # parts of unlike parity hold a hash that only one set has
+    rest = F.least(n - F.col(f"{x}.place") - 1, m - F.col(f"{y}.place") - 1)
+    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (1 + rest >= _need(n, m, percent))
+
+
+def _near(x: str, y: str, percent: int) -> Column:
+    """Whether the parities leave room for a link: parts of unlike parity hold a hash that one set alone has."""
+    n, m, differ = F.col(f"{x}.n"), F.col(f"{y}.n"), F.lit(0)
     for g in _G:
         differ = differ + F.bit_count(F.col(f"{x}.{g}").bitwiseXOR(F.col(f"{y}.{g}")))
-    return length & place & (differ <= n + m - 2 * need)
+    return differ <= n + m - 2 * _need(n, m, percent)
+
+
+def _met(x: str, y: str, percent: int) -> Column:
+    """All filters, for entries of `_wide`: a pair with one of the shingles before in common has met there."""
+    return _may_link(x, y, percent) & ~F.arrays_overlap(f"{x}.earlier", f"{y}.earlier") & _near(x, y, percent)
+
+
+def _wide(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """`entries` with their set's parities and the few shingles before their own, of a bounded width.
+
+    What two sets have in common first has nothing before it in common, so no pair is lost.
+    """
+    before = Window.partitionBy("set_key").orderBy("place").rowsBetween(-EARLIER, -1)
+    return entries.withColumn("earlier", F.collect_list("token").over(before)).join(sets.select("set_key", *_G), "set_key")
 
 
 def _prepared(documents: DataFrame, words: int, percent: int):
@@ -221,7 +247,7 @@ def _prepared(documents: DataFrame, words: int, percent: int):
     entries = documents.select("text").mapInArrow(_prefixes(sent, words, percent), "token long, set_key long, n int, place int")
     once = entries.repartition("token").groupBy("token", "set_key").agg(F.max("place").alias("place"))
     shared = once.withColumn("holders", F.count("*").over(Window.partitionBy("token"))).where("holders > 1").drop("holders")
-    entries = materialize(shared.join(sets.select("set_key", "n", *_G), "set_key"))
+    entries = materialize(shared.join(sets.select("set_key", "n"), "set_key"))
 
     def links(pairs: DataFrame) -> DataFrame:
         """Compares the sets of each pair; only texts that stand in a pair are read for it."""
@@ -250,7 +276,8 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     empty table gives no rows. Shingles and sets are told apart by 64-bit hashes.
     """
     rows, sets, entries, links = _prepared(documents, words, percent)
-    fields = ("set_key", "n", "place", *_G)
+    fields = ("set_key", "n", "place")
+    x_sets, y_sets = (sets.select(F.col("set_key").alias(end), F.struct("n", *_G).alias(as_)) for end, as_ in (("a", "x"), ("b", "y")))
 
     def labelled(labels: DataFrame) -> DataFrame:
         return materialize(entries.join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key")))
@@ -260,7 +287,8 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
         one = F.min(F.struct(order.alias("order"), *fields, "label")).over(Window.partitionBy("token"))
         met = now.select(F.struct(*fields, "label").alias("x"), one.alias("y")).where("x.label != y.label")
         met = met.where(_may_link("x", "y", percent))
-        return met.select(F.greatest("x.set_key", "y.set_key").alias("a"), F.least("x.set_key", "y.set_key").alias("b")).distinct()
+        met = met.select(F.greatest("x.set_key", "y.set_key").alias("a"), F.least("x.set_key", "y.set_key").alias("b")).distinct()
+        return met.join(x_sets, "a").join(y_sets, "b").where(_near("x", "y", percent)).select("a", "b")
 
     tried = links(met_with_one(entries.withColumn("label", F.col("set_key")), F.lit(0)))
     below = tried.where("linked").groupBy("a").agg(F.min("b").alias("b"))  # a is above b
@@ -271,10 +299,10 @@ def link_components(documents: DataFrame, words: int = WORDS, percent: int = PER
     labels = materialize(components(tried.where("linked")).withColumnRenamed("node", "set_key"))
     now = labelled(labels)
     sizes = now.groupBy("token", "label").count().groupBy("token").agg(F.max(F.struct("count", "label"))["label"].alias("mode"), F.count("*").alias("labels"))
-    open_ = now.join(sizes.where("labels > 1"), "token")
+    open_ = _wide(now.join(sizes.where("labels > 1"), "token"), sets)
     x, y = open_.where("label != mode").alias("x"), open_.alias("y")
     apart = (F.col("x.label") != F.col("y.label")) & ((F.col("y.label") == F.col("y.mode")) | (F.col("x.set_key") > F.col("y.set_key")))
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & apart & _may_link("x", "y", percent))
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & apart & _met("x", "y", percent))
     pairs = met.select(F.greatest("x.set_key", "y.set_key").alias("a"), F.least("x.set_key", "y.set_key").alias("b")).distinct()
     more = links(pairs.join(tried, ["a", "b"], "left_anti"))
     late = more.where("linked").select("a", "b")
@@ -296,17 +324,14 @@ def find_links(documents: DataFrame, words: int = WORDS, percent: int = PERCENT)
     """(doc_id, n_shingles, set_key) per row of `documents`, and the links (a, b) of different sets.
 
     Every two sets with percent * union <= 100 * intersection are a link, once and with a above b. Rows
-    of one set_key link as copies; a text that is null or without words has none. Two sets meet on
-    the first prefix shingle that they share, so a pair is made once however many they share.
+    of one set_key link as copies; a text that is null or without words has none. Two sets that share
+    many prefix shingles meet on the first and seldom again, as an entry carries the few before it.
     """
-    rows, _, entries, links = _prepared(documents, words, percent)
-    places = F.array_sort(F.collect_list(F.struct("place", "token")))
-    shared = entries.groupBy("set_key").agg(F.transform(places, lambda s: s["token"]).alias("shared"))
-    entries = materialize(entries.join(shared, "set_key"))
-    x, y = entries.alias("x"), entries.alias("y")
-    first = F.get(F.array_intersect("x.shared", "y.shared"), F.lit(0)) == F.col("x.token")
-    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set_key") > F.col("y.set_key")) & _may_link("x", "y", percent) & first)
-    linked = links(met.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b"))).where("linked").select("a", "b")
+    rows, sets, entries, links = _prepared(documents, words, percent)
+    wide = _wide(entries, sets)
+    x, y = wide.alias("x"), wide.alias("y")
+    met = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.set_key") > F.col("y.set_key")) & _met("x", "y", percent))
+    linked = links(met.select(F.col("x.set_key").alias("a"), F.col("y.set_key").alias("b")).distinct()).where("linked").select("a", "b")
     return rows.select("doc_id", F.col("n").cast("long").alias("n_shingles"), "set_key"), linked
 
 

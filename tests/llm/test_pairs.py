@@ -19,6 +19,16 @@ SF = "/root/testdata/sf0.001"
 # --- Jaccard -----------------------------------------------------------------------------------
 
 
+def test_words_made_against_powers_get_two_hashes():
+    word = "a"
+    for _ in range(10):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    hashes, ends = J.word_hashes([word.encode(), other.encode(), b"", b" x\tY  yx\n", b"xy X y", ("q" * 5_000_000).encode()])
+    assert ends == [1, 2, 2, 5, 8, 9] and hashes[2] == hashes[6] and hashes[3] == hashes[7]
+    assert len(set(hashes.tolist())) == 7
+
+
 def plain_sets(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return set(zip(*(words[k:] for k in range(4)))) if len(words) >= 4 else {tuple(words)} if words else set()
