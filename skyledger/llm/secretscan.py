@@ -1,9 +1,7 @@
 """Secrets in texts: fixed patterns, and literals that source or configuration text assigns to names.
 
-The lexer reads a text as lines of assignments: `name = "literal"`, `name: literal`, `"name": "literal"`,
-`export NAME=literal`, `name := other`. It keeps what each name holds, so that a literal that reaches
-a sensitive name by way of other names is found where it stands. A literal counts by its own look
-(length, variety of characters, no placeholder) and by how sensitive its target's name is.
+`literals` reads the pairs. A literal counts by its own look (length, variety of characters, no
+placeholder) and by how sensitive the most sensitive name is that it reaches.
 """
 
 from __future__ import annotations
@@ -16,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.llm.common import extended, ship, slices, table, with_columns
+from skyledger.llm.literals import assignments, reached
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -30,15 +29,9 @@ NAME_WORDS = {
 }
 LEAST_SCORE = 1.2
 LEAST_LENGTH = 8
-_PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me|example|placeholder|none|null|true|false|todo|your[_-].*|<.*>|\$\{.*\}|\{\{.*\}\}|%\(.*\)s)$")
+_PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me|example|placeholder|none|null|true|false|todo|your[_-].*|<.*>|\$?\{.*\}|%\(.*\)s)$")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-#: A name, perhaps quoted or in brackets, an assignment sign, and what follows it, of any length. Nothing
-#: that a quantifier took is given back, so the time stays linear.
-_PAIR = re.compile(
-    r"""(?<![\w.$-])["']?([A-Za-z_$][\w.$-]*+)["']?\]?[ \t]*+(?::=|=>|=(?!=)|:(?![:/]))[ \t]*+"""
-    r"""(?:"([^"\\\n]*+(?:\\.[^"\\\n]*+)*+)"|'([^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'|([^\s"',;#(){}\[\]<>]++))""",
-    re.A,
-)
+_SENSITIVE = re.compile("|".join(sorted(NAME_WORDS)), re.I)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -70,24 +63,12 @@ def literal_score(literal: str) -> float:
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of literals that sensitive names get, directly or through other names."""
-    held: dict[str, tuple[int, int]] = {}
-    spans = set()
-    if "=" not in text and ":" not in text:
+    if not _SENSITIVE.search(text):
         return []
-    for m in _PAIR.finditer(text):
-        kind = next(k for k in (2, 3, 4) if m.group(k) is not None)
-        name, value = m.group(1), m.group(kind)
-        if kind == 4 and value in held:  # a name that holds a literal
-            at = held[value]
-        elif kind == 4 and (value.isalpha() or re.fullmatch(r"[\d.]+", value)):
-            held.pop(name, None)  # another name, a word of prose or a number
-            continue
-        else:
-            at = m.span(kind)
-        held[name] = at
-        score = name_score(name)
-        if score >= 0.6 and score + literal_score(text[at[0] : at[1]]) >= LEAST_SCORE:
-            spans.add(at)
+    found, spans = assignments(text), set()
+    for own, score in zip(found, reached(found, name_score)):
+        if score >= 0.6 and own.spans and score + literal_score("".join(text[a:b] for a, b in own.spans)) >= LEAST_SCORE:
+            spans.update(s for s in own.spans if s[0] < s[1])
     return [("literal", a, b) for a, b in sorted(spans)]
 
 

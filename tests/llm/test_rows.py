@@ -225,6 +225,39 @@ def test_literals_reach_sensitive_names():
         assert S.literal_spans(clean) == []
 
 
+LITERAL = "aB3xZ9qLm2wQ"
+#: Texts in which the literal is a secret, and texts without one.
+LABELLED = [
+    'const privateKey: string = "%s"', 'private_key = f"%s"', 'private_key = b"%s"', 'private_key = """%s"""', 'private_key = (\n  "%s")',
+    'credential =\n    "%s"', "credential:\n  value: %s\n", '{"credential": {"value": "%s"}}', '<add key="private_key" value="%s"/>',
+    'x.setPassphrase("%s")', 'props.put("private_key", "%s")', 'private_key = k\nk = "%s"\n', 'k = "%s"\nj = k\ncredential = j',
+    'var credential string = "%s"', 'config["private_key"] = "%s"', "'credential' => '%s'", "<passphrase>%s</passphrase>",
+    'credential: Optional[str] = "%s"', "export PRIVATE_KEY=%s", "private_key := `%s`", 'self.k = "%s"\ncredential = self.k',
+    'f(credential="%s")', 'private-key: "%s" # c', 'credential = other = "%s"', 'a = b\nb = a\nb = "%s"\ncredential = b',
+]
+CLEAN = [
+    "token = get_token()", 'api_key = os.environ["X_KEY_LONG9"]', "private_key = load_pem_key(path)", "secret_key = config.SECRET_KEY_BASE",
+    "password = ${DB_PASSWORD}", "token: word", "The key: it was the secret of the password.", 'if password == "aB3xZ9qLm2wQ": pass',
+    'password = input("Give the Passw0rd now")', 'passphrase = f"{load9A}"', "auth_token = next_token", 'title = "aB3xZ9qLm2wQ"',
+    'credential:\n  user: x\ntitle: "aB3xZ9qLm2wQ"', 'k = "aB3xZ9qLm2wQ"\nk = make()\ncredential = k', 'setTitle("aB3xZ9qLm2wQ") # password',
+]
+
+
+def test_precision_and_recall_on_labelled_texts():
+    found = [[t[a:b] for _, a, b in S.literal_spans(t)] for t in (x % LITERAL for x in LABELLED)]
+    assert found == [[LITERAL]] * len(LABELLED)
+    assert [S.literal_spans(t) for t in CLEAN] == [[]] * len(CLEAN)
+    joined = 'credential = ("aB3xZ9" +\n "qLm2wQ")\nprivate_key = ("aB3xZ9"\n  "qLm2wQ")'
+    assert [joined[a:b] for _, a, b in S.literal_spans(joined)] == ["aB3xZ9", "qLm2wQ"] * 2
+
+
+@pytest.mark.parametrize("part", ['\\"', "a:b[", "a:b<", "`\\`", "x=(", "a=b=", "<key>", '"""\'', "{a:", "a:\n ", "key=k;k=key\n", "a=a+\n", "x.set("])
+def test_lexing_takes_linear_time(part):
+    started = time.process_time()
+    S.literal_spans("password " + part * 40_000)
+    assert time.process_time() - started < 8
+
+
 def test_secrets_of_any_length(spark):
     body = "".join(map(chr, np.random.default_rng(2).choice([*range(48, 58), *range(65, 91), *range(97, 123)], 9000)))
     for literal in (f'"{body}"', f"'{body}'", body):
