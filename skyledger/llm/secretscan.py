@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.llm.common import extended, ship, slices, table, with_columns
-from skyledger.llm.literals import assignments, reached
+from skyledger.llm.literals import TYPES, assignments, reached
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -31,7 +31,12 @@ LEAST_SCORE = 1.2
 LEAST_LENGTH = 8
 _PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|\.+|change_?me|example|placeholder|none|null|true|false|todo|your[_-].*|<.*>|\$?\{.*\}|%\(.*\)s)$")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
-_SENSITIVE = re.compile("|".join(sorted(NAME_WORDS)), re.I)
+#: What stands in every text with a sensitive target: such a word, and behind it and what the lexer skips
+#: the end of a quoted name, a sign, a bracket or a type; or a quoted name of several words.
+_WORDS = f"(?:{'|'.join(sorted(NAME_WORDS))})"
+_SENSITIVE = re.compile(_WORDS + r"""[\w$.-]*+[^\w$"'`\\(){}\[\],;<>/=:+\n!|&-]*+(?:["'`\](>:=]|(?:""" + "|".join(sorted(TYPES)) + r")\b)", re.I | re.A)
+_QUOTED = re.compile(r"""["'`]\s*+\]?\s*+[:=,]""")
+_ANY_WORD = re.compile(_WORDS, re.I)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -63,7 +68,7 @@ def literal_score(literal: str) -> float:
 
 def literal_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of literals that sensitive names get, directly or through other names."""
-    if not _SENSITIVE.search(text):
+    if not (_SENSITIVE.search(text) or _QUOTED.search(text) and _ANY_WORD.search(text)):
         return []
     found, spans = assignments(text), set()
     for own, score in zip(found, reached(found, name_score)):
