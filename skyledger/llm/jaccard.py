@@ -30,8 +30,8 @@ PERCENT = 85
 BUCKET_BITS = 20  # of the shingle counts that order shingles; any order is right, rare first is fast
 BLOCKS = 16
 SLICE = 1 << 19  # bytes of text that a task hashes at once
-EARLIER = 8  # shared shingles before an entry's own that it carries
-LONGS = 8  # of parities of the hashes in 64 parts each of their range; they bound how far two sets differ
+EARLIER = 4  # shared shingles before an entry's own that it carries
+LONGS = 12  # of parities of the hashes in 64 parts each of their range; they bound how far two sets differ
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, 300, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE, _BASE, _AT, _SHORT = _ODD[:256], _ODD[256], _ODD[257:273], _ODD[273]
 _SPACE = np.zeros(256, bool)
@@ -104,7 +104,8 @@ def _key(own: np.ndarray) -> int:
 
 def _parts(own: np.ndarray) -> np.ndarray:
     """Whether each part of the hash range holds an odd number of the set's hashes, a bit each."""
-    counts = np.bincount((own >> np.uint64(55)).astype(np.int64), minlength=64 * LONGS)
+    part = (own >> np.uint64(32)) * np.uint64(64 * LONGS) >> np.uint64(32)
+    counts = np.bincount(part.astype(np.int64), minlength=64 * LONGS)
     return np.packbits(counts.astype(np.uint8) & 1).view(np.int64)
 
 
