@@ -126,7 +126,6 @@ def cut_documents(documents: DataFrame, capacity: int = CAPACITY, path: str | No
                 [pa.array(ids, pa.int64()), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(data, pa.binary())],
                 ["doc_id", "piece", "start", "length", "ids"],
             )
-        encoder(path, True).rest()
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
 

@@ -10,11 +10,15 @@ texts. Anything that isn't plain goes through the whole tokenizer.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
+from collections import Counter
 
 import numpy as np
 
 CACHE_CHUNKS, CACHE_WORDS = 400_000, 600_000
+CACHE_BYTES = 96 << 20  # of the chunks held, each with ENTRY_BYTES beside its characters and ids
+ENTRY_BYTES = 200
 _LETTERS = "A-Za-zÀ-ÖØ-öø-įĲ-ſ"
 _ODD_SPACE = re.compile(r" (?![!-~¡-ɏ])")
 _SPLIT = re.compile(r" (?=[!-~¡-ɏ])")
@@ -45,6 +49,7 @@ class Encoder:
         self.lead = " " if spaced else ""
         self.letters = {chr(b): c for b, c in enumerate(_byte_letters())}
         self.known: dict[str, bytes] = {}
+        self.held = 0
         self.words: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
 
@@ -61,8 +66,9 @@ class Encoder:
         self._learn(wanted)
         first = self._each(set(heads))
         out = [first[h] + b"".join(map(self.known.__getitem__, p)) for h, p in zip(heads, parts)]
-        if len(self.known) > CACHE_CHUNKS:
-            self.known.clear()
+        self.held += sum(ENTRY_BYTES + len(c) + len(self.known[c]) for c in wanted)
+        if len(self.known) > CACHE_CHUNKS or self.held > CACHE_BYTES:
+            self._forget(parts)
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         if len(self.tails) > CACHE_WORDS:
@@ -72,6 +78,13 @@ class Encoder:
     def rest(self) -> None:
         """Lets go of the chunks between tasks; the words, from which they are soon put together, stay."""
         self.known.clear()
+        self.held = 0
+
+    def _forget(self, parts: list[list[str]]) -> None:
+        """Keeps the chunks that came up more than once in these texts: the frequent ones."""
+        counts = Counter(itertools.chain.from_iterable(parts))
+        kept = {c: self.known[c] for c, n in counts.items() if n > 1 and len(c) < ENTRY_BYTES}
+        self.known, self.held = kept, sum(ENTRY_BYTES + len(c) + len(d) for c, d in kept.items())
 
     def _each(self, texts: set[str]) -> dict[str, bytes]:
         texts = list(texts)
