@@ -1,8 +1,8 @@
 """Jaccard join of documents on word shingles, and the components of its links.
 
 Sets that reach the threshold share a shingle among the rarest few of either (its prefix). Documents
-meet on prefix shingles; the lengths, the shingle's places and a bound on the rest (suffix filter)
-discard pairs; what is left is compared once. Documents of equal sets count as one throughout.
+meet on prefix shingles; the lengths, the shingle's places and a bound by parities (in place of a
+suffix filter) discard pairs; what is left is compared once. Documents of equal sets count as one throughout.
 
 Groups of near copies would meet in all pairs. So each prefix shingle first pairs its documents with
 one of them only, the same for many shingles, and then those that this left apart with another one that

@@ -158,3 +158,16 @@ def test_id_files_of_odd_documents(spark, odd, bits):
     ordered = sorted(odd.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
     check_files([type("R", (tuple,), {"start": property(lambda s: s[1])})(r) for r in rows], [(r.doc_id, r.text) for r in ordered])
     assert I.read_ids(I.write_ids(odd.limit(0), scratch_folder(spark))).collect() == []
+
+
+def test_a_full_cache_keeps_frequent_chunks_and_the_ids(monkeypatch):
+    from skyledger.llm import tokens
+
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 3_000)
+    path = tokens.vocabulary("byte_bpe_50k.json")
+    own = tokens.Encoder(path, True)
+    for k in range(4):
+        texts = [f"the {k}{n} word the {'x' * 300}{n} end" for n in range(20)] + ["", "the"]
+        expected = own._each(set(texts))
+        assert own.encode(texts) == [expected[t] for t in texts]
+        assert "the" in own.known and own.held == sum(tokens.ENTRY_BYTES + len(c) + len(d) for c, d in own.known.items()) <= 3_000
