@@ -12,6 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from skyledger import tuning
 from skyledger.llm import contamination as C, langid as L, lmscore as M, secretscan as S, sharding as H
 
 SF = "/root/testdata/sf0.001"
@@ -287,82 +288,83 @@ def test_secrets_of_odd_documents(spark):
 # --- scores ------------------------------------------------------------------------------------
 
 
-def test_scores_against_plain_counts(spark):
-    rows = [(1, "A b a c", True), (2, "a b\tb", False), (3, None, None), (4, "", True), (5, "zz a", None), (5, "zz a", None), (None, "b " * 5000, False)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, target boolean")
-    vocabulary = M.count_words(docs, 2)
-    assert vocabulary.words == [b"b", b"a"]
-    target, every = M.pair_counts(docs, vocabulary)
-    expected = [Counter(), Counter()]
-    for _, text, flag in rows:
-        last = 0
-        for s in vocabulary.symbols(M.words_of((text or "").encode())).tolist():
-            expected[1][last, s] += 1
-            expected[0][last, s] += bool(flag)
-            last = s
-    for counts, plain in zip((target, every), expected):
-        assert {tuple(k): int(counts[tuple(k)]) for k in np.argwhere(counts)} == {k: n for k, n in plain.items() if n}
-    models = M.Models(vocabulary, M.PairModel.from_counts(target), M.PairModel.from_counts(every))
-    assert np.allclose([np.exp(-models.target.losses(np.full(len(vocabulary), b), np.arange(len(vocabulary)))).sum() for b in (0, 1, 2)], 1)
-    out = M.score(docs.withColumn("difference", F.lit("clash")), models).collect()
-    for r, (_, text, _) in zip(out, rows):
-        symbols = vocabulary.symbols(M.words_of((text or "").encode())).tolist()
-        assert r.n_tokens == len(symbols)
-        if not symbols:
-            assert r.difference is None
-            continue
-        loss = [np.mean([m.losses(np.array([a]), np.array([b]))[0] for a, b in zip([0, *symbols], symbols)]) for m in (models.target, models.background)]
-        assert math.isclose(r.target_loss, loss[0], rel_tol=1e-9) and math.isclose(r.difference, loss[0] - loss[1], rel_tol=1e-6, abs_tol=1e-9)
-    assert M.score(docs.limit(0), models).collect() == []
-    assert len(M.fit(docs.limit(0)).vocabulary.words) == 0
+def plain_losses(text, corpus):
+    """Means per token under both models, from counts in plain Python."""
+    counts = [(Counter(), Counter(), Counter()) for _ in range(2)]
+    for other, flag in corpus:
+        words = (other or "").encode().lower().split()
+        for pair, word, before in counts if flag else counts[1:]:
+            pair.update(zip([None, *words], words))
+            word.update(words)
+            before.update([None, *words][:-1] if words else [])
+    every = counts[1][1]
+    shared = lambda w: max(every[w], 1) / (every.total() + 1)
 
+    def loss(pair, word, before, b, w):
+        single = (word[w] + M.PRIOR * shared(w)) / (word.total() + M.PRIOR)
+        return -math.log((pair[b, w] + M.PSEUDO * single) / (before[b] + M.PSEUDO))
 
-def test_target_documents_score_lower(spark):
-    rows = [(r.doc_id, r.text, r.lang == "de") for r in documents(spark)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, target boolean")
-    out = M.score(docs, M.fit(docs)).where("n_tokens >= 50").collect()
-    german, other = ([r.difference for r in out if r.target == t] for t in (True, False))
-    assert max(german) < min(other)
+    words = (text or "").encode().lower().split()
+    return [np.mean([loss(*model, b, w) for b, w in zip([None, *words], words)]) for model in counts] if words else None
+
+
+def check_scores(out, scored, corpus):
+    assert len(out) == len(scored)
+    by = {}
+    for doc, text in scored:
+        by.setdefault((doc, text), plain_losses(text, corpus))
+    for r in out:
+        expected = by[r.doc_id, r.text]
+        assert r.n_tokens == len((r.text or "").encode().split()) and (r.difference is None) == (r.target_loss is None) == (expected is None)
+        if expected:
+            assert math.isclose(r.target_loss, expected[0], rel_tol=1e-9) and math.isclose(r.background_loss, expected[1], rel_tol=1e-9)
+            assert math.isclose(r.difference, expected[0] - expected[1], rel_tol=1e-6, abs_tol=1e-9)
+
+
+BOUNDS = [{}, {"shares": (1, 1), "bucket_entries": 100, "part_entries": 20}, {"shares": (200, 50), "bucket_entries": 1000, "part_entries": 30}, {"shares": (8, 64)}]
 
 
-def test_scores_of_the_full_vocabulary(spark):
-    """More words than any fixed table has symbols; words and pairs that only the scored texts have."""
+@pytest.mark.parametrize("bounds", BOUNDS)
+def test_scores_against_plain_counts(spark, bounds):
+    """Frequent and rare words and pairs, words that stand last, and more words than any fixed table has symbols."""
     rng = np.random.default_rng(4)
     texts = [" ".join(f"w{i}" for i in rng.zipf(1.2, 300) % 9000) for _ in range(40)]
-    rows = [(k, t, k % 4 == 0) for k, t in enumerate(texts)] + [(50, None, True), (51, " ", None), (3, texts[3], None)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, target boolean")
-    counts = [(Counter(), Counter(), Counter()) for _ in range(2)]
-    for _, text, flag in rows:
-        words = (text or "").lower().split()
-        for pair, word, before in counts[: 2 if flag else 1]:
-            pair.update(zip([None, *words], words))
-            word.update(words)
-            before.update([None, *words][:-1] if words else [])
-    every, target = counts
-    n = len(every[1])
-    assert n > 2048
-
-    def loss(model, text):
-        words, (pair, word, before) = text.lower().split(), model
-        single = {w: (word[w] + 1) / (word.total() + n + 1) for w in words}
-        return np.mean([-math.log((pair[b, w] + M.PSEUDO * single[w]) / (before[b] + M.PSEUDO)) for b, w in zip([None, *words], words)])
-
-    scored = [*rows, (60, "W1 never seen w2", None), (61, texts[0] + " w1 w1 unseen", None)]
-    frame = spark.createDataFrame(scored, "doc_id long, text string, target boolean").withColumn("difference", F.lit("clash"))
-    for held in (0, 300, 1 << 20):
-        models = M.fit(docs, held)
-        assert len(models.vocabulary.words) <= held and (held < 300 or len(models.vocabulary.words) > 0)
-        out = M.score(frame, models).collect()
-        assert sorted((r.doc_id, str(r.text)) for r in out) == sorted((d, str(t)) for d, t, _ in scored)
-        for r in out:
-            words = (r.text or "").split()
-            assert r.n_tokens == len(words) and (r.difference is None) == (not words)
-            if words:
-                a, b = loss(target, r.text), loss(every, r.text)
-                assert math.isclose(r.target_loss, a, rel_tol=1e-9) and math.isclose(r.background_loss, b, rel_tol=1e-9)
-                assert math.isclose(r.difference, a - b, rel_tol=1e-6, abs_tol=1e-9)
+    rows = [(k, t, k % 4 == 0) for k, t in enumerate(texts)] + [(50, None, True), (51, " ", None), (3, texts[3], None), (None, "b " * 3000, False), (52, "A b a c", True), (53, "a b\tb", False)]
+    docs = tuning.materialize(spark.createDataFrame(rows, "doc_id long, text string, target boolean").withColumn("difference", F.lit("clash")).withColumn("_t", F.lit(1)))
+    out = M.score(docs, **bounds)
+    assert out.columns == ["doc_id", "text", "target", "_t", "n_tokens", "target_loss", "background_loss", "difference"]
+    corpus = [r[1:] for r in rows]
+    check_scores(out.collect(), [r[:2] for r in rows], corpus)
+    others = [(60, "W1 never seen w2"), (61, texts[0] + " w1 w1 unseen"), (61, "unseen"), (None, None), (62, "")]
+    others = [*others, *others[:1]]
+    frame = tuning.materialize(spark.createDataFrame(others, "doc_id long, text string"))
+    check_scores(M.score(frame, docs, **bounds).collect(), others, corpus)
+
+
+def test_scores_of_nothing(spark):
+    docs = tuning.materialize(spark.createDataFrame([(1, "a b a"), (2, None)], "doc_id long, text string"))
+    none = tuning.materialize(spark.createDataFrame([], "doc_id long, text string, target boolean"))
+    assert M.score(none).collect() == []
+    check_scores(M.score(docs, none).collect(), [(1, "a b a"), (2, None)], [])
+
+
+def test_target_documents_score_lower(spark):
+    rows = [(r.doc_id, r.text, r.lang == "de") for r in documents(spark)]
+    docs = tuning.materialize(spark.createDataFrame(rows, "doc_id long, text string, target boolean"))
+    out = M.score(docs).where("n_tokens >= 50").collect()
+    german, other = ([r.difference for r in out if r.target == t] for t in (True, False))
+    assert max(german) < min(other)
 
 
 def test_score_query(spark):
-    rows = M.op3_cross_entropy_difference(spark, SF).collect()
-    assert len(rows) == len(documents(spark)) and all((r.difference is None) == (r.n_tokens == 0) for r in rows)
+    """All rows of the query against plain counts."""
+    good = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").where("quality = 1").collect()}
+    rows = documents(spark)
+    corpus = [(r.text, r.doc_id in good) for r in rows]
+    some = [r for r in rows if r.doc_id % 5 == 0]
+    found = {r.doc_id: r for r in M.op3_cross_entropy_difference(spark, SF).collect()}
+    assert len(found) == len(rows) and all((r.difference is None) == (r.n_tokens == 0) for r in found.values())
+    for r in some[:12]:
+        expected = plain_losses(r.text, corpus)
+        assert expected is None or math.isclose(found[r.doc_id].target_loss, expected[0], rel_tol=1e-9)
+        assert expected is None or math.isclose(found[r.doc_id].background_loss, expected[1], rel_tol=1e-9)
