@@ -11,65 +11,75 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from skyledger.llm.common import extended, ship, slices, table, with_columns
+from skyledger.llm.common import ship, slices, table
+from skyledger.tuning import materialize, small_side
 
-CODE_BITS = 20
-SLOT_BITS = 16
+GRAM = 4  # bytes
 HASHES = 3
-KEEP = 4096  # n-grams of a language
-SHARE = 0.5  # of the n-gram's largest relative frequency in any language, at least
-HELD_LANGUAGES = 32
+SLOTS = 8  # of the filter for each n-gram of the language with the most, at least
+#: A language holds the n-grams that make this share of its text or more: 50,000 at most.
+SHARE = 2e-5
+#: A text whose best score is below this is of no known language.
+LEAST_SCORE = 0.05
+HELD_CODES = 4 << 20
 UNKNOWN = "und"
 #: Letters as lower case and the bytes of other scripts; anything else separates words.
 _BYTES = bytes((b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32) for b in range(256))
 
 
 def _codes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The n-gram codes of all texts, one after another, and where each text's begin.
+    """The n-grams of all texts, one after another, as numbers, and where each text's begin.
 
-    A text of n bytes between two spaces has n n-grams of three bytes; an empty one has one n-gram.
+    A text of n bytes, with a space before it and two behind, has n n-grams; an empty one has one.
     """
-    joined = np.frombuffer(b"".join(b" " + (t or b" ").translate(_BYTES) + b" " for t in texts), np.uint8).astype(np.uint32)
-    code = (joined[:-2] << 16 | joined[1:-1] << 8 | joined[2:]) * np.uint32(2654435761) >> np.uint32(32 - CODE_BITS)
+    joined = np.frombuffer(b"".join(b" " + (t or b" ").translate(_BYTES) + b"  " for t in texts), np.uint8).astype(np.uint32)
+    code = joined[: len(joined) - GRAM + 1].copy()
+    for k in range(1, GRAM):
+        code = code << np.uint32(8) | joined[k : len(joined) - GRAM + 1 + k]
     sizes = np.array([max(len(t), 1) for t in texts], np.int64)
-    ends = np.cumsum(sizes + 2)
+    ends = np.cumsum(sizes + GRAM - 1)
     keep = np.ones(len(joined), bool)
-    keep[ends - 1] = keep[ends - 2] = False  # n-grams that begin in a text's end reach into the next
-    return code[keep[:-2]], np.cumsum(sizes) - sizes
+    for k in range(1, GRAM):
+        keep[ends - k] = False  # n-grams that begin in a text's end reach into the next
+    return code[keep[: len(code)]], np.cumsum(sizes) - sizes
 
 
 @dataclass
 class LanguageFilter:
-    """`masks`: for each n-gram code, the bits of all languages that (seem to) hold it."""
+    """`slots`: per slot the bits of all languages, in as many numbers as they need."""
 
     languages: list[str]
-    masks: np.ndarray
+    slots: np.ndarray
     false_rate: np.ndarray
     fallback: str
 
     @classmethod
-    def build(cls, kept: dict[str, list[int]], fallback: str) -> LanguageFilter:
-        languages = sorted(kept)
-        words = -(-len(languages) // 64)
-        slots = np.zeros((1 << SLOT_BITS, words), np.uint64)
+    def build(cls, held: dict[str, np.ndarray], fallback: str) -> LanguageFilter:
+        """The filter of the n-grams that each language holds; its size follows from their numbers."""
+        languages = sorted(held)
+        most = max(len(held[name]) for name in languages)
+        kind = np.uint8 if len(languages) <= 8 else np.uint64
+        slots = np.zeros((1 << max(10, (SLOTS * most - 1).bit_length()), -(-len(languages) // 64)), kind)
         for k, name in enumerate(languages):
-            for hashed in _slots(np.array(kept[name], np.uint32)):
-                slots[hashed, k // 64] |= np.uint64(1 << k % 64)
-        fill = np.array([(slots[:, k // 64] >> np.uint64(k % 64) & np.uint64(1)).mean() for k in range(len(languages))])
-        first, *rest = _slots(np.arange(1 << CODE_BITS, dtype=np.uint32))
-        masks = slots[first]
-        for hashed in rest:
-            masks &= slots[hashed]
-        if len(languages) <= 8:
-            masks = masks.astype(np.uint8)
-        return cls(languages, masks, fill**HASHES, fallback)
+            for at in _slots(np.asarray(held[name], np.uint32), len(slots)):
+                slots[at, k // 64] |= kind(1 << k % 64)
+        fill = np.array([(slots[:, k // 64] >> kind(k % 64) & kind(1)).mean() for k in range(len(languages))])
+        return cls(languages, slots, fill**HASHES, fallback)
+
+    def holders(self, codes: np.ndarray) -> np.ndarray:
+        """For each n-gram the bits of all languages that (seem to) hold it."""
+        first, *rest = _slots(codes, len(self.slots))
+        found = self.slots[first]
+        for at in rest:
+            found &= self.slots[at]
+        return found
 
     def shares(self, texts: list[bytes]) -> np.ndarray:
         """Per text and language, the corrected share of the text's n-grams, from 0 to 1."""
         codes, starts = _codes(texts)
-        found = self.masks[codes]
+        found = self.holders(codes)
         n = np.diff(np.append(starts, len(codes)))
         out = np.empty((len(texts), len(self.languages)))
         for k, rate in enumerate(self.false_rate):
@@ -79,61 +89,92 @@ class LanguageFilter:
         return np.clip(out, 0, 1)
 
 
-def _slots(codes: np.ndarray) -> list[np.ndarray]:
-    """The slots of each code under each hash."""
+def _slots(codes: np.ndarray, slots: int) -> list[np.ndarray]:
+    """The slots of each code under each hash, of a power of two slots."""
+    mixed = (codes ^ codes >> np.uint32(15)) * np.uint32(0x2C1B3C6D)
+    mixed ^= mixed >> np.uint32(12)
     odd = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)
-    mixed = (codes ^ codes >> np.uint32(9)).astype(np.uint32)
-    return [(mixed + np.uint32(k + 1)) * np.uint32(m) >> np.uint32(32 - SLOT_BITS) for k, m in enumerate(odd[:HASHES])]
+    return [(mixed + np.uint32(k + 1)) * np.uint32(m) >> np.uint32(33 - slots.bit_length()) for k, m in enumerate(odd[:HASHES])]
 
 
 def fit(documents: DataFrame) -> LanguageFilter | None:
     """Learns from all rows of `text` and non-null `lang`; None where there are none.
 
-    Every text counts whole. A language holds the n-grams in which it comes near the largest
-    relative frequency of any language, the most frequent KEEP of them; that bounds what the driver
-    and the filter get. A null text has no n-grams.
+    Every text counts whole, n-grams are numbers of four bytes. A language holds each n-gram that
+    makes SHARE or more of its text, whatever other languages hold; that bounds what the driver gets. A
+    null text has no n-grams, a language with null or empty texts only is not learned.
     """
-
     ship(documents.sparkSession)
+
     def count(batches):
-        held: dict[str, np.ndarray] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        n = 0
+
+        def rows():
+            for lang, parts in held.items():
+                codes, counts = _added(parts)
+                for k in range(0, len(codes), 1 << 17):
+                    own = slice(k, k + (1 << 17))
+                    columns = [pa.array([lang] * len(codes[own]), pa.string()), pa.array(codes[own], pa.int64()), pa.array(counts[own], pa.int64())]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "code", "n"])
+
         for part, texts in slices(batches, binary=True):
             by: dict[str, list[bytes]] = {}
             for lang, text in zip(part.column(1).to_pylist(), texts):
                 if text:
                     by.setdefault(lang, []).append(text)
             for lang, own in by.items():
-                if lang not in held and len(held) >= HELD_LANGUAGES:
-                    yield _counts(held)
-                    held = {}
-                got = np.bincount(_codes(own)[0], minlength=1 << CODE_BITS)
-                held[lang] = held[lang] + got if lang in held else got
-        yield _counts(held)
-
-    counted = documents.where("lang is not null").select("text", "lang").mapInArrow(count, "lang string, code int, n long")
-    counted = counted.groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    whole = F.sum("n").over(Window.partitionBy("lang"))
-    share = F.col("n") / F.col("total")
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
-    near = counted.withColumn("total", whole).withColumn("top", F.max(share).over(Window.partitionBy("code")))
-    kept = near.where(share >= SHARE * F.col("top")).withColumn("rank", rank).where(F.col("rank") <= KEEP)
-    rows = kept.groupBy("lang").agg(F.collect_list("code").alias("codes"), F.first("total").alias("total")).collect()
-    if not rows:
+                held.setdefault(lang, []).append(np.unique(_codes(own)[0], return_counts=True))
+                n += len(held[lang][-1][0])
+            if n > HELD_CODES:
+                held = {lang: [_added(parts)] for lang, parts in held.items()}
+                n = sum(len(parts[0][0]) for parts in held.values())
+                if n > HELD_CODES // 2:
+                    yield from rows()
+                    held, n = {}, 0
+        yield from rows()
+
+    counted = documents.where("lang is not null").select("text", "lang").mapInArrow(count, "lang string, code long, n long")
+    counted = materialize(counted.groupBy("lang", "code").agg(F.sum("n").alias("n")))
+    totals = materialize(counted.groupBy("lang").agg(F.sum("n").alias("total")))
+    kept = counted.join(small_side(totals), "lang").where(F.col("n") >= SHARE * F.col("total")).select("lang", "code").toArrow()
+    if not len(kept):
         return None
-    return LanguageFilter.build({r.lang: r.codes for r in rows}, min((-r.total, r.lang) for r in rows)[1])
+    codes, names = kept.column("code").to_numpy(), np.array(kept.column("lang").to_pylist(), object)
+    most = totals.orderBy(F.desc("total"), "lang").first().lang
+    return LanguageFilter.build({name: np.sort(codes[names == name]).astype(np.uint32) for name in set(names)}, most)
 
 
-def _counts(held: dict[str, np.ndarray]) -> pa.RecordBatch:
-    langs, codes, n = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for lang, counts in held.items():
-        some = np.flatnonzero(counts)
-        langs += [lang] * len(some)
-        codes.append(some)
-        n.append(counts[some])
-    return pa.RecordBatch.from_arrays(
-        [pa.array(langs, pa.string()), pa.array(np.concatenate(codes).astype(np.int32)), pa.array(np.concatenate(n).astype(np.int64))],
-        ["lang", "code", "n"],
-    )
+def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, place = np.unique(np.concatenate([c for c, _ in parts]), return_inverse=True)
+    return codes, np.bincount(place, np.concatenate([n for _, n in parts]), len(codes)).astype(np.int64)
+
+
+_PREDICTED = "struct<lang_pred: string, score: double>"
+
+
+def predictor(spark: SparkSession, model: LanguageFilter | None):
+    """A function from a column of texts to one of (lang_pred, score); only the texts go to Python."""
+    ship(spark)
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf(_PREDICTED)
+    def predict(texts: pa.Array) -> pa.Array:
+        own, names, scores = sent.value, [], []
+        for _, some in slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), binary=True):
+            letters = [any(map(str.isalpha, t.decode())) for t in some]
+            if own is None:
+                names += [UNKNOWN] * len(some)
+                scores += [0.0] * len(some)
+                continue
+            shares = own.shares(some)
+            best = shares.argmax(axis=1)
+            top = [float(s[b]) if ok else 0.0 for s, b, ok in zip(shares, best, letters)]
+            scores += top
+            names += [UNKNOWN if not ok else own.languages[b] if s else own.fallback for b, s, ok in zip(best, top, letters)]
+        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"])
+
+    return predict
 
 
 def identify(documents: DataFrame, model: LanguageFilter | None) -> DataFrame:
@@ -144,24 +185,15 @@ def identify(documents: DataFrame, model: LanguageFilter | None) -> DataFrame:
     with no known n-gram gets the language with the most training text and score 0. Earlier columns
     of the two names are replaced; all other columns and repeated rows stay.
     """
-    ship(documents.sparkSession)
     documents = documents.drop("lang_pred", "score")
-    sent = documents.sparkSession.sparkContext.broadcast(model)
+    found = predictor(documents.sparkSession, model)(F.col("text").cast("string"))
+    return documents.select("*", found["lang_pred"].alias("lang_pred"), found["score"].alias("score"))
 
-    def predict(batches):
-        own = sent.value
-        for part, texts in slices(batches, binary=True):
-            letters = [any(map(str.isalpha, t.decode())) for t in texts]
-            if own is None:
-                names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
-            else:
-                shares = own.shares(texts)
-                best = shares.argmax(axis=1)
-                scores = [float(s[b]) if ok else 0.0 for s, b, ok in zip(shares, best, letters)]
-                names = [UNKNOWN if not ok else own.languages[b] if s else own.fallback for b, s, ok in zip(best, scores, letters)]
-            yield with_columns(part, {"lang_pred": pa.array(names, pa.string()), "score": pa.array(scores, pa.float64())})
-
-    return documents.mapInArrow(predict, extended(documents, "lang_pred string, score double"))
+
+def of_known_language(documents: DataFrame, model: LanguageFilter, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of `documents` whose text has a letter and a score of `least` or more."""
+    found = predictor(documents.sparkSession, model)(F.col("text").cast("string"))
+    return documents.where((found["lang_pred"] != UNKNOWN) & (found["score"] >= least))
 
 
 def held_out() -> Column:

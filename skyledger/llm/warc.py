@@ -20,11 +20,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from skyledger.llm.common import open_output, ship, slices, table
 from skyledger.sources.ranges import open_input
-from skyledger.tuning import materialize, scratch_folder
+from skyledger.tuning import materialize, scratch_folder, small_side
 
 FILE_BYTES = 64 << 20
 RANGE_BYTES = 8 << 20
-HEADER_BYTES = 64 << 10
+HEADER_BYTES = 64 << 10  # read at first; a longer header is read on
+TASKS = 1 << 14  # at most, for the ranges of all files
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MAGIC = re.compile(rb"WARC/1\.[01]\r\n")
@@ -60,13 +61,15 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0) -> DataF
     Of rows with equal payloads of at least `least_bytes` bytes, those with the smallest page_id are
     responses and the others revisits that refer to it. A null html is an empty payload; a null
     page_id is never referred to: where all of a group have none, all are responses. A null url is
-    left out of the record; other columns are left out; repeated rows are repeated records. Payloads
-    travel compressed to the writers. Only files of finished tasks come into the result.
+    left out of the record; other columns are left out; repeated rows are repeated records. Repeated
+    digests are found by their keys alone and broadcast if they are few; payloads then stay where they are
+    read. With more, they travel compressed. Only files of finished tasks come into the result.
     """
     ship(pages.sparkSession)
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     first = pages.select("page_id", F.sha1(payload).alias("sha1"), F.length(payload).alias("size")).where(F.col("size") >= least_bytes)
     first = first.groupBy("sha1").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
+    first = small_side(materialize(first))
 
     def prepare(batches):
         pack = zstandard.ZstdCompressor(level=3)
@@ -117,6 +120,12 @@ def parse_header(head: bytes) -> dict[str, str] | None:
     return fields if fields.get("content-length", "").isdecimal() else None
 
 
+def _may_go_on(head: bytes) -> bool:
+    """Whether all whole lines behind the first can be a header's fields, so that its end may follow."""
+    fields = (line.partition(b":") for line in head.split(b"\r\n")[1:-1])
+    return bool(MAGIC.match(head)) and all(sign and name and b" " not in name for name, sign, _ in fields)
+
+
 class _Window:
     """Bytes of a stream by offset; one stretch is held."""
 
@@ -132,8 +141,11 @@ class _Window:
 
     def header(self, at: int) -> tuple[dict[str, str], int] | None:
         """Fields and the offset of the block of a record at this offset, if one may begin here."""
-        head = self.get(at, HEADER_BYTES)
-        end = head.find(b"\r\n\r\n")
+        n = HEADER_BYTES
+        head = self.get(at, n)
+        while (end := head.find(b"\r\n\r\n")) < 0 and at + n < self.size and _may_go_on(head):
+            n *= 4
+            head = self.get(at, n)
         fields = parse_header(head[:end]) if end > 0 else None
         return (fields, at + end + 4) if fields else None
 
@@ -171,7 +183,7 @@ def candidates(archives: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["path", "bytes", "lo", "hi", "offset", "next", "leaves"])
 
     schema = "path string, bytes long, lo long, hi long, offset long, next long, leaves long"
-    return ranges.repartition(int(count)).mapInArrow(scan, schema)
+    return ranges.repartition(min(int(count), TASKS)).mapInArrow(scan, schema)
 
 
 def entries(found: DataFrame) -> DataFrame:
@@ -223,7 +235,7 @@ def read_archives(archives: DataFrame, range_bytes: int = RANGE_BYTES, payloads:
                         rows, held = [], 0
                 yield _record_rows(rows)
 
-    return starts.select("path", "bytes", "hi", "offset").repartition(max(1, starts.count())).mapInArrow(read, RECORD)
+    return starts.select("path", "bytes", "hi", "offset").repartition(max(1, min(starts.count(), TASKS))).mapInArrow(read, RECORD)
 
 
 def _parsed(fields: dict[str, str], block: bytes, payloads: bool) -> tuple:

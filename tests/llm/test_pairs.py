@@ -198,6 +198,17 @@ def test_archives_with_magic_in_payloads(spark, monkeypatch, range_bytes, least)
     assert sorted(got, key=str) == sorted(plain_pages(HTMLS, least), key=str)
 
 
+def test_headers_of_any_length(spark, monkeypatch):
+    """A url longer than what is read at first, and magic far from a header's end."""
+    monkeypatch.setattr(W, "TASKS", 3)
+    far = "WARC/1.1\r\na: " + "b" * 200_000
+    rows = [(1, "http://x/" + "u" * 70_000, "one"), (2, "v" * 300_000, far), (3, None, far + "\r\nno field\r\n\r\n"), (4, "w" * 70_000, "one")]
+    archives = W.write_archives(spark.createDataFrame(rows, "page_id long, url string, html string"), scratch_folder(spark))
+    got = {r.page_id: r for r in W.read_archives(archives, 5000).collect()}
+    assert len(got) == 4 and all(got[k].target_uri == url for k, url, _ in rows)
+    assert [got[k].refers_to for k in (1, 2, 3, 4)] == [None, None, None, 1] and bytes(got[2].payload).decode() == far
+
+
 def test_archives_of_no_pages_and_broken_archives(spark, tmp_path):
     none = W.write_archives(pages_of(spark, HTMLS).limit(0), scratch_folder(spark))
     assert W.read_archives(none).collect() == []

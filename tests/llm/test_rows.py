@@ -100,11 +100,63 @@ def test_language_of_held_out_documents(spark):
     assert len(held) > 20 and np.mean([r.lang_pred == langs[r.doc_id] for r in held]) > 0.98
 
 
+def plain_languages(train, texts):
+    """(lang_pred, score) of each text by sets, popcounts and a filter of whole numbers."""
+
+    def grams(text):
+        own = b" " + (bytes(b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in text.encode()) or b" ") + b"  "
+        return [int.from_bytes(own[k : k + 4], "big") for k in range(len(own) - 3)]
+
+    counts = {}
+    for text, lang in train:
+        if text and lang is not None:
+            counts.setdefault(lang, Counter()).update(grams(text))
+    held = {lang: {g for g, n in c.items() if n >= L.SHARE * c.total()} for lang, c in counts.items()}
+    bits = (max(1024, L.SLOTS * max(map(len, held.values()))) - 1).bit_length()
+
+    def slots(g):
+        x = (g ^ g >> 15) * 0x2C1B3C6D % 2**32
+        x ^= x >> 12
+        return [(x + k + 1) * m % 2**32 >> 32 - bits for k, m in enumerate((0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D))]
+
+    filters = {lang: {s for g in own for s in slots(g)} for lang, own in held.items()}
+    most = min((-c.total(), lang) for lang, c in counts.items())[1]
+    out = []
+    for text in texts:
+        if not any(map(str.isalpha, text or "")):
+            out.append(("und", 0.0))
+            continue
+        places, best = [slots(g) for g in grams(text)], (0.0, most)
+        for lang in sorted(filters):
+            false = (len(filters[lang]) / 2**bits) ** 3
+            share = sum(filters[lang].issuperset(p) for p in places) / len(places)
+            score = min(1.0, max(0.0, (share - false) / (1 - false)))
+            best = max(best, (score, lang), key=lambda b: b[0])
+        out.append((best[1], best[0]))
+    return out
+
+
+def test_languages_against_plain_filters(spark):
+    rows = documents(spark)
+    train = [(r.text, r.lang) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 4 != 2]
+    expected = dict(zip((r.doc_id for r in rows), plain_languages(train, [r.text for r in rows])))
+    for r in L.op5_language_filters(spark, SF).collect():
+        assert r.lang_pred == expected[r.doc_id][0] and math.isclose(r.score, expected[r.doc_id][1], abs_tol=1e-12)
+
+
+def test_all_languages_of_an_ngram(spark):
+    """A shared n-gram is held by all its languages, however unlike its shares are."""
+    train = spark.createDataFrame([("oo " * 500 + "the", "a"), ("the " * 500, "b"), ("zz the", "c")], "text string, lang string")
+    model = L.fit(train)
+    codes, _ = L._codes([b"the"])
+    assert model.languages == ["a", "b", "c"] and (model.holders(codes[:2])[:, 0] == 7).all()
+
+
 def test_filter_counts_every_ngram_and_corrects_for_its_fill():
     codes, starts = L._codes([b"ab", b"", b"A b!"])
     assert starts.tolist() == [0, 2, 3] and len(codes) == 7
     assert codes[0] == L._codes([b"AB"])[0][0]
-    model = L.LanguageFilter.build({"x": L._codes([b"ab"])[0].tolist(), "y": [5]}, "x")
+    model = L.LanguageFilter.build({"x": L._codes([b"ab"])[0], "y": np.array([5])}, "x")
     shares = model.shares([b"ab", b"zq"])
     assert shares[0].tolist() == [1, 0] and shares[1].max() < 0.01
 
@@ -125,7 +177,7 @@ def test_language_of_odd_documents(spark):
 def test_many_languages_share_a_filter():
     kept = {f"l{k:03d}": [k * 7, k * 7 + 1] for k in range(150)}
     model = L.LanguageFilter.build(kept, "l000")
-    hit = model.masks[7 * 149]
+    hit = model.holders(np.array([7 * 149], np.uint32))[0]
     assert hit[149 // 64] >> np.uint64(149 % 64) & np.uint64(1)
 
 
