@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import tempfile
@@ -15,10 +16,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 SLICE_CHARS = 1 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = "8m"
 
 
 def ship(spark: SparkSession) -> None:
-    """Makes this package importable in the tasks of the session, wherever the driver was started."""
+    """Makes this package importable in the tasks of the session, wherever the driver was started.
+
+    Rows go to the tasks in batches of BATCH_BYTES, unless the session has a setting of its own: batches by
+    number of rows alone grow with the texts, outside the heap.
+    """
+    if BATCH_SETTING not in spark.conf.getAll:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     context = spark.sparkContext
     if getattr(context, "_skyledger_shipped", False):
         return
@@ -68,9 +77,17 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", binary: bool =
                 end += 1
             yield batch.slice(at, end - at), [x or none for x in column.slice(at, end - at).to_pylist()]
             at = end
+    _rest()
+
+
+def _rest() -> None:
+    """Gives a task's memory back: the worker lives on, and what it has loaded hangs together in circles."""
     gc.enable()
-    gc.collect()  # the worker lives on, and what a task has loaded hangs together in circles
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
 
 
 def with_columns(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:

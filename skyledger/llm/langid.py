@@ -23,7 +23,7 @@ SLOTS = 8  # of the filter for each n-gram of the language with the most, at lea
 SHARE = 2e-5
 #: A text whose best score is below this is of no known language.
 LEAST_SCORE = 0.05
-HELD_CODES = 4 << 20
+HELD_CODES = 1 << 20
 UNKNOWN = "und"
 #: Letters as lower case and the bytes of other scripts; anything else separates words.
 _BYTES = bytes((b | 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32) for b in range(256))
