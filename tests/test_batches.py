@@ -56,3 +56,9 @@ def test_errors(spark, numbers, sizes):
         spark.sql("select * from other(table(numbers))").collect()
     with pytest.raises(Exception, match="takes a table"):
         spark.sql("select * from other(5)").collect()
+
+
+def test_missing_values_by_column():
+    made = B._with_nulls(pd.Series([1.5, float("nan"), None]))
+    assert made == [1.5, None, None]
+    assert B._with_nulls(pd.Series([1, 2])) == [1, 2] and B._with_nulls(pd.Series([pd.Timestamp("2020-01-01"), pd.NaT])) == [pd.Timestamp("2020-01-01"), None]
