@@ -1,7 +1,7 @@
 """Archives of station files as a Spark data source, for `spark.read.format` and SQL.
 
-The driver only lists the archives; each is cut into shares of its bytes. A task reads its archive's
-directory and then the entries that begin in its share; an uncompressed entry is read by every share
+The driver only lists the archives; each is cut into shares of its bytes, and small archives are read
+several by one task. It reads an archive's directory and then the entries that begin in its share; an uncompressed entry is read by every share
 that it reaches into, each for the lines that start there. Tests on archive, entry, element and station
 are pushed into the source: archives and entries that they leave out aren't opened.
 """
@@ -22,7 +22,9 @@ from . import parsing as P, ranges
 
 FORMAT = "station_archives"
 SHARE_BYTES = 64 << 20
+OPEN_BYTES = 1 << 20  # what opening an archive counts for when archives are dealt to tasks
 COLUMNS = "archive string, archive_ord int, entry string, element string, station_id long, seq long, line string"
+NAMES = pa.schema([("archive", pa.string()), ("archive_ord", pa.int32()), ("entry", pa.string()), ("element", pa.string()), ("station_id", pa.int64())])
 PUSHED = ("archive", "entry", "element", "station_id")
 
 
@@ -37,6 +39,13 @@ class Share(D.InputPartition):
     hi: int
 
 
+@dataclass
+class Shares(D.InputPartition):
+    """The shares that one task reads."""
+
+    shares: list[Share]
+
+
 @dataclass
 class Test:
     """One pushed test on a column: `kind` says how it compares with `value`."""
@@ -111,32 +120,40 @@ class ArchiveReader(D.DataSourceReader):
     def _wanted(self, **columns) -> bool:
         return all(t.holds(columns[t.column]) for t in self.tests if t.column in columns)
 
-    def partitions(self) -> list[Share]:
+    def partitions(self) -> list[Shares]:
         files = sorted((name, path, size) for path, name, size in ranges.listed(self.path) if name.endswith(".zip") and self.pattern in name)
         if not files:
             raise ValueError(f"no valid zip files found in {self.path}")
         if len(files) >= 1 << (63 - SEQ_BITS):
             raise ValueError("too many archives")
-        shares = []
+        tasks, left = [], 0
         for number, (name, path, size) in enumerate(files):
             if self._wanted(archive=name):
                 step = size + 1 if self.metadata else self.share_bytes
-                shares += [Share(path, name, number, lo, min(lo + step, max(size, 1))) for lo in range(0, max(size, 1), step)]
-        return shares or [Share("", "", 0, 0, 0)]
-
-    def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
-        if partition.path:
-            yield from ranges.in_large_batches(self._lines(partition))
-
-    def _lines(self, share: Share) -> Iterator[pa.RecordBatch]:
+                for lo in range(0, max(size, 1), step):
+                    share = Share(path, name, number, lo, min(lo + step, max(size, 1)))
+                    cost = share.hi - share.lo + OPEN_BYTES
+                    if cost > left:
+                        tasks.append(Shares([]))
+                        left = self.share_bytes
+                    tasks[-1].shares.append(share)
+                    left -= cost
+        return tasks or [Shares([])]
+
+    def read(self, partition: Shares) -> Iterator[pa.RecordBatch]:
+        lines = (piece for share in partition.shares for piece in self._lines(share))
+        for batch in ranges.in_large_batches(lines, NAMES, "seq"):
+            yield batch.select([c.split()[0] for c in COLUMNS.split(", ")])
+
+    def _lines(self, share: Share) -> Iterator[tuple]:
         try:
             with ranges.open_input(share.path) as raw, zipfile.ZipFile(raw) as z:
                 data = ranges.usable_entries(z, PREFIXES, STATIONS_FILE, BANNER_MARKS)
                 if self.metadata:
                     if self.metadata in z.NameToInfo and self._wanted(entry=self.metadata):
                         with z.open(self.metadata) as stream:
-                            for offsets, lines in ranges.lines_in_range(stream, 0, 1 << 62, 0):
-                                yield self._batch(share, self.metadata, None, None, offsets, lines)
+                            for offsets, text in ranges.text_in_range(stream, 0, 1 << 62, 0):
+                                yield (share.archive, share.number, self.metadata, None, None), offsets, text
                     return
                 for info, _, element, station, base in data:
                     if station is None or not self._wanted(entry=info.filename, element=element, station_id=station):
@@ -147,8 +164,8 @@ class ArchiveReader(D.DataSourceReader):
                     if base + info.file_size >= 1 << SEQ_BITS:
                         raise OverflowError(f"too much text in {share.path}")
                     with z.open(info) as stream:
-                        for offsets, lines in ranges.lines_in_range(stream, lo, hi, self.header_lines):
-                            yield self._batch(share, info.filename, element, station, offsets + base, lines)
+                        for offsets, text in ranges.text_in_range(stream, lo, hi, self.header_lines, info.file_size):
+                            yield (share.archive, share.number, info.filename, element, station), offsets + base, text
         except (ValueError, EOFError, RuntimeError, zlib.error, zipfile.BadZipFile) as e:
             if self.damaged == "fail":
                 raise ValueError(f"{share.path}: {type(e).__name__}: {e}") from e
@@ -166,21 +183,6 @@ class ArchiveReader(D.DataSourceReader):
         lo = 0 if share.lo <= info.header_offset else max(0, share.lo - start)
         return lo, min(info.file_size, max(0, share.hi - start))
 
-    @staticmethod
-    def _batch(share: Share, entry: str, element: str | None, station: int | None, places, lines: pa.Array) -> pa.RecordBatch:
-        n = len(lines)
-        return pa.RecordBatch.from_pydict(
-            {
-                "archive": pa.repeat(share.archive, n),
-                "archive_ord": pa.repeat(pa.scalar(share.number, pa.int32()), n),
-                "entry": pa.repeat(entry, n),
-                "element": pa.repeat(pa.scalar(element, pa.string()), n),
-                "station_id": pa.repeat(pa.scalar(station, pa.int64()), n),
-                "seq": pa.array(places, pa.int64()),
-                "line": lines,
-            }
-        )
-
 
 class StationArchives(D.DataSource):
     """`path` is a folder of `.zip` files or one of them. Options:

@@ -108,3 +108,16 @@ def test_names_with_underscores_and_dots_are_found(spark, tmp_path):
         (tmp_path / name).write_text(station_file(["1,20200101,100,0"]))
     found = ST.read_station_files(spark, str(tmp_path))
     assert rows(found, "archive", "element") == [(".y", "TX"), ("_x", "TN"), ("z", "TG")]
+
+
+def test_small_archives_are_read_several_by_a_task(spark, folder):
+    assert R.lines(spark, str(folder)).rdd.getNumPartitions() == 1
+    assert R.lines(spark, str(folder), metadata="stations.txt").rdd.getNumPartitions() == 1
+    assert R.lines(spark, str(folder)).select("archive").distinct().count() == 3
+
+
+def test_metadata_of_archives_is_read_by_many_tasks(spark, folder):
+    found = ST.list_contents(spark, str(folder))
+    lines = A.archive_metadata_lines(found.archives, "stations.txt")
+    assert lines.rdd.getNumPartitions() > 1
+    assert lines.groupBy("archive").count().count() == 3
