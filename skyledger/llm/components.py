@@ -1,4 +1,4 @@
-"""Connected components of an edge table, by alternating large and small stars."""
+"""Connected components of an edge table, by hooking nodes to least neighbours and alternating large and small stars."""
 
 from __future__ import annotations
 
@@ -10,13 +10,30 @@ from skyledger.tuning import materialize
 def components(edges: DataFrame) -> DataFrame:
     """(node, label) of every node of the edges (a, b): the least node that it is connected with.
 
-    Edges with a null end are left out; loops, repeated and reversed edges do no harm. Every round
-    joins each node's edges to its least neighbour, so trees flatten in a number of rounds that
-    grows with the logarithm of the nodes; it ends when all edges are stars around least nodes. Rounds
-    are written to the shared folder.
+    Edges with a null end are left out; loops, repeated and reversed edges do no harm. Each node first
+    keeps the edge to its least neighbour only, and these edges, no more than nodes, are flattened to
+    stars. Edges between stars make the same question over their labels, of which there are half as many
+    nodes at most. So dense groups are looked at once and not in every round of the flattening.
+    Rounds are written to the shared folder.
     """
     edges = edges.where("a is not null and b is not null and a != b")
     edges = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    least = edges.union(edges.select("v", "u")).groupBy("u").agg(F.min("v").alias("v"))
+    labels = _flattened(materialize(least.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()))
+    ends = [labels.select(F.col("node").alias(end), F.col("label").alias(name)) for end, name in (("u", "a"), ("v", "b"))]
+    across = materialize(edges.join(ends[0], "u").join(ends[1], "v").where("a != b").select("a", "b").distinct())
+    if across.isEmpty():
+        return labels
+    above = components(across).select(F.col("node").alias("label"), F.col("label").alias("least"))
+    return labels.join(above, "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+
+
+def _flattened(edges: DataFrame) -> DataFrame:
+    """(node, label) of the edges (u above v).
+
+    Every round joins each node's edges to its least neighbour, so trees flatten in a number of rounds that
+    grows with the logarithm of the nodes; it ends when all edges are stars around least nodes.
+    """
     while not _stars(edges):
         edges = materialize(_small_star(_large_star(edges)))
     return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).union(edges.select("v", "v")).distinct()

@@ -282,3 +282,23 @@ def test_search_leaves_nodes(monkeypatch):
     exact[np.arange(50), np.arange(50)] = -np.inf
     assert (np.sort(exact, axis=1)[:, ::-1][:, :10] == state.scores).all()
     assert sum(seen) < 0.3 * exact.size
+
+
+def test_dense_groups_dont_go_through_every_round(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    pairs = {(int(a), int(b)) for base, n in ((0, 60), (100, 60)) for a, b in draw.integers(base, base + n, (1500, 2))}
+    pairs |= {(159, 999), (999, 1000), (2000, 2001), (2001, 2000), (7, 7)}
+    seen, flattened = [], G._flattened
+    monkeypatch.setattr(G, "_flattened", lambda edges: seen.append(edges.count()) or flattened(edges))
+    rounds = []
+    large = G._large_star
+    monkeypatch.setattr(G, "_large_star", lambda edges: rounds.append(edges.count()) or large(edges))
+    got = sorted(tuple(r) for r in G.components(spark.createDataFrame([*pairs, (None, 5)], "a long, b long").coalesce(1)).collect())
+    nodes = {x for a, b in pairs if a != b for x in (a, b)}
+    label = {x: x for x in nodes}
+    for _ in nodes:
+        for a, b in pairs:
+            if a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    assert got == sorted(label.items())
+    assert max([*seen, *rounds]) <= len(nodes)  # not the pairs, which grow with the square
