@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 import itertools
+import os
 import re
 from collections import Counter
 
@@ -33,6 +34,8 @@ class Encoder:
     space and case are dropped. Strings of special tokens in a text are ordinary text."""
 
     def __init__(self, path: str, spaced: bool):
+        # a task has a core; the library's own threads cost more than they save on short chunks
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
@@ -55,18 +58,18 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        heads, parts, wanted = [], [], set()
+        heads, parts = [], []
         for text in texts:
             if not self.spaced:
                 text = text.replace("\n", " ")
             cut = _SPLIT.split(text) if _ODD_SPACE.search(text) else text.split(" ")
             heads.append(cut.pop(0) if self.spaced else "")
             parts.append(cut)
-            wanted.update(set(cut).difference(self.known))
+        wanted = set().union(*parts).difference(self.known)
         self._learn(wanted)
         first = self._each(set(heads))
         out = [first[h] + b"".join(map(self.known.__getitem__, p)) for h, p in zip(heads, parts)]
-        self.held += sum(ENTRY_BYTES + len(c) + len(self.known[c]) for c in wanted)
+        self.held += ENTRY_BYTES * len(wanted) + sum(map(len, wanted)) + sum(map(len, map(self.known.__getitem__, wanted)))
         if len(self.known) > CACHE_CHUNKS or self.held > CACHE_BYTES:
             self._forget(parts)
         if len(self.words) > CACHE_WORDS:
@@ -95,7 +98,9 @@ class Encoder:
         known, words, tails = self.known, self.words, self.tails
         plain, odd, new_words, new_tails = [], [], set(), set()
         match = _PLAIN.fullmatch
-        for chunk in chunks:
+        again = words.keys() & chunks  # words without anything behind them
+        known.update(zip(again, map(words.__getitem__, again)))
+        for chunk in chunks.difference(again):
             if m := match(chunk):
                 word, tail = m.groups()
                 plain.append((chunk, word, tail))

@@ -1,5 +1,6 @@
 """Packing (1) and token-id files (10) against whole-text tokenization in plain Python."""
 
+import os
 import zlib
 from collections import defaultdict
 
@@ -171,3 +172,23 @@ def test_a_full_cache_keeps_frequent_chunks_and_the_ids(monkeypatch):
         expected = own._each(set(texts))
         assert own.encode(texts) == [expected[t] for t in texts]
         assert "the" in own.known and own.held == sum(tokens.ENTRY_BYTES + len(c) + len(d) for c, d in own.known.items()) <= 3_000
+
+
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_words_are_not_taken_apart_again(name, spaced, monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    made = T.Encoder(T.vocabulary(name), spaced)
+    assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    texts = ["the river ran, ran on; and the Bridge held", "a river  held on\nto the 3rd bridge", ""]
+    first, seen = made.encode(texts), []
+
+    class Watched:
+        def fullmatch(self, chunk):
+            seen.append(chunk)
+            return plain.fullmatch(chunk)
+
+    plain = T._PLAIN
+    monkeypatch.setattr(T, "_PLAIN", Watched())
+    made.rest()
+    assert made.encode(texts) == first and seen and not set(seen) & set(made.words)
+    assert made.held == sum(T.ENTRY_BYTES + len(c) + len(d) for c, d in made.known.items())
