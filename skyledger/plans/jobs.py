@@ -101,14 +101,15 @@ def process_directory(
         V.archive_records(src.observations, src.stations, quality_mode, all_known=True)
     )
     wanted = per_archive if station is None else per_archive.filter(F.col("station_id") == station)
-    records = V.merge_records(wanted, quality_mode, src.stations)
+    stored = per_archive.count()
+    records = V.merge_records(wanted, quality_mode, src.stations, stored)
     written = None
     if output is None:
         records = materialize(records)
     else:
         written = T.write_weather(records, output, codec, probe=wanted, like=wanted)
         records = T.read_weather(spark, output) if written else records
-    everything = records if station is None else V.merge_records(per_archive, quality_mode, src.stations)
+    everything = records if station is None else V.merge_records(per_archive, quality_mode, src.stations, stored)
     return ArchiveJob(
         src,
         records,

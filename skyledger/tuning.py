@@ -13,15 +13,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 BROADCAST_ROWS = 200_000
 
 
-def join_hint(measured: DataFrame, max_rows: int = BROADCAST_ROWS) -> Callable[[DataFrame], DataFrame]:
+def join_hint(
+    measured: DataFrame, max_rows: int = BROADCAST_ROWS, larger: str | None = None
+) -> Callable[[DataFrame], DataFrame]:
     """A hint for joins against `measured` or against what a projection or filter leaves of it.
 
     Rows are counted up to `max_rows + 1`. Within the bound the hint is a broadcast; a larger side
-    gets none, and the join runs as a shuffle join whose hot keys adaptive execution splits.
+    gets the hint `larger`, if any, and the join runs as a shuffle join whose hot keys adaptive
+    execution splits.
     """
     if measured.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast
-    return lambda df: df
+    return (lambda df: df.hint(larger)) if larger else (lambda df: df)
 
 
 def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

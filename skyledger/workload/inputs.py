@@ -54,6 +54,11 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_rows(spark: SparkSession, sf_dir: str) -> int:
+    """Number of raw observations, from the files' footers."""
+    return table(spark, sf_dir, "lineitem").count()
+
+
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The station list: every supplier but each tenth, which is unknown on purpose."""
     nation = table(spark, sf_dir, "nation")

@@ -41,19 +41,21 @@ def query(name: str, twin: str | None = None) -> Callable[[Query], Query]:
 
 
 def records(spark: SparkSession, d: str, mode: str = "compact") -> DataFrame:
-    return V.single_source_records(N.observations(spark, d), N.stations(spark, d), mode, N.SEQ_BITS)
+    return V.single_source_records(N.observations(spark, d), N.stations(spark, d), mode, N.SEQ_BITS, rows=N.raw_rows(spark, d))
 
 
 def archive_records(spark: SparkSession, d: str, mode: str = "compact") -> DataFrame:
-    return V.archive_records(N.archive_observations(spark, d), N.archive_stations(spark, d), mode, N.SEQ_BITS)
+    rows = 2 * N.raw_rows(spark, d)  # an observation is in two archives at most
+    return V.archive_records(N.archive_observations(spark, d), N.archive_stations(spark, d), mode, N.SEQ_BITS, rows=rows)
 
 
 def unified(spark: SparkSession, d: str, mode: str = "compact") -> DataFrame:
-    return V.unified_records(N.archive_observations(spark, d), N.archive_stations(spark, d), mode, N.SEQ_BITS)
+    rows = 2 * N.raw_rows(spark, d)
+    return V.unified_records(N.archive_observations(spark, d), N.archive_stations(spark, d), mode, N.SEQ_BITS, rows)
 
 
 def consolidated(spark: SparkSession, d: str, allow_incomplete: bool = True) -> DataFrame:
-    return V.consolidated_records(N.observations(spark, d), N.stations(spark, d), allow_incomplete, N.SEQ_BITS)
+    return V.consolidated_records(N.observations(spark, d), N.stations(spark, d), allow_incomplete, N.SEQ_BITS, N.raw_rows(spark, d))
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -301,12 +303,14 @@ def unified_records_positional(spark, d):
 @query("merge_stored_archives", sql("select * from uni", "uni"))
 def merge_stored_archives(spark, d):
     """The two-step way: stored per-archive records merged by key."""
-    return V.merge_records(materialize(archive_records(spark, d)))
+    stored = materialize(archive_records(spark, d))
+    return V.merge_records(stored, rows=stored.count())
 
 
 @query("merge_stored_archives_positional", sql("select * from uni_pos", "uni_pos"))
 def merge_stored_archives_positional(spark, d):
-    return V.merge_records(materialize(archive_records(spark, d, "positional")), "positional")
+    stored = materialize(archive_records(spark, d, "positional"))
+    return V.merge_records(stored, "positional", rows=stored.count())
 
 
 @query("unified_station_filter", sql("select * from uni where station_id = 7", "uni"))

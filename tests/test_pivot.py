@@ -119,3 +119,21 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
 def test_unknown_mode_is_refused(spark):
     with pytest.raises(ValueError):
         V.pivot_observations(observations(spark, random_rows(1, 2)), quality_mode="other")
+
+
+@pytest.mark.parametrize("mode", V.QUALITY_MODES)
+@pytest.mark.parametrize("listed", ["broadcast", "shuffle_hash"])
+def test_rows_are_dealt_to_tasks_by_their_number(spark, monkeypatch, mode, listed):
+    monkeypatch.setattr(V, "TASK_ROWS", 20)
+    if listed != "broadcast":  # as for a list too long to send around
+        monkeypatch.setattr(V, "join_hint", lambda df, larger=None: lambda x: x.hint(larger))
+    obs, places = observations(spark, random_rows(3)), stations(spark)
+    plain, dealt = V.archive_records(obs, places, mode), V.archive_records(obs, places, mode, rows=400)
+    assert rows(dealt) == rows(plain)
+    once, merged = V.merge_records(plain, mode), V.merge_records(dealt, mode, rows=400)
+    assert rows(merged) == rows(once) == rows(V.unified_records(obs, places, mode, rows=400))
+    if listed == "broadcast":
+        assert dealt.rdd.getNumPartitions() == merged.rdd.getNumPartitions() == 20
+    else:
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
