@@ -257,7 +257,8 @@ def _prepared(documents: DataFrame, words: int, percent: int):
         same = [F.coalesce(F.col("doc_id"), F.lit(-1)).alias("d"), "text_hash"]
         wanted = small_side(materialize(wanted.select(F.col("a").alias("set_key"), *same)))
         chosen = texts.select(*same, "text").join(wanted, ["d", "text_hash"]).select("set_key", "text")
-        hashes = materialize(chosen.mapInArrow(_sets(words), "set_key long, hashes binary").dropDuplicates(["set_key"]))
+        # dealt by set once, for both ends: stored in between they would be dealt again
+        hashes = chosen.mapInArrow(_sets(words), "set_key long, hashes binary").dropDuplicates(["set_key"])
         x = hashes.select(F.col("set_key").alias("a"), F.col("hashes").alias("x"))
         y = hashes.select(F.col("set_key").alias("b"), F.col("hashes").alias("y"))
         both = pairs.join(x, "a").join(y, "b").withColumn("common", F.pandas_udf(_common, "int")("x", "y"))

@@ -93,6 +93,21 @@ def test_components_of_groups_chains_and_odd_documents(spark):
     assert J.link_components(frame.limit(0)).collect() == []
 
 
+def test_hashes_are_dealt_once_and_not_stored(spark, monkeypatch):
+    rng, stored = np.random.default_rng(4), []
+    texts = [*near_copies(rng, np.array([f"w{i}" for i in range(900)]), 100, 12, 2)]
+    docs = [(i, t) for i, t in enumerate(texts + texts[:3])]
+
+    def watched(df, *partition_by):
+        stored.append(df.columns)
+        return materialize(df, *partition_by)
+
+    monkeypatch.setattr(J, "materialize", watched)
+    got = J.link_components(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == plain_components(docs)
+    assert stored and not any("hashes" in columns for columns in stored)
+
+
 def plain_links(docs):
     """The number of each row's links, and the number of linked pairs of different sets."""
     sets = [plain_sets(t) for _, t in docs]
