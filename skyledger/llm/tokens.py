@@ -4,7 +4,8 @@ Both vocabularies split a text before they merge bytes, and no token crosses a s
 before a printing character. A text's ids are therefore the ids of its space-led chunks, joined; and
 those of a plain chunk are the ids of its runs of letters and of other characters. A worker keeps
 what it has encoded while its memory bound allows, which is several times as fast as encoding whole
-texts. Anything that isn't plain goes through the whole tokenizer.
+texts. So are those of two plain chunks with the end of a line between them. Anything else goes through
+the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -26,6 +27,9 @@ _SPLIT = re.compile(r" (?=[!-~¡-ɏ])")
 #: Letters, then other characters: without an apostrophe, which may bind letters to itself, and
 #: without white space in a row.
 _PLAIN = re.compile(rf"([{_LETTERS}]+)((?:[ -&(-@\[-`{{-~]|\n(?!\s))*)")
+#: A plain chunk that ends a line, and right behind it one that begins the next: white space but the one
+#: line end would bind to it.
+_LINES = re.compile(rf"([{_LETTERS}]+)([!-&(-@\[-`{{-~]*\n)([{_LETTERS}]+)((?:[ -&(-@\[-`{{-~]|\n(?!\s))*)")
 _JOINED = 300
 
 
@@ -55,6 +59,7 @@ class Encoder:
         self.held = 0
         self.words: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.openings: dict[str, bytes] = {}  # words without a space before them
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
@@ -69,13 +74,15 @@ class Encoder:
         self._learn(wanted)
         first = self._each(set(heads))
         out = [first[h] + b"".join(map(self.known.__getitem__, p)) for h, p in zip(heads, parts)]
-        self.held += ENTRY_BYTES * len(wanted) + sum(map(len, wanted)) + sum(map(len, map(self.known.__getitem__, wanted)))
+        self.held += ENTRY_BYTES * len(wanted) + len("".join(wanted)) + len(b"".join(map(self.known.__getitem__, wanted)))
         if len(self.known) > CACHE_CHUNKS or self.held > CACHE_BYTES:
             self._forget(parts)
         if len(self.words) > CACHE_WORDS:
             self.words.clear()
         if len(self.tails) > CACHE_WORDS:
             self.tails.clear()
+        if len(self.openings) > CACHE_WORDS:
+            self.openings.clear()
         return out
 
     def rest(self) -> None:
@@ -92,28 +99,42 @@ class Encoder:
     def _each(self, texts: set[str]) -> dict[str, bytes]:
         texts = list(texts)
         encoded = self.whole.encode_batch_fast(texts, add_special_tokens=False)
-        return {t: np.array(x.ids, dtype="<u4").tobytes() for t, x in zip(texts, encoded)}
+        ids = [x.ids for x in encoded]
+        data = np.array(list(itertools.chain.from_iterable(ids)), dtype="<u4").tobytes()
+        cuts = [0, *itertools.accumulate(4 * len(x) for x in ids)]
+        return {t: data[a:b] for t, a, b in zip(texts, cuts, cuts[1:])}
 
     def _learn(self, chunks: set[str]) -> None:
         known, words, tails = self.known, self.words, self.tails
-        plain, odd, new_words, new_tails = [], [], set(), set()
+        openings, plain, lines, odd, new_words, new_tails = self.openings, [], [], [], set(), set()
         match = _PLAIN.fullmatch
         again = words.keys() & chunks  # words without anything behind them
         known.update(zip(again, map(words.__getitem__, again)))
         for chunk in chunks.difference(again):
-            if m := match(chunk):
+            if (own := words.get(chunk[:-1])) and (end := tails.get(chunk[-1])):
+                known[chunk] = own + end  # a known word and a mark
+            elif m := match(chunk):
                 word, tail = m.groups()
                 plain.append((chunk, word, tail))
                 if word not in words:
                     new_words.add(word)
                 if tail not in tails:
                     new_tails.add(tail)
+            elif m := _LINES.fullmatch(chunk):
+                word, *ends = m.groups()
+                lines.append((chunk, word, *ends))
+                if word not in words:
+                    new_words.add(word)
+                new_tails.update(e for e in ends[::2] if e not in tails)
             else:
                 odd.append(chunk)
         self._learn_words(list(new_words))
         tails.update(self._each(new_tails))
+        openings.update(self._each({opening for *_, opening, _ in lines if opening not in openings}))
         for chunk, word, tail in plain:
             known[chunk] = words[word] + tails[tail] if tail else words[word]
+        for chunk, word, end, opening, tail in lines:
+            known[chunk] = words[word] + tails[end] + openings[opening] + tails[tail]
         whole = self._each({self.lead + c for c in odd})
         known.update((c, whole[self.lead + c]) for c in odd)
 

@@ -192,3 +192,18 @@ def test_words_are_not_taken_apart_again(name, spaced, monkeypatch):
     made.rest()
     assert made.encode(texts) == first and seen and not set(seen) & set(made.words)
     assert made.held == sum(T.ENTRY_BYTES + len(c) + len(d) for c, d in made.known.items())
+
+
+def test_words_around_a_line_end_are_not_taken_apart_again(monkeypatch):
+    made = T.Encoder(T.vocabulary("byte_bpe_50k.json"), True)
+    made.encode(["a river.\nThe bridge,\nHeld on!\nTo"])
+    texts = ["a bridge,\nThe river.\nHeld on!\nThe bridge,\nHeld, on.\n\nTo river \nThe on\r\nTo it's.\n'tis 3.\nTo on.\n"]
+    expected, seen, each = [made.whole.encode(t, add_special_tokens=False).ids for t in texts], [], made._each
+
+    def watched(some):
+        seen.extend(some)
+        return each(some)
+
+    monkeypatch.setattr(made, "_each", watched)
+    assert [np.frombuffer(x, "<u4").tolist() for x in made.encode(texts)] == expected
+    assert not {" bridge,\nThe", " river.\nHeld", " on!\nThe"} & set(seen)
