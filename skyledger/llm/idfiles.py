@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from skyledger.llm.common import open_output, ship, slices, table
-from skyledger.llm.tokens import encoder, vocabulary
+from skyledger.llm.tokens import ENCODED_CHARS, encoder, vocabulary
 from skyledger.sources.ranges import open_input
 from skyledger.tuning import materialize, scratch_folder
 
@@ -169,7 +169,7 @@ def write_ids(documents: DataFrame, folder: str, path: str | None = None, end_id
     def write(batches):
         gc.disable()
         part, seq, out, rows = TaskContext.get().partitionId(), 0, None, []
-        for batch, texts in slices(batches):
+        for batch, texts in slices(batches, chars=ENCODED_CHARS):
             for doc, ids in zip(batch.column(0).to_pylist(), encoder(path, False).encode(texts)):
                 out = out or PlaneWriter(f"{folder}/ids-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.planes", bits, block_ids)
                 out.add(doc, ids + end)

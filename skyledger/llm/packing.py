@@ -17,13 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from skyledger.llm.common import ship, slices, table
-from skyledger.llm.tokens import encoder, vocabulary
+from skyledger.llm.tokens import ENCODED_CHARS, encoder, vocabulary
 from skyledger.tuning import materialize
 
 CAPACITY = 2048
 VOCABULARY = "byte_bpe_50k.json"
 END_ID = 0
 _RANKS = 1 << 40
+OUT_BYTES = 1 << 20  # of ids that leave a task together
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
 
@@ -109,9 +110,9 @@ def cut_documents(documents: DataFrame, capacity: int = CAPACITY, path: str | No
     end = int(end_id).to_bytes(4, "little")
 
     def cut(batches):
-        gc.disable()  # millions of cached strings, no cycles
-        for part, texts in slices(batches):
-            ids, pieces, starts, lengths, data = [], [], [], [], []
+        gc.disable()  # many strings, no cycles
+        for part, texts in slices(batches, chars=ENCODED_CHARS):
+            ids, pieces, starts, lengths, data, held = [], [], [], [], [], 0
             for doc, own in zip(part.column(0).to_pylist(), encoder(path, True).encode(texts)):
                 own += end
                 n = len(own) // 4
@@ -122,14 +123,21 @@ def cut_documents(documents: DataFrame, capacity: int = CAPACITY, path: str | No
                     starts.append(a)
                     lengths.append(b - a)
                     data.append(own[4 * a : 4 * b])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(pieces, pa.int32()), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(data, pa.binary())],
-                ["doc_id", "piece", "start", "length", "ids"],
-            )
+                held += len(own)
+                if held > OUT_BYTES:
+                    yield _pieces(ids, pieces, starts, lengths, data)
+                    ids, pieces, starts, lengths, data, held = [], [], [], [], [], 0
+            yield _pieces(ids, pieces, starts, lengths, data)
+        encoder(path, True).rest()
 
     return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
 
 
+def _pieces(ids, pieces, starts, lengths, data) -> pa.RecordBatch:
+    columns = zip((ids, pieces, starts, lengths, data), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()))
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in columns], ["doc_id", "piece", "start", "length", "ids"])
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """`pieces` with `sequence_id` and `offset`: as few sequences of `capacity` as best fit finds.
 

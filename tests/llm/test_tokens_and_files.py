@@ -207,3 +207,37 @@ def test_words_around_a_line_end_are_not_taken_apart_again(monkeypatch):
     monkeypatch.setattr(made, "_each", watched)
     assert [np.frombuffer(x, "<u4").tolist() for x in made.encode(texts)] == expected
     assert not {" bridge,\nThe", " river.\nHeld", " on!\nThe"} & set(seen)
+
+
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_a_worker_keeps_words_in_arrays_and_only_chunks_that_come_again(name, spaced, monkeypatch):
+    monkeypatch.setattr(T, "CACHE_WORDS", 300)
+    made = T.Encoder(T.vocabulary(name), spaced)
+    for k in range(3):
+        once = ["".join(chr(97 + n // 26**i % 26) for i in range(4)) + "q" * k for n in range(1000)]
+        texts = [" ".join(f"{w}, often" for w in once), "z" * 5000, " x" + "y" * 300]
+        expected = [made.whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, "<u4").tolist() for x in made.encode(texts)] == expected
+        assert set(made.known) == {"often"} and len(made.words) <= 300
+        assert made.words.strings.nbytes < 300 * 40
+
+
+@pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_plain_chunks_are_taken_apart_and_joined_without_a_step_for_each(name, spaced, monkeypatch):
+    made = T.Encoder(T.vocabulary(name), spaced)
+    taken = []
+
+    class Watched:
+        def fullmatch(self, chunk):
+            taken.append(chunk)
+            return plain.fullmatch(chunk)
+
+    plain = T._PLAIN
+    monkeypatch.setattr(T, "_PLAIN", Watched())
+    monkeypatch.setattr(T, "_BLOCK", 3, raising=False)  # chunks joined at a time
+    texts = ["One, two; (three) é-four a1 3rd it's Ω", "", "two; two; two; two; new\nline", *ODD, "x  y\n\nz", "two; New, new"]
+    for _ in range(2):
+        expected = [made.whole.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(x, "<u4").tolist() for x in made.encode(texts)] == expected
+        assert made.encode([]) == []
+    assert "3rd" in taken and not {"two;", "New,", "new", "a1"} & set(taken)
